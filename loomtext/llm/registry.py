@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import sharding
+from . import sharding, simhash
 
 QUERIES = {
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
+    "op9_simhash_anchors": simhash.op9_simhash_anchors,
 }
 
 ORACLES: dict[str, str] = {}
