@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import sharding, simhash
+from . import quality, sharding, simhash
 
 QUERIES = {
+    "op1_distribution_divergence": quality.op1_distribution_divergence,
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
     "op9_simhash_anchors": simhash.op9_simhash_anchors,
 }
