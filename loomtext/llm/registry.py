@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality, sharding, simhash
+from . import quality, sharding, simhash, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
+    "op8_simple8b_files": tokenfile.op8_simple8b_files,
     "op9_simhash_anchors": simhash.op9_simhash_anchors,
 }
 
