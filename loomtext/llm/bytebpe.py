@@ -25,11 +25,10 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import expand, materialize, squeeze
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -59,21 +58,6 @@ def token_bytes(path: str | None = None) -> list[bytes]:
     return table
 
 
-def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays of one block, each headed by its size, compressed."""
-    data = b"".join(len(a).to_bytes(8, "little") + a for a in (x.tobytes() for x in arrays))
-    return zstandard.ZstdCompressor(level=1).compress(data)
-
-
-def expand(blob: bytes, *kinds: str) -> list[np.ndarray]:
-    data, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
-    for kind in kinds:
-        n = int.from_bytes(data[at : at + 8], "little")
-        out.append(np.frombuffer(data, kind, n // np.dtype(kind).itemsize, at + 8))
-        at += 8 + n
-    return out
-
-
 class Chunks:
     """Cuts the documents of a task, in the order they are read, into chunks of about most_chars characters. The chunk
     number holds the scan partition's number, so both passes over the same table number alike."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,18 @@ def range_bucket(column: str, bounds: list) -> Column:
     if not bounds:
         return F.lit(0)
     return F.coalesce(F.aggregate(F.lit(bounds), F.lit(0), lambda n, b: n + (b < F.col(column)).cast("int")), F.lit(0))
+
+
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays of one block, each headed by its size, compressed."""
+    data = b"".join(len(a).to_bytes(8, "little") + a for a in (x.tobytes() for x in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def expand(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    data, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
+    for kind in kinds:
+        n = int.from_bytes(data[at : at + 8], "little")
+        out.append(np.frombuffer(data, kind, n // np.dtype(kind).itemsize, at + 8))
+        at += 8 + n
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytebpe, packing, quality, sharding, simhash, tokenfile
+from . import bytebpe, packing, quality, sharding, simhash, suffixes, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_minimum_bin_slack": packing.op7_minimum_bin_slack,
     "op8_simple8b_files": tokenfile.op8_simple8b_files,
     "op9_simhash_anchors": simhash.op9_simhash_anchors,
+    "op10_column_wise_suffixes": suffixes.op10_column_wise_suffixes,
 }
 
 ORACLES: dict[str, str] = {}
