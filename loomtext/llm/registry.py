@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bytebpe, packing, quality, sharding, simhash, suffixes, tokenfile
+from . import bytebpe, packing, pii, quality, sharding, simhash, suffixes, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
     "op5_distinct_word_bpe": bytebpe.op5_distinct_word_bpe,
+    "op6_bootstrapped_contexts": pii.op6_bootstrapped_contexts,
     "op7_minimum_bin_slack": packing.op7_minimum_bin_slack,
     "op8_simple8b_files": tokenfile.op8_simple8b_files,
     "op9_simhash_anchors": simhash.op9_simhash_anchors,
