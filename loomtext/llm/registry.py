@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bytebpe, packing, pii, quality, sharding, simhash, suffixes, tokenfile
+from . import bytebpe, langid, packing, pii, quality, sharding, simhash, suffixes, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
+    "op2_bidirectional_gru": langid.op2_bidirectional_gru,
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
     "op5_distinct_word_bpe": bytebpe.op5_distinct_word_bpe,
     "op6_bootstrapped_contexts": pii.op6_bootstrapped_contexts,
