@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bytebpe, langid, packing, pii, quality, sharding, simhash, suffixes, tokenfile
+from . import bytebpe, langid, packing, pii, quality, sharding, simhash, suffixes, syncmers, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
     "op2_bidirectional_gru": langid.op2_bidirectional_gru,
     "op3_hypergeometric_shards": sharding.op3_hypergeometric_shards,
+    "op4_closed_syncmers": syncmers.op4_closed_syncmers,
     "op5_distinct_word_bpe": bytebpe.op5_distinct_word_bpe,
     "op6_bootstrapped_contexts": pii.op6_bootstrapped_contexts,
     "op7_minimum_bin_slack": packing.op7_minimum_bin_slack,
