@@ -106,7 +106,7 @@ def test_metadata_never_start_python(spark, dump_file):
 
 
 def test_errors(spark):
-    pages = spark.createDataFrame([("1", "A", "{{IPA}} x"), ("2", "B", "fine"), ("3", "C", "x &#123;&#123;IPA&#125;&#125; y")], "id string, title string, text string")
+    pages = spark.createDataFrame([("1", "A", "{{IPA}} x"), ("2", "B", "fine"), ("3", "C", "* a\n&#123;&#123;IPA&#125;&#125;")], "id string, title string, text string")
     assert {r["id"] for r in extraction.extract(pages).collect()} == {"1", "2"}
     failed = extraction.errors(pages).collect()
     assert [r["id"] for r in failed] == ["3"] and "IndexError" in failed[0]["error"]
