@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence (native).
 
 A document's histograms of character classes and of common words are compared, by Jensen-Shannon distance, with each
-language's own histograms, which are sums over all documents of that language. A document is kept if it is near
+language's own histograms, the means of those of all its documents (each counts alike, so a few long ones don't rule). A document is kept if it is near
 enough to some language in both; short documents, whose histograms say little, pass the comparison they are too
 short for. Everything is one projection of built-in functions and one small aggregate.
 """
@@ -93,8 +93,10 @@ def references(scored: DataFrame, lang_col: str, min_words: int) -> dict[str, tu
     q = F.col("__q")
     n_common = len(_vocabulary()) + 1
     use = scored.where(F.col(lang_col).isin(list(COMMON_WORDS)) & ~_failed(q) & (q["n_words"] >= min_words))
-    sums = [F.sum(F.get(q[part], F.lit(i))).alias(f"{part}{i}") for part, n in (("classes", len(CLASSES) + 1), ("common", n_common)) for i in range(n)]
-    share = lambda xs: [x / max(1, sum(xs)) for x in xs]
+    total = {"classes": F.aggregate(q["classes"], F.lit(0).cast("long"), lambda s, x: s + x), "common": q["n_words"]}
+    use = use.withColumns({f"__{part}": n for part, n in total.items()})
+    sums = [F.sum(F.get(q[part], F.lit(i)) / F.col(f"__{part}")).alias(f"{part}{i}") for part, n in (("classes", len(CLASSES) + 1), ("common", n_common)) for i in range(n)]
+    share = lambda xs: [x / (sum(xs) or 1) for x in xs]
     rows = [list(r) for r in use.groupBy(F.col(lang_col).alias("lang")).agg(*sums).orderBy("lang").collect()]
     return {r[0]: (share(r[1 : len(CLASSES) + 2]), share(r[len(CLASSES) + 2 :])) for r in rows}
 
