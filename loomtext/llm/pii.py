@@ -144,34 +144,36 @@ def score_graph(edges: DataFrame, rounds: int, support: float) -> DataFrame:
 
 
 def find_pii(
-    docs: DataFrame, rounds: int = 3, support: float = 3.0, threshold: float = 0.7, text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame, rounds: int = 3, support: float = 3.0, threshold: float = 0.7, text_col: str = "text", carry: list[str] | None = None,
+    names: tuple[str, str] = ("base", "added"),
 ) -> DataFrame:
-    """The columns `carry` of docs (all by default) with base and added: arrays of (kind, start, end), kinds numbered
-    as in KINDS, code points, end exclusive; base by kind and start, added by start.
+    """The columns `carry` of docs (all by default) with base and added (or other `names`): arrays of (kind, start,
+    end), kinds numbered as in KINDS, code points, end exclusive; base by kind and start, added by start.
 
     support: a pattern must extract instances of at least this much score; threshold: least score of an instance that
     is added. Null and empty texts have no spans. Repeated rows get equal spans (their instances count once). An empty
-    table gives an empty result. Columns of docs named base or added are replaced.
+    table gives an empty result. Columns of docs that have these names are replaced.
     """
-    keep = [c for c in (docs.columns if carry is None else carry) if c not in ("base", "added")]
+    keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
     table = mentions(docs, text_col, keep)
     seen = table.select(F.explode("__seen").alias("m")).select("m.pattern", "m.instance", (F.col("m.kind") < 4).alias("seed"))
     edges = materialize(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
     found = score_graph(edges, rounds, support).where(F.col("score") >= threshold).select("instance")
     unsure = F.filter("__seen", lambda m: m["kind"] == 4)
     spots = table.where(F.size(unsure) > 0).select("__row", F.explode(unsure).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
-    spans = spots.join(found, "instance", "left_semi").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
+    spans = spots.join(found, "instance", "left_semi").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("__added"))
     none = F.array().cast(SPAN)
-    plain = table.where(F.size(unsure) == 0).select(*keep, F.col("__base").alias("base"), none.alias("added"))
-    rest = table.where(F.size(unsure) > 0).join(spans, "__row", "left").select(*keep, F.col("__base").alias("base"), F.coalesce("added", none).alias("added"))
+    both = lambda added: [F.col("__base").alias(names[0]), added.alias(names[1])]
+    plain = table.where(F.size(unsure) == 0).select(*keep, *both(none))
+    rest = table.where(F.size(unsure) > 0).join(spans, "__row", "left").select(*keep, *both(F.coalesce("__added", none)))
     return plain.unionByName(rest)
 
 
 def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets; overlapping spans become one, named after the
     first. Columns are those of docs; n_chars, if there, follows the text; a null text stays null."""
-    found = find_pii(docs, text_col=text_col, **options)
-    spans = F.array_sort(F.concat(F.transform("base", lambda s: F.struct(s["start"], s["end"], s["kind"])), F.transform("added", lambda s: F.struct(s["start"], s["end"], s["kind"]))))
+    found = find_pii(docs, text_col=text_col, names=("__found", "__more"), **options)
+    spans = F.array_sort(F.concat(F.transform("__found", lambda s: F.struct(s["start"], s["end"], s["kind"])), F.transform("__more", lambda s: F.struct(s["start"], s["end"], s["kind"]))))
     start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
