@@ -19,7 +19,7 @@ def test_stages(spark):
         out = materialize(stage(spark, docs, SF), f"test-{name}")
         assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and 0 < out.count() <= docs.count()
         if name == "near_duplicates":
-            found = simhash.near_duplicates(docs, words=5)
+            found = simhash.near_duplicates(docs, words=5, max_bits=7)
             assert {r[0] for r in out.select("doc_id").collect()} == {r[0] for r in found.select("component_id").distinct().collect()}
         if name == "repeated_passages":
             rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
