@@ -156,4 +156,4 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
 
 
 def op1_distribution_divergence(spark, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"]).select("doc_id", "__q.*")
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"]).select("doc_id", "__q.*").withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
