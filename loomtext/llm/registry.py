@@ -17,5 +17,6 @@ QUERIES = {
     "op10_column_wise_suffixes": suffixes.op10_column_wise_suffixes,
 }
 
-#: The others use hashes, vocabularies, draws or iteration that SQL doesn't have; the tests hold them against brute force.
+#: The others use hashes, vocabularies, draws or iteration that SQL doesn't have, or are too slow in it; the tests hold
+#: them against brute force.
 ORACLES: dict[str, str] = oracles.ORACLES

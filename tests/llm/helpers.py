@@ -9,6 +9,9 @@ SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint
 WORDS = "the of and to in is that river stone garden window letter music winter travel simple number garden forest paper silver".split()
 
 
+CLASHING = ("chunk", "bucket", "shard", "size", "fp", "length", "kind", "base", "added", "start", "file", "kept", "n_spans", "score", "node", "a")
+
+
 def sentence(rng: random.Random, n: int) -> str:
     return " ".join(rng.choice(WORDS) + (rng.choice(["", "s", "ly", "ed"])) + str(rng.randrange(40)) * (rng.random() < 0.2) for _ in range(n))
 
@@ -29,10 +32,14 @@ def awkward(seed: int = 1) -> list[tuple]:
 def frame(spark, rows, extra: bool = True):
     df = spark.createDataFrame(rows, SCHEMA)
     if extra:  # columns whose names the operators use themselves
-        for name in ("chunk", "bucket", "shard", "size", "fp", "length", "kind", "base", "start", "file", "kept", "score"):
-            df = df.selectExpr("*", f"'x' AS {name}")
+        df = df.selectExpr("*", *[f"'x' AS {name}" for name in CLASHING])
     return df
 
 
+def untouched(df) -> bool:
+    """The columns that only came along still have their values."""
+    return df.select(*CLASHING).distinct().collect() == [("x",) * len(CLASHING)]
+
+
 def rows_of(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=repr)
