@@ -146,10 +146,12 @@ class Contexts:
         self.first = np.concatenate([a.first[one], start])
         self.last = np.concatenate([a.last[one], start])
         self.text = np.concatenate([a.text[one], a.text[many]])
-        alone = np.zeros(0, U64)
-        if len(many):
-            rolling = Rolling(a.data)
-            alone = rolling.of(start, start + a.length) ^ mixed((a.anchor[many] - start).astype(U64))
+        alone = np.empty(len(many), U64)
+        for at in range(0, len(many), 10_000):
+            some = start[at : at + 10_000]
+            places = a.length * np.arange(len(some))
+            rolling = Rolling(a.bytes_of(some, np.full(len(some), a.length)))
+            alone[at : at + 10_000] = rolling.of(places, places + a.length) ^ mixed((a.anchor[many[at : at + 10_000]] - some).astype(U64))
         key = np.concatenate([a.hash[one], alone])
         whole = np.concatenate([a.whole[one], alone])
         order = np.lexsort((self.anchor, ids[self.text], whole))
@@ -167,9 +169,12 @@ def repeated_windows(starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, le
     n, reach = len(starts), length - gram
     width = reach + length
     columns = np.zeros((width, n), np.uint8)
-    rows = np.repeat(np.arange(n), sizes)
-    j = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(reach - left, sizes)
-    columns[j, rows] = data
+    for a in range(0, n, 4096):
+        some = slice(a, min(n, a + 4096))
+        rows = np.repeat(np.arange(some.start, some.stop), sizes[some])
+        base = int(starts[a])
+        at = np.arange(base, base + len(rows))
+        columns[at - np.repeat(starts[some] - (reach - left[some]), sizes[some]), rows] = data[at]
     begin, end = reach - left, reach - left + sizes  # the context's columns
     by_end, by_begin = np.argsort(end, kind="stable"), np.argsort(begin, kind="stable")
     end_at, begin_at = end[by_end], begin[by_begin]
@@ -215,7 +220,7 @@ def repeated_windows(starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, le
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None, chunk_bytes: int = 16_000_000,
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None, chunk_bytes: int = 8_000_000,
     crowd: int = CROWD, written: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default), with n_bytes, n_removed, n_spans and kept (binary: the bytes of
@@ -375,20 +380,16 @@ def remove_repeats(
             starts = x.anchor[x.sent[hit[which]]] + bit - (length - gram)
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + length, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            begins = a.ends - a.sizes
-            edge = gone & np.r_[True, ~gone[:-1]]
-            inner = begins[(a.sizes > 0)]
-            edge[inner] = gone[inner]
-            sums = np.stack([np.r_[0, np.cumsum(v)] for v in (gone, edge)])
-            removed, spans = sums[:, a.ends] - sums[:, begins]
+            gone = np.cumsum(cover[:-1], out=cover[:-1]) > 0
             done = 0
             for b in held:
-                n, out = b.num_rows, []
-                for i in range(done, done + n):
-                    piece = slice(int(begins[i]), int(a.ends[i]))
-                    out.append((a.data[piece][~gone[piece]] if removed[i] else a.data[piece]).tobytes())
-                own = [pa.array(a.sizes[done : done + n]), pa.array(removed[done : done + n]), pa.array(spans[done : done + n]), pa.array(out, pa.binary())]
+                n, out, removed, spans = b.num_rows, [], [], []
+                for end, size in zip(a.ends[done : done + n].tolist(), a.sizes[done : done + n].tolist(), strict=True):
+                    piece, away = a.data[end - size : end], gone[end - size : end]
+                    removed.append(int(np.count_nonzero(away)))
+                    spans.append(int(np.count_nonzero(away[1:] & ~away[:-1])) + bool(size and away[0]))
+                    out.append((piece[~away] if removed[-1] else piece).tobytes())
+                own = [pa.array(a.sizes[done : done + n]), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(out, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *own], [*keep, *made])
                 done += n
 
