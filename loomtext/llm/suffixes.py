@@ -221,11 +221,11 @@ def repeated_windows(starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, le
 
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None, chunk_bytes: int = 8_000_000,
-    crowd: int = CROWD, written: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
+    crowd: int = CROWD, written: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, prefix: str = "",
 ) -> DataFrame:
     """The columns `carry` of docs (all by default), with n_bytes, n_removed, n_spans and kept (binary: the bytes of
     the text that no window of `length` bytes covers that also begins earlier, at a smaller id or earlier in the same
-    document). Columns of docs with these four names are replaced.
+    document), each name after `prefix`. Columns of docs with these four names are replaced.
 
     docs is read thrice: unless `written` says that it is a plain scan of written files, it is written first. Ids are
     integers; a null id counts as smaller than all; of rows with one id, those read first count as earlier. Null and
@@ -235,7 +235,7 @@ def remove_repeats(
         raise ValueError("a window has 1 to 63 more bytes than its anchor")
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made = ["n_bytes", "n_removed", "n_spans", "kept"]
+    made = [prefix + n for n in ("n_bytes", "n_removed", "n_spans", "kept")]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in made]
     inputs = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("__id"),
@@ -402,14 +402,14 @@ def remove_repeats(
     tag = lambda df, mark: df.withColumn("blob", F.concat(F.lit(mark).cast("binary"), "blob"))
     last = to_chunk(tag(codes, "c").unionByName(tag(marks, "m")).unionByName(full.mapInArrow(boxed, rows)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.select(*keep).schema)
-    return last.mapInArrow(cut, (f"{fields}, " if keep else "") + "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return last.mapInArrow(cut, (f"{fields}, " if keep else "") + "{} bigint, {} bigint, {} bigint, {} binary".format(*made))
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs with the repeated passages taken out of the text, columns as in docs; n_chars, if there, follows the text.
     What is left of a character that was cut in two becomes U+FFFD. A null text stays null."""
-    out = remove_repeats(docs.withColumn("__null", F.col(text_col).isNull()), text_col=text_col, **options)
-    text = F.when(~F.col("__null"), F.make_valid_utf8(F.col("kept").cast("string")))
+    out = remove_repeats(docs.withColumn("__null", F.col(text_col).isNull()), text_col=text_col, prefix="__", **options)
+    text = F.when(~F.col("__null"), F.make_valid_utf8(F.col("__kept").cast("string")))
     out = out.withColumn(text_col, text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
