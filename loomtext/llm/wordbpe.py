@@ -2,55 +2,65 @@
 
 White space never survives this vocabulary's normaliser and pre-tokeniser, so a text's ids are those of its
 white-space-separated pieces in order. Each worker encodes a distinct piece once, many in one call, and looks the
-rest up. The memory of pieces is bounded: when it is full it starts anew.
+rest up. The memory of pieces is bounded: when it is full, it keeps those of the texts at hand, the frequent ones
+among them. ASCII capitals, which the normaliser lowers anyway, are lowered first, so that fewer pieces differ.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
+from itertools import chain, compress, filterfalse
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+#: Visible ASCII without capitals, and lower-case letters of Latin-1: composed already and in lower case.
+PLAIN = re.compile("[!-@\\[-~ß-öø-ÿ]+")
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 
 
 class WordBpe:
-    def __init__(self, path: str, most_pieces: int = 600_000) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.mark_id, mark = min((i, t.content) for i, t in added.items())
-        self.mark, self.added = mark.encode(), [t.content.encode() for t in added.values()]
+    def __init__(self, path: str, most_pieces: int = 900_000) -> None:
+        self.tokenizer, self.without_normaliser = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.without_normaliser.normalizer = normalizers.Sequence([])
         self.known: dict[bytes, bytes] = {}
         self.most = most_pieces
 
+    def lowered(self, data: bytes) -> bytes:
+        """Lower case but where a mark's spelling might arise from it."""
+        return data if b"<|" in data else data.translate(LOWER)
+
     def learn(self, pieces: list[bytes]) -> None:
-        """Pieces are joined by an added token, whose id then parts their ids."""
-        plain = [p for p in pieces if not any(t in p for t in self.added)]
-        odd = [p for p in pieces if any(t in p for t in self.added)]
-        groups = [plain[a : a + 400] for a in range(0, len(plain), 400)]
-        for at in range(0, len(groups), 50):
-            some = groups[at : at + 50]
-            joined = [self.mark.join(g).decode() for g in some]
-            for g, e in zip(some, self.tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, dtype="<u4")
-                cuts = np.flatnonzero(ids == self.mark_id)
-                data, a = ids.tobytes(), 0
-                for p, b in zip(g, [*cuts.tolist(), len(ids)], strict=True):
-                    self.known[p] = data[4 * a : 4 * b]
-                    a = b + 1
-        for p in odd:
-            self.known[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """Pieces are encoded in lines of 500, and an id belongs to the piece that its place in the line is in. Plain
+        ones, which the normaliser would not change, skip it."""
+        texts = [p.decode() for p in pieces if b"<|" not in p]
+        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
+        for tokenizer, some in ((self.without_normaliser, list(compress(texts, plain))), (self.tokenizer, [t for t, x in zip(texts, plain, strict=True) if not x])):
+            for at in range(0, len(some), 25_000):
+                lines = [some[a : a + 500] for a in range(at, min(at + 25_000, len(some)), 500)]
+                for words, e in zip(lines, tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+                    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+                    places = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
+                    ends = 4 * np.searchsorted(places, np.cumsum(sizes))
+                    data, a = np.array(e.ids, "<u4").tobytes(), 0
+                    for word, z in zip(words, ends.tolist(), strict=True):
+                        self.known[word.encode()] = data[a:z]
+                        a = z
+        for p in pieces:
+            if b"<|" in p:
+                self.known[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        split = [(t or "").encode().split() for t in texts]
-        fresh = set().union(*split) - self.known.keys()
+        split = [self.lowered((t or "").encode()).split() for t in texts]
+        fresh = set(filterfalse(self.known.__contains__, chain.from_iterable(split)))
         if len(self.known) + len(fresh) > self.most:
-            self.known = {}
-            fresh = set().union(*split)
+            known, here = self.known, set(chain.from_iterable(split))
+            self.known = {p: known[p] for p in here if p in known}
         self.learn(list(fresh))
         get = self.known.__getitem__
         return [b"".join(map(get, pieces)) for pieces in split]
