@@ -5,8 +5,8 @@ least of its inner s-mers, by hash, is its first or its last: a property of the
 passage doesn't change which of its k-mers are chosen, and any k - s consecutive k-mers without one are ruled out.
 The fingerprint is the sequence of the anchors' 32-bit hashes, in order of position, 8 hexadecimal digits each.
 
-Likeness matches positions: twice the anchors common to two fingerprints, each numbered by its occurrence, over the
-anchors of both (0 to 1). A text without an anchor (fewer than k tokens, or an unlucky few) has the hash of all its tokens as
+Likeness is twice the number of anchors common to two fingerprints over the anchors of both (0 to 1), repeats of one
+anchor counted once. A text without an anchor (fewer than k tokens, or an unlucky few) has the hash of all its tokens as
 its only one; a text without tokens has none, and two such texts have likeness 1.
 """
 
@@ -22,58 +22,41 @@ TOKEN = r"[^\x20\x09-\x0D]{1,24}"
 
 def anchors(text: Column, k: int = 6, s: int = 2) -> Column:
     """array<int> of the text's closed syncmers, in order."""
-    span = k - s + 1  # inner s-mers of a k-mer
+    last = k - s  # place of a k-mer's last inner s-mer
 
-    def chosen(tokens: Column) -> Column:
-        def of_inner(inner: Column) -> Column:
-            places = F.sequence(F.lit(1), F.size(inner) - (span - 1))
+    def digest(values: list[Column]) -> Column:
+        return F.shiftright(F.xxhash64(*values), 32).cast("int")
 
-            def keep(i: Column) -> Column:
-                return let(F.slice(inner, i, span), lambda w: let(F.array_min(w), lambda m: (F.get(w, F.lit(0)) == m) | (F.get(w, F.lit(span - 1)) == m)))
+    def chosen(inner: Column) -> Column:
+        def mark(first: Column, i: Column) -> Column:
+            at = lambda j: F.get(inner, i + j) if j else first
+            least = lambda places: F.least(*[at(j) for j in places]) if len(places) > 1 else at(places[0])
+            edge = (first <= least(range(1, last + 1))) | (at(last) <= least(range(last)))
+            whole = [at(j) for j in [*range(0, last, s), last]]  # they cover the k-mer's tokens
+            return F.when(at(last).isNotNull() & edge, digest(whole))
 
-            def digest(i: Column) -> Column:
-                return F.shiftright(F.xxhash64(F.slice(tokens, i, k)), 32).cast("int")
+        return F.filter(F.transform(inner, mark), lambda x: x.isNotNull())
 
-            return F.transform(F.filter(places, keep), digest)
-
-        inner = F.transform(F.sequence(F.lit(1), F.size(tokens) - (s - 1)), lambda i: F.xxhash64(F.slice(tokens, i, s)))
-        return F.when(F.size(tokens) >= k, let(inner, of_inner)).otherwise(F.array().cast("array<int>"))
-
-    def all_or_whole(tokens: Column) -> Column:
-        whole = F.when(F.size(tokens) > 0, F.array(F.shiftright(F.xxhash64(tokens), 32).cast("int"))).otherwise(F.array().cast("array<int>"))
-        return let(chosen(tokens), lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
+    def of_tokens(tokens: Column) -> Column:
+        pairs = F.transform(tokens, lambda x, i: F.xxhash64(x, *[F.get(tokens, i + j) for j in range(1, s)]))
+        inner = F.slice(pairs, F.lit(1), F.size(tokens) - (s - 1))
+        none = F.array().cast("array<int>")
+        found = F.when(F.size(tokens) >= k, let(inner, chosen)).otherwise(none)
+        whole = F.when(F.size(tokens) > 0, F.array(digest([tokens]))).otherwise(none)
+        return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(whole))
 
     hashed = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
-    return let(hashed, all_or_whole)
+    return let(hashed, of_tokens)
 
 
 def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
-def numbered(found: Column) -> Column:
-    """Anchors as 64-bit values, each with the number of its occurrence: the second of two equal ones differs."""
-
-    def marked(sorted_: Column) -> Column:
-        start = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0).cast("long").alias("n"), F.array().cast("array<bigint>").alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            n = F.when(x == acc["last"], acc["n"] + 1).otherwise(F.lit(0).cast("long"))
-            value = x.cast("long") * F.lit(1 << 31).cast("long") + n
-            return F.struct(x.alias("last"), n.alias("n"), F.concat(acc["out"], F.array(value)).alias("out"))
-
-        return F.aggregate(sorted_, start, step, lambda acc: acc["out"])
-
-    plain = F.transform(found, lambda x: x.cast("long") * F.lit(1 << 31).cast("long"))
-    return F.when(F.size(F.array_distinct(found)) == F.size(found), plain).otherwise(marked(F.sort_array(found)))
-
-
 def likeness(a: Column, b: Column) -> Column:
-    def share(x: Column, y: Column) -> Column:
-        all_ = F.size(x) + F.size(y)
-        return F.when(all_ == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(x, y)) / all_)
-
-    return let(F.struct(numbered(a).alias("a"), numbered(b).alias("b")), lambda p: share(p["a"], p["b"]))
+    """Of two arrays of distinct anchors."""
+    all_ = F.size(a) + F.size(b)
+    return F.when(all_ == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)) / all_)
 
 
 def with_next(docs: DataFrame, columns: list[str], key: str, ranges: int) -> DataFrame:
@@ -125,9 +108,10 @@ def op4_closed_syncmers(spark, sf_dir: str) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(there, F.lit(1), take))
     changed = met.select("doc_id", n.cast("long").alias("n_chars"), "anchors", F.col("next.anchors").alias("after"), edited.alias("edited"))
     changed = changed.withColumn("edited_anchors", anchors(F.col("edited")))
+    changed = changed.withColumns({f"__{c}": F.array_distinct(c) for c in ("anchors", "after", "edited_anchors")})
     return changed.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("anchors")).alias("fingerprint"), written(F.col("edited_anchors")).alias("edited_fingerprint"),
-        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-        likeness(F.col("anchors"), F.col("after")).alias("near_next"),
+        likeness(F.col("__anchors"), F.col("__edited_anchors")).alias("near_edited"),
+        likeness(F.col("__anchors"), F.col("__after")).alias("near_next"),
     )
