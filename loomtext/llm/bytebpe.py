@@ -1,6 +1,6 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-1. Documents are cut into pre-tokens. A chunk of documents (some 16 MB of text in one task) keeps a dictionary of its
+1. Documents are cut into pre-tokens. A chunk of documents (some 12 million characters in one task) keeps a dictionary of its
    distinct words, and each document becomes the sequence of its words' places in that dictionary: words exploded with
    positions, pre-aggregated, so that a frequent word leaves a task once a chunk.
 2. The dictionaries are dealt by a hash of the word. Whoever gets a word encodes it once, whatever the number of
@@ -89,7 +89,7 @@ class Chunks:
 
 
 def encode(
-    docs: DataFrame, buckets: int | None = None, chunk_chars: int = 16_000_000, path: str | None = None, written: bool = False,
+    docs: DataFrame, buckets: int | None = None, chunk_chars: int = 12_000_000, path: str | None = None, written: bool = False,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id and ids (binary: little-endian unsigned 32-bit integers), one row per input row.
@@ -166,21 +166,28 @@ def encode(
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, table, parts = None, None, []
+        def batch(b: pa.RecordBatch, keys: list[int], out: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(keys)), pa.array(out, pa.binary())], ["doc_id", "ids"])
+
         for b in batches:
-            keys, out = [], []
-            for i, (number, part, blob) in enumerate(zip(*(b.column(c).to_pylist() for c in ("chunk", "part", "blob")), strict=True)):
-                if number != chunk:
-                    chunk, table, parts = number, None, []
-                if part == 0:
-                    parts.append(expand(blob, "<u4", "<u4", "<u4"))
+            keys, out, size = [], [], 0
+            numbers, kinds, blobs = b.column("chunk").to_numpy(), b.column("part").to_numpy(), b.column("blob")
+            for i in range(b.num_rows):
+                if numbers[i] != chunk:
+                    chunk, table, parts = numbers[i], None, []
+                if kinds[i] == 0:
+                    parts.append(expand(blobs[i].as_py(), "<u4", "<u4", "<u4"))
                     continue
                 if table is None:
                     table, parts = _table(parts), []
-                places = expand(blob, "<u4")[0]
                 keys.append(i)
-                out.append(b"".join(map(table.__getitem__, places.tolist())))
+                out.append(b"".join(map(table.__getitem__, expand(blobs[i].as_py(), "<u4")[0].tolist())))
+                size += len(out[-1])
+                if size >= 4_000_000:
+                    yield batch(b, keys, out)
+                    keys, out, size = [], [], 0
             if keys:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(keys)), pa.array(out, pa.binary())], ["doc_id", "ids"])
+                yield batch(b, keys, out)
 
     id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     dealt = named.mapInArrow(dictionaries, "bucket int, chunk bigint, blob binary").repartition("bucket").sortWithinPartitions("bucket", "chunk")
@@ -209,9 +216,11 @@ def op5_distinct_word_bpe(spark, sf_dir: str) -> DataFrame:
     coded = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), written=True)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(1).to_pylist()
-            sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in (ids, map(decode, ids, repeat(None)))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), *map(pa.array, sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                ids = b.column(1).to_pylist()
+                sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in (ids, map(decode, ids, repeat(None)))]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), *map(pa.array, sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return coded.mapInArrow(digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
