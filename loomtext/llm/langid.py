@@ -119,14 +119,18 @@ def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, language
 
 def fit(labelled: DataFrame, sample_docs: int = 4000, per_doc: int = 8, hidden: int = 8, rounds: int = 250, seed: int = 7, text_col: str = "text", lang_col: str = "lang") -> Network:
     """Trained on windows at hashed places in at most sample_docs documents (those of least hash), so at most
-    sample_docs * per_doc windows of 64 bytes reach the driver. Null or empty texts and null languages are left out.
-    No labelled rows: a network without languages, which predicts nothing."""
+    sample_docs * per_doc windows of 64 bytes reach the driver. A count sets a threshold of the hash first, so that no
+    task sends more than its share of the sample. Null or empty texts and null languages are left out. No labelled
+    rows: a network without languages, which predicts nothing."""
     raw = F.col(text_col).cast("binary")
-    some = labelled.where(F.col(lang_col).isNotNull() & (F.length(raw) > 0)).withColumn("__h", F.xxhash64(F.lit(seed), text_col))
-    some = some.orderBy("__h", lang_col).limit(sample_docs)
+    fit_for = labelled.where(F.col(lang_col).isNotNull() & (F.length(raw) > 0))
+    n = fit_for.count()
+    top = int(-(1 << 63) + min(1.0, 2 * sample_docs / max(1, n)) * ((1 << 64) - 1))
+    row_hash = F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), lang_col)
+    some = fit_for.withColumn("__h", row_hash).where(F.col("__h") <= min(top, (1 << 63) - 1))
     start = lambda k: (F.pmod(F.xxhash64("__h", k), F.greatest(F.lit(1), F.length(raw) - STEPS + 1)) + 1).cast("int")
     pieces = F.transform(F.sequence(F.lit(1), F.lit(per_doc)), lambda k: F.substring(raw, start(k), F.lit(STEPS)))
-    rows = some.select(F.col(lang_col).alias("lang"), pieces.alias("pieces")).collect()
+    rows = some.select("__h", F.col(lang_col).alias("lang"), pieces.alias("pieces")).orderBy("__h").limit(sample_docs).collect()
     languages = sorted({r["lang"] for r in rows})
     if not rows:
         return Network([], {})
