@@ -33,16 +33,22 @@ U64 = np.uint64
 
 def pack(values: np.ndarray) -> np.ndarray:
     """Words that hold the values (any below 2**64), as many in each word as fit."""
-    values = values.astype(U64)
     n = len(values)
-    choice = np.zeros(n, np.int64)  # selector per start; wide ones first, so the last that fits packs most
+    choice = np.zeros(n, np.uint8)  # selector per start; wide ones first, so the last that fits packs most
     for s in range(len(WIDTHS), 0, -1):
         count, bits = WIDTHS[s - 1]
         if count > n:
             continue
-        wide = np.concatenate([[0], np.cumsum(values >> U64(bits) != 0)])
-        fits = wide[count:] == wide[:-count]
-        choice[: n - count + 1][fits] = s
+        fits, span = values < (1 << bits) if bits < 8 * values.itemsize else np.ones(n, bool), 1
+        while span < count and len(fits):  # fits at i: the span values from i on do
+            step = min(span, count - span)
+            fits = fits[: len(fits) - step] & fits[step:]
+            span += step
+            if span < count and not fits.any():
+                break
+        else:
+            np.copyto(choice[: len(fits)], s, where=fits)
+    values = values.astype(U64)
     counts = np.array([1, *(c for c, _ in WIDTHS)])
     step, starts, i = (np.arange(n) + counts[choice]).tolist(), [], 0
     while i < n:
