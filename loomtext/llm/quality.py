@@ -8,6 +8,8 @@ short for. Everything is one projection of built-in functions and one small aggr
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,10 @@ CLASSES = [("letter", r"\p{L}+"), ("space", SPACE), ("digit", r"\p{N}+"), ("stop
 
 WINDOW = 8
 
+#: max_word alone is above the distance of a text without any common word (about 0.33). The spread of clean documents
+#: (sf0.1, quality 1, 60 words or more) ends at 0.90 of that distance.
+BARE_SHARE = 0.92
+
 
 def repeated_words(words: Column) -> Column:
     """Number of words that lie in a window of 8 words that the text has twice or more, first one included. Windows
@@ -51,9 +57,10 @@ def _vocabulary() -> list[str]:
     return list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
 
 
-def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def features(docs: DataFrame, text_col: str = "text", any_case: bool = False) -> DataFrame:
     """docs with the struct __q: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes and common
-    (arrays of counts). The text is read whole; null counts as empty."""
+    (arrays of counts). The text is read whole; null counts as empty. Common words count in lower case and with a
+    capital first letter, or however they are written with any_case."""
     vocabulary = _vocabulary()
     marks = [chr(0x4E00 + i) for i in range(len(vocabulary))]
     spelled = [x for w, m in zip(vocabulary, marks, strict=True) for s in (w, w.capitalize()) for x in (F.lit(s), F.lit(m))]
@@ -67,7 +74,8 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         left.append(before := f"__no_{name}")
     sizes = [F.length("__t"), *[F.length(x) for x in left]]
     classes = [(a - b).cast("long") for a, b in zip(sizes, sizes[1:], strict=False)] + [sizes[-1].cast("long")]
-    common = F.transform(F.filter("__words", lambda w: w.isin(either)), lambda w: F.element_at(F.create_map(*spelled), w))
+    spelling = F.lower if any_case else (lambda w: w)
+    common = F.transform(F.filter("__words", lambda w: spelling(w).isin(either)), lambda w: F.element_at(F.create_map(*spelled), spelling(w)))
     df = df.withColumn("__common", F.concat_ws("", common))
     n_common = F.length("__common")
     counts = [(n_common - F.length(F.replace(F.col("__common"), F.lit(m), F.lit("")))).cast("long") for m in marks]
@@ -116,9 +124,16 @@ def jensen_shannon(counts: Column, reference: list[float]) -> Column:
     return let(total, lambda n: F.when(n > 0, distance(n)).otherwise(F.lit(1.0)))
 
 
+def bare_distance(common: list[float]) -> float:
+    """Distance from a language's shares of common words to a text that has none of them."""
+    rest = common[-1]
+    terms = 1 - rest + math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest > 0 else 0)
+    return math.sqrt(max(0.0, terms / 2))
+
+
 def judge(
     docs: DataFrame, max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60,
-    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None,
+    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None, any_case: bool = False, bare_share: float | None = None,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default) and the struct __q, now with class_distance, word_distance (to the
     nearest language; null without references), base_failed and kept.
@@ -126,12 +141,14 @@ def judge(
     kept: not base_failed, and class_distance <= max_class or fewer than min_chars characters, and word_distance <=
     max_word or fewer than min_words words. A null text counts as empty and fails; a null or unknown language only
     keeps a document out of the references. Rows are judged one by one, so repeated rows and ids get equal verdicts.
+    bare_share: if given, some language's word distance must also be at most this share of what a text without common
+    words has to it; a document of a known language without references is left to max_word alone.
     An empty table gives an empty result. Columns of docs that begin with two underscores are reserved.
     """
     keep = docs.columns if carry is None else carry
     need = list(dict.fromkeys([*keep, lang_col]))
     inputs = docs.select(*need, F.col(text_col).alias("__text"))
-    scored = materialize(features(inputs, "__text").drop("__text"), "quality")
+    scored = materialize(features(inputs, "__text", any_case).drop("__text"), "quality")
     known = references(scored, lang_col, min_words)
     q = F.col("__q")
 
@@ -142,6 +159,11 @@ def judge(
     out = scored.withColumn("__d", F.struct(nearest("classes", 0).alias("c"), nearest("common", 1).alias("w")))
     close = F.coalesce((F.col("__d")["c"] <= max_class) | (q["word_chars"] < min_chars), F.lit(True))
     close &= F.coalesce((F.col("__d")["w"] <= max_word) | (q["n_words"] < min_words), F.lit(True))
+    if bare_share is not None and known:
+        bounds = [(r[1], bare_share * bare) for r in known.values() if (bare := bare_distance(r[1])) > 0]
+        able = F.array(*[jensen_shannon(q["common"], r) <= bound for r, bound in bounds]) if len(bounds) == len(known) else F.array(F.lit(True))
+        other = F.coalesce(~F.col(lang_col).isin(list(known)), F.lit(False))
+        close &= F.array_contains(able, True) | (q["n_words"] < min_words) | other
     full = F.struct(
         *[q[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col("__d")["c"].alias("class_distance"), F.col("__d")["w"].alias("word_distance"),
@@ -150,9 +172,9 @@ def judge(
     return out.select(*keep, full.alias("__q"))
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
+def keep_good(docs: DataFrame, any_case: bool = True, bare_share: float | None = BARE_SHARE, **options) -> DataFrame:
     """The rows of docs that judge() keeps, with the columns of docs."""
-    return judge(docs, **options).where("__q.kept").drop("__q")
+    return judge(docs, any_case=any_case, bare_share=bare_share, **options).where("__q.kept").drop("__q")
 
 
 def op1_distribution_divergence(spark, sf_dir: str) -> DataFrame:
