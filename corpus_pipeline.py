@@ -7,7 +7,7 @@ next one's docs, so docs is always a plain scan of written files.
 
 from __future__ import annotations
 
-from loomtext.llm import packing, pii, quality, simhash, suffixes
+from loomtext.llm import jaccard, packing, pii, quality, suffixes
 from loomtext.llm.common import materialize
 
 
@@ -18,7 +18,7 @@ def quality_rules(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each group of near-duplicates stays, the one of the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    return jaccard.drop_near_duplicates(docs)
 
 
 def repeated_passages(spark, docs, sf_dir):

@@ -1,0 +1,187 @@
+"""Near-duplicates by exact Jaccard similarity of word shingles.
+
+Texts of equal words are one class. Candidates are classes that share one of BANDS bands of ROWS minima of their
+shingles' hashes: a pair of similarity 0.8 shares none with a chance of 0.0002, a closer one less. Each candidate pair
+is verified on its two sets of shingles before it links. Classes in one band's bucket are compared pair by pair while
+they are few. In a crowd, a leader of its largest component is compared with all that are not in that component, some
+rounds long, and at last all that are still outside with everyone: members of one component need no comparison, so every
+candidate pair is either in one component or was verified, and a crowd of near copies costs rows in proportion.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import SPACE, materialize
+from .simhash import LOWER, components
+
+BANDS, ROWS = 36, 7
+
+
+def shingles(text: str | None, words: int, seed: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word shingles; a shorter text is one shingle, no words give none."""
+    parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    whole, n = b" ".join(parts), len(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, n) + 1)
+    starts = np.r_[0, ends[:-1]]
+    digest = xxhash.xxh64_intdigest
+    last = min(words, n) - 1
+    return np.unique(np.array([digest(whole[a:b], seed) for a, b in zip(starts[: n - last].tolist(), (ends[last:] - 1).tolist(), strict=True)], np.uint64))
+
+
+def band_keys(hashes: np.ndarray, seed: int) -> list[int]:
+    """One key a band, the band's number in it, as signed longs."""
+    if not len(hashes):
+        return []
+    factors = np.random.default_rng(seed).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[at : at + 1024, None] * factors).min(axis=0), out=least)
+    keys = [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def class_of(text: Column) -> Column:
+    """64-bit hash of the text's words, in the lower case of A to Z."""
+    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.xxhash64(F.array_join(F.filter(F.split(lower, SPACE), lambda w: w != ""), " "))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of rows sorted by the first, cut only between its values."""
+    rest: tuple[np.ndarray, ...] | None = None
+    for b in batches:
+        now = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
+        if rest is not None:
+            now = tuple(np.concatenate(x) for x in zip(rest, now, strict=True))
+        if not len(now[0]):
+            continue
+        if cut := int(np.searchsorted(now[0], now[0][-1])):
+            yield tuple(x[:cut] for x in now)
+        rest = tuple(x[cut:] for x in now)
+    if rest is not None:
+        yield rest
+
+
+def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of buckets of two classes or more, with the bucket's size."""
+    for key, cls in whole_groups(batches):
+        _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+        use = n[back] > 1
+        yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(cls[use]), pa.array(n[back][use])], ["key", "cls", "size"])
+
+
+def pairs_of(batches: Iterator[pa.RecordBatch], turn: int, few: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) to verify in this turn, a < b; rows are key, cls and root (of the component so far)."""
+    for key, cls, root in whole_groups(batches):
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        found: list[np.ndarray] = []
+        held = 0
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+            c, r = cls[a:z], root[a:z]
+            if z - a <= few:
+                if turn:
+                    continue
+                i, j = np.triu_indices(z - a, 1)
+                both = [np.stack([c[i], c[j]], axis=1)]
+            else:
+                names, back, n = np.unique(r, return_inverse=True, return_counts=True)
+                main = back == n.argmax()
+                inside, outside = c[main], c[~main]
+                if last:
+                    both = (np.stack([np.full(k, x), c[r != r[at]]], axis=1) for at in np.flatnonzero(~main) for x in (c[at],) for k in (int((r != r[at]).sum()),))
+                else:
+                    lead = inside[((inside.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(7)).argmin()]
+                    both = [np.stack([np.full(len(outside), lead), outside], axis=1)]
+            for p in both:
+                found.append(p)
+                held += len(p)
+                if held > 500_000:
+                    yield _sorted_pairs(found)
+                    found, held = [], 0
+        if held:
+            yield _sorted_pairs(found)
+
+
+def _sorted_pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    p = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(p[:, 0].copy()), pa.array(p[:, 1].copy())], ["a", "b"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sets of shingles have at least this Jaccard similarity; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                p, q = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                both = 0
+                if min(len(p), len(q)) >= least * max(len(p), len(q)) - 1e-9:
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                ok.append(both > 0 and both >= least * (len(p) + len(q) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_())), b.column(1).filter(pa.array(ok, pa.bool_()))], ["a", "b"])
+
+    one = sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
+    other = sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
+    return materialize(pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "jaccard-links")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 5, least: float = 0.8, seed: int = 42, few: int = 16, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: doc_id and component_id, the smallest id that links of pairs of at least this similarity
+    reach, itself included. Null texts and texts of white space only are of one class. A null id gets its component's
+    smallest id (null if there is none). Repeated rows stay repeated. An empty table gives an empty result."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), class_of(text).alias("cls"), text.alias("text"))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = pa.array([band_keys(shingles(x.as_py(), words, seed), seed) for x in b.column(2)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), found], ["doc_id", "cls", "keys"])
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), words, seed).tobytes() for x in b.column(1)], pa.binary())], ["cls", "grams"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    found = materialize(rows.mapInArrow(keys, f"doc_id {kind}, cls bigint, keys array<bigint>"), "jaccard-keys")
+    classes = materialize(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "jaccard-classes")
+    spread = classes.select(F.explode("keys").alias("key"), "cls").repartition("key").sortWithinPartitions("key", "cls")
+    buckets = materialize(spread.mapInArrow(shared, "key bigint, cls bigint, size bigint"), "jaccard-buckets")
+    need = buckets.select("cls").distinct()
+    texts = rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+    sets = materialize(texts.select("cls", "text").mapInArrow(grams, "cls bigint, grams binary"), "jaccard-sets")
+    crowded = buckets.where(F.col("size") > few).limit(1).count() > 0
+    edges, tested, nodes, turns = None, None, None, 4 if crowded else 1
+    for turn in range(turns):
+        now = buckets.select("key", "cls", F.col("cls").alias("root"))
+        if nodes is not None:
+            now = buckets.where(F.col("size") > few).join(nodes, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("root", "cls").alias("root"))
+        dealt = now.repartition("key").sortWithinPartitions("key", "cls")
+        last = turn > 0 and turn == turns - 1
+        pairs = dealt.mapInArrow(lambda it, turn=turn, last=last: pairs_of(it, turn, few, last), "a bigint, b bigint").distinct()
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        good = verified(pairs, sets, least)
+        edges, tested = (good, pairs) if edges is None else (edges.unionByName(good), tested.unionByName(pairs))
+        nodes = components(edges)
+    linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
+    tops = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ends = materialize(linked.join(tops, "root").select("cls", "component_id"), "jaccard-components")
+    return found.join(ends, "cls").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """docs with one row of each near-duplicate group: the one of the smallest id. Rows with a null id or a repeated
+    id that is kept stay as they are; columns are those of docs."""
+    keep = near_duplicates(docs, words, least, seed, id_col=id_col).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    return docs.join(keep, F.col(id_col) == F.col("__keep"), "left_semi").unionByName(docs.where(F.col(id_col).isNull()))

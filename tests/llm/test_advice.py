@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
-from loomtext.llm import quality
+import pytest
 
-from .helpers import SCHEMA
+import corpus_pipeline
+from loomtext.llm import jaccard, quality
+
+from .helpers import SCHEMA, sentence
 
 
 def test_texts_without_common_words_go(spark):
@@ -17,3 +21,57 @@ def test_texts_without_common_words_go(spark):
     rows += [(100 + i, text(0), "en", "s", 0) for i in range(3)] + [(200, text(0.25).upper(), "en", "s", 0), (300, text(0), "zz", "s", 0), (301, text(0, 40), "en", "s", 0)]
     kept = {r[0] for r in quality.keep_good(spark.createDataFrame(rows, SCHEMA)).select("doc_id").collect()}
     assert kept == {*range(40), 200, 300, 301}
+
+
+def grams(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_components(rows):
+    """Smallest id of each row's component under exact five-word Jaccard >= 0.8, by comparing all pairs."""
+    sets, label = [grams(t) for _, t in rows], [i for i, _ in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in near:
+            if label[i] != label[j]:
+                label[i] = label[j] = min(label[i], label[j])
+                changed = True
+    return dict(zip([i for i, _ in rows], label, strict=True))
+
+
+def edited(rng, text, times):
+    words = text.split()
+    for at in rng.sample(range(len(words)), times):
+        words[at] = f"edit{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def near_rows(seed=22):
+    """Pairs around the threshold, a crowd of near copies of one text, copies in other case, short and empty texts."""
+    rng = random.Random(seed)
+    texts = [None, "", "  ", "One two", "one TWO", "one two three"]
+    for times in (1, 2, 3, 4, 5, 6, 8) * 5:
+        base = sentence(rng, 200)
+        texts += [base, edited(rng, base, times)]
+    crowd = sentence(rng, 150)
+    texts += [edited(rng, crowd, rng.randrange(1, 5)) for _ in range(60)] + [crowd.upper(), crowd]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("few", [16, 2, 10**6])
+def test_near_duplicates_are_those_of_the_threshold(spark, few):
+    rows = near_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df, few=few).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_duplicate_stage(spark):
+    rows = near_rows(23)
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, "")
+    assert {r[0] for r in out.select("doc_id").collect()} == set(brute_components(rows).values()) and out.columns == df.columns
