@@ -8,7 +8,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from loomtext.llm import jaccard, quality
+from loomtext.llm import jaccard, quality, simhash
 
 from .helpers import SCHEMA, sentence
 
@@ -75,3 +75,16 @@ def test_near_duplicate_stage(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, "")
     assert {r[0] for r in out.select("doc_id").collect()} == set(brute_components(rows).values()) and out.columns == df.columns
+
+
+def test_close_fingerprints_alone_do_not_link(spark):
+    rng, texts = random.Random(24), []
+    while len(texts) < 6:
+        base = sentence(rng, 200)
+        other = edited(rng, base, 7)
+        a, b = grams(base), grams(other)
+        bits = (simhash.fingerprint(base, 5) ^ simhash.fingerprint(other, 5)).bit_count()
+        if bits <= 7 and 5 * len(a & b) < 4 * len(a | b):
+            texts += [base, other]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, "").count() == 6
