@@ -1,11 +1,13 @@
 """Personal data: exact base patterns, and further identifiers by bootstrapped contextual extraction.
 
-The base spans (e-mail, IP address, card, phone) are the seeds. What stands left of a span, its key (`password=`,
-`token =`) or else its last word, is a lexical pattern. Other identifier-like tokens are candidates, each with its
-pattern. Spark scores the bipartite graph of patterns and instances: a pattern's confidence is the mean score of the
-distinct instances it extracts (with one pseudo-instance of score 0), an instance's score is the best confidence of
-its supported patterns. Scores start at the seeds and are passed along for some rounds, so an instance found with one
-pattern supports others. Candidates whose score reaches the threshold become spans of kind `id`.
+The base spans (e-mail, IP address, card, phone) and the values of keys that name a secret (`token = "..."`) are the
+seeds. Around a span stand its lexical patterns: its key (`password=`, `token =`), or else the two words left of it, and
+the words left and right of it. Other identifier-like tokens, and numbers behind a key, are candidates, each with its
+patterns. Spark scores the bipartite graph of patterns and instances: a pattern's confidence is the sum of the scores
+of the instances it extracts, over the number of all distinct tokens that stand in that context anywhere (and one
+pseudo-instance of score 0), an instance's score is the best confidence of its supported patterns. Scores start at the
+seeds and are passed along for some rounds, so an instance found with one pattern supports others. Candidates whose
+score reaches the threshold, and secrets, become spans of kind `id`.
 """
 
 from __future__ import annotations
@@ -33,6 +35,14 @@ TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 #: left to the base patterns: one that fails their checks (Luhn, lengths) is not personal data by its context alone.
 VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/-]{6,}[A-Za-z0-9]")
 SPACES = " \t\n\v\f\r"
+#: What may follow a key: a quoted string, groups of digits and capitals, or a plain token; with a digit, if not quoted.
+KEYED = re.compile(r"""(?:=>|[=:])[\x20\t]{0,4}(?:(["'`])([^\s"'`]{6,})\1|["'`]?([A-Z0-9]{2,}(?:[\x20-](?=[A-Z]*[0-9])[A-Z0-9]+)+(?![A-Za-z0-9_])|[A-Za-z0-9][A-Za-z0-9_+/.-]*[A-Za-z0-9]))""")
+#: Keys that name a secret or a person's number.
+SECRET = re.compile(
+    r"(?:^|[^a-z0-9])(?:token|password|passwd|pwd|passphrase|secret|(?:api|access|private|auth|secret)[\x20_-]?(?:key|token)|ssn|iban|(?:social[\x20_-]security|passport|account)(?:[\x20_-](?:number|no\.?))?)"
+    r"[\"']?[\x20\t]{0,4}$"
+)
+EDGE = ".,;!?\"'()[]{}#$%&*`"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -69,17 +79,62 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def pattern_before(text: str, start: int) -> str:
-    """The lexical pattern left of a place: a key with its = or :, or the last word; lower case."""
-    words = text[max(0, start - 80) : start].rstrip("\"'` ([{").split()
-    if not words:
-        return ""
-    last = words[-1].lower()
-    if last in ("=", ":", "=>") and len(words) > 1:
-        return f"{words[-2].lower()} {last}"
-    if last[-1] in "=:":
-        return last[-41:]
-    return last.strip(".,;!?\"'()[]{}#$%&*")[-40:]
+def key_of(words: list[str]) -> str:
+    """The key that ends the words left of a place, lower case: `token =`, `password=`; "" if there is none."""
+    last = words[-1].lower() if words else ""
+    if last in ("=", ":", "=>"):
+        return f"{words[-2].lower()[-41:]} {last}" if len(words) > 1 else ""
+    return last[-41:] if last and last[-1] in "=:" else ""
+
+
+def word(token: str) -> str:
+    return token.strip(EDGE).lower()[-40:]
+
+
+def patterns_of(left: list[str], right: str) -> list[str]:
+    """The lexical patterns of a place: its key, or the two words left of it (^: none), and those left and right."""
+    if key := key_of(left):
+        return [key]
+    if not left or not (one := word(left[-1])):
+        return []
+    two = word(left[-2]) if len(left) > 1 else "^"
+    return [f"{two} {one} _", f"{one} _ {word(right)}"]
+
+
+def patterns_around(text: str, start: int, end: int) -> list[str]:
+    left = text[max(0, start - 100) : start].rstrip("\"'` ([{").split()[-2:]
+    after = text[end : end + 60].lstrip(EDGE).split(maxsplit=1)
+    return patterns_of(left, after[0] if after else "")
+
+
+def followers(text: str, watch: set[str], ends: set[str]) -> Iterator[tuple[str, str]]:
+    """(pattern, token) of the tokens of the text that stand in a context of `watch`; ends: the last words of those."""
+    words = text.split()
+    for i, token in enumerate(words):
+        for sign in "=:":
+            if 0 < (j := token.rfind(sign)) < len(token) - 1 and (key := token[: j + 1].lower()[-41:]) in watch:
+                yield key, token[j + 1 :].strip(EDGE)
+        if not i or word(words[i - 1]) not in ends and words[i - 1][-1] not in "=:>":
+            continue
+        for p in patterns_of(words[max(0, i - 2) : i], words[i + 1] if i + 1 < len(words) else ""):
+            if p in watch:
+                yield p, token.strip(EDGE)
+
+
+def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
+    """(start, end, whether the key names a secret) of identifiers behind a key that no base span touches."""
+    taken = sorted((a, z) for _, a, z in spans)
+    out, i = [], 0
+    for m in KEYED.finditer(text):
+        a, z = m.span(2) if m[2] else m.span(3)
+        secret = bool(SECRET.search(text[max(0, m.start() - 48) : m.start()].lower()))
+        if not (m[2] and secret) and (sum(map(str.isalnum, text[a:z])) < 6 or not DIGIT.search(text, a, z)):
+            continue
+        while i < len(taken) and taken[i][1] <= a:
+            i += 1
+        if not any(x < z and y > a for x, y in taken[i : i + 4]):
+            out.append((a, z, secret))
+    return out
 
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -100,17 +155,17 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
-MENTION = "array<struct<kind:int,start:int,end:int,pattern:string,instance:string>>"
+MENTION = "array<struct<kind:int,start:int,end:int,seed:boolean,patterns:array<string>,instance:string>>"
 
 
 def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """The columns keep with __row (unique), __base (spans) and __seen (base spans and candidates, each with its
-    pattern and the hash of its string); written."""
+    patterns, whether it is a seed, and the hash of its string); written."""
     inputs = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def named(text: str, kind: int, a: int, z: int) -> dict:
-            return {"kind": kind, "start": a, "end": z, "pattern": pattern_before(text, a), "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
+        def named(text: str, kind: int, a: int, z: int, seed: bool = True) -> dict:
+            return {"kind": kind, "start": a, "end": z, "seed": seed, "patterns": patterns_around(text, a, z), "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
 
         for b in batches:
             base, seen = [], []
@@ -118,11 +173,13 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 text = x.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": z} for k, a, z in spans])
-                more = [(4, a, z) for a, z in candidates(text, spans)] if DIGIT.search(text) else []
+                own = keyed(text, spans) if "=" in text or ":" in text else []
+                rest = candidates(text, [*spans, *((4, a, z) for a, z, _ in own)]) if DIGIT.search(text) else []
+                more = sorted([*((4, a, z, s) for a, z, s in own), *((4, a, z, False) for a, z in rest)])
                 seen.append([named(text, *s) for s in [*spans, *more]])
             i32, text_type = pa.int32(), pa.string()
             spot = [("kind", i32), ("start", i32), ("end", i32)]
-            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("pattern", text_type), ("instance", text_type)])))]
+            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *own], [*keep, "__base", "__seen"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in inputs.schema if f.name in keep)
@@ -130,17 +187,38 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return materialize(found.withColumn("__row", F.monotonically_increasing_id()), "pii-mentions")
 
 
-def score_graph(edges: DataFrame, rounds: int, support: float) -> DataFrame:
-    """edges: distinct pattern, instance, seed (boolean). Returns instance and score of those that are not seeds."""
+def totals(docs: DataFrame, text_col: str, edges: DataFrame, support: float) -> DataFrame:
+    """pattern and the number of all distinct tokens in its context, of the patterns that can have enough support."""
+    counts = edges.groupBy("pattern").agg(F.count("*").alias("n_edges"))
+    counts = materialize(counts.where((F.col("n_edges") >= support) & (F.col("pattern") != "")), "pii-patterns")
+    watch = {r[0] for r in counts.select("pattern").collect()}
+    ends = {p.split(" _ ")[0] if " _ " in p else p.split(" ")[-2] for p in watch if "_" in p.split(" ")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = {x for t in b.column(0) for x in followers(t.as_py() or "", watch, ends)}
+            columns = zip(*found, strict=True) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["pattern", "token"])
+
+    if not watch:
+        return counts.select("pattern", F.col("n_edges").alias("total"))
+    tokens = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "pattern string, token string")
+    all_ = tokens.select("pattern", F.xxhash64("token").alias("token")).distinct().groupBy("pattern").agg(F.count("*").alias("n_tokens"))
+    total = F.greatest("n_edges", F.coalesce("n_tokens", F.lit(0))).alias("total")
+    return materialize(counts.join(all_, "pattern", "left").select("pattern", total), "pii-totals")
+
+
+def score_graph(edges: DataFrame, sizes: DataFrame, rounds: int, support: float) -> DataFrame:
+    """edges: distinct pattern, instance, seed (boolean); sizes: pattern, total. Returns instance and score."""
     scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"), F.max("seed").alias("seed"))
     for _ in range(rounds):
         scored = edges.select("pattern", "instance").join(scores, "instance")
-        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"), F.sum("score").alias("mass"))
-        good = patterns.where((F.col("mass") >= support) & (F.col("pattern") != "")).select("pattern", "confidence")
+        patterns = scored.groupBy("pattern").agg(F.sum("score").alias("mass")).where(F.col("mass") >= support).join(sizes, "pattern")
+        good = patterns.select("pattern", (F.col("mass") / (F.col("total") + 1)).alias("confidence"))
         passed = scored.join(good, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
         scores = scores.join(passed, "instance", "left").select("instance", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"), "seed")
         scores = materialize(scores, "pii-scores")
-    return scores.where(~F.col("seed")).select("instance", "score")
+    return scores.select("instance", "score")
 
 
 def find_pii(
@@ -156,9 +234,9 @@ def find_pii(
     """
     keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
     table = mentions(docs, text_col, keep)
-    seen = table.select(F.explode("__seen").alias("m")).select("m.pattern", "m.instance", (F.col("m.kind") < 4).alias("seed"))
+    seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed").fillna("", ["pattern"])
     edges = materialize(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    found = score_graph(edges, rounds, support).where(F.col("score") >= threshold).select("instance")
+    found = score_graph(edges, totals(docs, text_col, edges, support), rounds, support).where(F.col("score") >= threshold).select("instance")
     unsure = F.filter("__seen", lambda m: m["kind"] == 4)
     spots = table.where(F.size(unsure) > 0).select("__row", F.explode(unsure).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
     spans = spots.join(found, "instance", "left_semi").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("__added"))

@@ -8,7 +8,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from loomtext.llm import jaccard, quality, simhash
+from loomtext.llm import jaccard, pii, quality, simhash
 
 from .helpers import SCHEMA, sentence
 
@@ -88,3 +88,14 @@ def test_close_fingerprints_alone_do_not_link(spark):
             texts += [base, other]
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
     assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, "").count() == 6
+
+
+def test_function_words_are_no_patterns(spark):
+    rng = random.Random(25)
+    rows = [f"{sentence(rng, 12)} {rng.choice(['of', 'in', 'and'])} the bob{i}@example.com {sentence(rng, 12)}" for i in range(60)]
+    plain = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    clean = ["of the ISO27001-2022 norm", "and the RFC9110draft text of the covid-19variant", "in the Windows11Pro"]
+    rows += clean + [" ".join(f"{w} the {plain()}" for w in ("of", "in", "and") for _ in range(5)) for _ in range(20)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(rows)], SCHEMA)
+    out = pii.find_pii(df).collect()
+    assert all(r["added"] == [] for r in out) and sum(len(r["base"]) for r in out) == 60
