@@ -99,3 +99,18 @@ def test_function_words_are_no_patterns(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(rows)], SCHEMA)
     out = pii.find_pii(df).collect()
     assert all(r["added"] == [] for r in out) and sum(len(r["base"]) for r in out) == 60
+
+
+def test_secrets_and_numbers_behind_keys(spark):
+    texts = {
+        1: 'with token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" here', 2: "password=hunter2secret and on", 3: "my api key: sk_live_99ab77cd here",
+        4: "ssn: 123-45-6789 is hers", 5: "iban: DE89 3704 0044 0532 0130 00 please", 6: "tel: 555 123 4567 at noon", 7: 'token: "correct-horse"',
+        8: "the number 1234567890123456 and the year: 2024 05 01, the token was spent, secret: nothing, at 12:30:45678", 9: "again 04dbebab91ab85687d33eeaaf9ac699e1188f962 there",
+    }
+    rows = [*texts.items(), *((100 + i, f"tel: +1 514 555 {1000 + i} at noon") for i in range(12))]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)).collect()}
+    want = {
+        1: 'with token = "[ID]" here', 2: "password=[ID] and on", 3: "my api key: [ID] here", 4: "ssn: [ID] is hers", 5: "iban: [ID] please", 6: "tel: [ID] at noon",
+        7: 'token: "[ID]"', 8: texts[8], 9: "again [ID] there",
+    }
+    assert {i: got[i] for i in want} == want
