@@ -188,9 +188,11 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 
 def totals(docs: DataFrame, text_col: str, edges: DataFrame, support: float) -> DataFrame:
-    """pattern and the number of all distinct tokens in its context, of the patterns that can have enough support."""
-    counts = edges.groupBy("pattern").agg(F.count("*").alias("n_edges"))
-    counts = materialize(counts.where((F.col("n_edges") >= support) & (F.col("pattern") != "")), "pii-patterns")
+    """pattern and the number of all distinct tokens in its context, of the patterns that can have enough support and
+    extract more than seeds, whose scores are fixed: the other patterns change no score."""
+    counts = edges.groupBy("pattern").agg(F.count("*").alias("n_edges"), F.bool_and("seed").alias("fixed"))
+    counts = counts.where((F.col("n_edges") >= support) & ~F.col("fixed") & (F.col("pattern") != "")).drop("fixed")
+    counts = materialize(counts, "pii-patterns")
     watch = {r[0] for r in counts.select("pattern").collect()}
     ends = {p.split(" _ ")[0] if " _ " in p else p.split(" ")[-2] for p in watch if "_" in p.split(" ")}
 
