@@ -1,19 +1,22 @@
 """Personal data: exact base patterns, and further identifiers by bootstrapped contextual extraction.
 
-The base spans (e-mail, IP address, card, phone) and the values of keys that name a secret (`token = "..."`) are the
-seeds. Around a span stand its lexical patterns: its key (`password=`, `token =`), or else the two words left of it, and
-the words left and right of it. Other identifier-like tokens, and numbers behind a key, are candidates, each with its
-patterns. Spark scores the bipartite graph of patterns and instances: a pattern's confidence is the sum of the scores
-of the instances it extracts, over the number of all distinct tokens that stand in that context anywhere (and one
-pseudo-instance of score 0), an instance's score is the best confidence of its supported patterns. Scores start at the
-seeds and are passed along for some rounds, so an instance found with one pattern supports others. Candidates whose
-score reaches the threshold, and secrets, become spans of kind `id`.
+Seeds are the base spans (e-mail, IP address, card, phone), the values of keys that name a secret (`token = "..."`) and
+strings that only a generator makes (16 characters or more of letters and digits that change places often). Around a
+mention stand its lexical patterns: its key (`password=`, `token =`), or else the two words left of it (^: none), the words left and
+right of it, and the two words right of it; a generated-looking value also has its shape: alphabet, length and first
+letters. Other identifier-like tokens, and numbers behind a key, are candidates, each with its patterns. Spark scores the
+bipartite graph of patterns and instances: a pattern's confidence is the sum of the scores of its instances over the
+number of all distinct tokens that stand in that context anywhere (and one pseudo-instance of score 0); a pattern is
+good if that sum reaches `support` and its confidence `threshold`; an instance's score is the best confidence of its
+good patterns. Scores start at the seeds and are passed along until they settle, so an instance found with one pattern
+supports others. Seeds that are no base span, and instances of good patterns, become spans of kind `id`.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,10 +34,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 LETTER = re.compile(r"[A-Za-z]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-#: A candidate: 8 characters or more of an identifier's alphabet, a digit and a letter among them. Bare numbers are
-#: left to the base patterns: one that fails their checks (Luhn, lengths) is not personal data by its context alone.
+#: A candidate: 8 characters or more of an identifier's alphabet, a digit and a letter among them, or 16 capitals and
+#: digits. Bare numbers are left to the base patterns: one that fails their checks (Luhn, lengths) is not personal data
+#: by its context alone.
 VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_+/-]{6,}[A-Za-z0-9]")
-SPACES = " \t\n\v\f\r"
+CAPITALS = re.compile(r"[A-Z0-9]{16}")
+CHANGE = re.compile(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")
+RUN = re.compile(r"[A-Za-z0-9]{16,}")
 #: What may follow a key: a quoted string, groups of digits and capitals, or a plain token; with a digit, if not quoted.
 KEYED = re.compile(r"""(?:=>|[=:])[\x20\t]{0,4}(?:(["'`])([^\s"'`]{6,})\1|["'`]?([A-Z0-9]{2,}(?:[\x20-](?=[A-Z]*[0-9])[A-Z0-9]+)+(?![A-Za-z0-9_])|[A-Za-z0-9][A-Za-z0-9_+/.-]*[A-Za-z0-9]))""")
 #: Keys that name a secret or a person's number.
@@ -79,46 +85,81 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def key_of(words: list[str]) -> str:
+def word(token: str) -> str:
+    return token.strip(EDGE).lower()
+
+
+def key_of(left: list[str]) -> str:
     """The key that ends the words left of a place, lower case: `token =`, `password=`; "" if there is none."""
-    last = words[-1].lower() if words else ""
+    last = left[-1].lower() if left else ""
     if last in ("=", ":", "=>"):
-        return f"{words[-2].lower()[-41:]} {last}" if len(words) > 1 else ""
-    return last[-41:] if last and last[-1] in "=:" else ""
+        return f"{left[-2].lower()} {last}" if len(left) > 1 else ""
+    return last if last and last[-1] in "=:" else ""
 
 
-def word(token: str) -> str:
-    return token.strip(EDGE).lower()[-40:]
+def named(pattern: str) -> str:
+    """A pattern as it is stored: itself, or its hash if it is long."""
+    return pattern if len(pattern) <= 120 else "#" + hashlib.sha256(pattern.encode()).hexdigest()[:40]
 
 
-def patterns_of(left: list[str], right: str) -> list[str]:
-    """The lexical patterns of a place: its key, or the two words left of it (^: none), and those left and right."""
+def patterns_of(left: list[str], right: list[str]) -> list[str]:
+    """The lexical patterns of a place between two words at most on either side."""
     if key := key_of(left):
-        return [key]
-    if not left or not (one := word(left[-1])):
-        return []
-    two = word(left[-2]) if len(left) > 1 else "^"
-    return [f"{two} {one} _", f"{one} _ {word(right)}"]
+        return [named(key)]
+    out = []
+    after = word(right[0]) if right else ""
+    if left and (one := word(left[-1])):
+        out = [named(f"{word(left[-2]) if len(left) > 1 else '^'} {one} _"), named(f"{one} _ {after}")]
+    if after and len(right) > 1:
+        out.append(named(f"_ {after} {word(right[1])}"))
+    return out
+
+
+def generated(value: str) -> bool:
+    """Whether a value looks as if no one had written it: a run of 16 letters and digits that change places 4 times."""
+    return any(len(CHANGE.findall(m[0])) >= 4 for m in RUN.finditer(value))
+
+
+def shape_of(value: str) -> str:
+    """Alphabet (digits aside), length and up to four first capitals of a value of 16 characters or more; "" for a shorter one."""
+    if len(value) < 16:
+        return ""
+    kinds = "".join(k for k, p in (("a", r"[a-z]"), ("A", r"[A-Z]"), ("-", r"[^A-Za-z0-9]")) if re.search(p, value))
+    return named(f"shape {kinds} {len(value)} {re.match(r'[A-Z]{0,4}', value)[0]}")
+
 
+class Places:
+    """The words of a text, for the two on either side of a mention."""
 
-def patterns_around(text: str, start: int, end: int) -> list[str]:
-    left = text[max(0, start - 100) : start].rstrip("\"'` ([{").split()[-2:]
-    after = text[end : end + 60].lstrip(EDGE).split(maxsplit=1)
-    return patterns_of(left, after[0] if after else "")
+    def __init__(self, text: str) -> None:
+        self.text, spans = text, [m.span() for m in TOKEN.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [z for _, z in spans]
 
+    def around(self, start: int, end: int) -> tuple[list[str], list[str]]:
+        """Words left and right; parts of the words that hold the mention count if more than brackets is left."""
+        text, i = self.text, bisect_left(self.ends, start + 1)
+        left = [text[self.starts[k] : self.ends[k]] for k in range(max(0, i - 2), i)]
+        if i < len(self.starts) and self.starts[i] < start and (part := text[self.starts[i] : start].rstrip("\"'`([{")):
+            left = [*left, part][-2:]
+        j = bisect_left(self.starts, end)
+        right = [text[self.starts[k] : self.ends[k]] for k in range(j, min(j + 2, len(self.starts)))]
+        if j and self.ends[j - 1] > end and (part := text[end : self.ends[j - 1]].lstrip(EDGE)):
+            right = [part, *right][:2]
+        return left, right
 
-def followers(text: str, watch: set[str], ends: set[str]) -> Iterator[tuple[str, str]]:
-    """(pattern, token) of the tokens of the text that stand in a context of `watch`; ends: the last words of those."""
-    words = text.split()
-    for i, token in enumerate(words):
+
+def followers(text: str, ends: set[str] | None) -> Iterator[tuple[str, str]]:
+    """(pattern, token) of the tokens of the text, in lower case, in each context next to a word of `ends` or behind a
+    key; None: in every context."""
+    words = text.lower().split()
+    bare = [w.strip(EDGE) for w in words]
+    for i, w in enumerate(words):
         for sign in "=:":
-            if 0 < (j := token.rfind(sign)) < len(token) - 1 and (key := token[: j + 1].lower()[-41:]) in watch:
-                yield key, token[j + 1 :].strip(EDGE)
-        if not i or word(words[i - 1]) not in ends and words[i - 1][-1] not in "=:>":
-            continue
-        for p in patterns_of(words[max(0, i - 2) : i], words[i + 1] if i + 1 < len(words) else ""):
-            if p in watch:
-                yield p, token.strip(EDGE)
+            if 0 < (j := w.rfind(sign)) < len(w) - 1:
+                yield named(w[: j + 1]), w[j + 1 :].strip(EDGE)
+        if ends is None or (i and (bare[i - 1] in ends or words[i - 1][-1] in "=:>")) or (i + 1 < len(bare) and bare[i + 1] in ends):
+            for p in patterns_of(words[max(0, i - 2) : i], words[i + 1 : i + 3]):
+                yield p, bare[i]
 
 
 def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
@@ -137,20 +178,20 @@ def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
     return out
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Identifier-like values that no base span touches."""
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
+    """(start, end, whether it looks generated) of identifier-like values that no base span touches."""
     taken = sorted((a, z) for _, a, z in spans)
     out, i = [], 0
     for token in TOKEN.finditer(text):
-        if not DIGIT.search(token[0]):
+        if not DIGIT.search(token[0]) and not CAPITALS.search(token[0]):
             continue
         for m in VALUE.finditer(text, token.start(), token.end()):
-            if not (DIGIT.search(m[0]) and LETTER.search(m[0])):
+            if not (LETTER.search(m[0]) and (DIGIT.search(m[0]) or len(m[0]) >= 16 and m[0].isupper())):
                 continue
             while i < len(taken) and taken[i][1] <= m.start():
                 i += 1
             if not any(a < m.end() and z > m.start() for a, z in taken[i : i + 4]):
-                out.append((m.start(), m.end()))
+                out.append((m.start(), m.end(), generated(m[0])))
     return out
 
 
@@ -164,8 +205,11 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     inputs = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def named(text: str, kind: int, a: int, z: int, seed: bool = True) -> dict:
-            return {"kind": kind, "start": a, "end": z, "seed": seed, "patterns": patterns_around(text, a, z), "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
+        def mention(text: str, places: Places, kind: int, a: int, z: int, seed: bool = True) -> dict:
+            patterns = patterns_of(*places.around(a, z))
+            if kind == 4 and (shape := shape_of(text[a:z])):
+                patterns.append(shape)
+            return {"kind": kind, "start": a, "end": z, "seed": seed, "patterns": patterns, "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
 
         for b in batches:
             base, seen = [], []
@@ -173,10 +217,11 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 text = x.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": z} for k, a, z in spans])
-                own = keyed(text, spans) if "=" in text or ":" in text else []
-                rest = candidates(text, [*spans, *((4, a, z) for a, z, _ in own)]) if DIGIT.search(text) else []
-                more = sorted([*((4, a, z, s) for a, z, s in own), *((4, a, z, False) for a, z in rest)])
-                seen.append([named(text, *s) for s in [*spans, *more]])
+                own = [(a, z, x or generated(text[a:z])) for a, z, x in keyed(text, spans)] if "=" in text or ":" in text else []
+                rest = candidates(text, [*spans, *((4, a, z) for a, z, _ in own)]) if DIGIT.search(text) or CAPITALS.search(text) else []
+                more = sorted((4, *x) for x in (*own, *rest))
+                places = Places(text) if spans or more else None
+                seen.append([mention(text, places, *s) for s in [*spans, *more]])
             i32, text_type = pa.int32(), pa.string()
             spot = [("kind", i32), ("start", i32), ("end", i32)]
             own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
@@ -187,65 +232,140 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return materialize(found.withColumn("__row", F.monotonically_increasing_id()), "pii-mentions")
 
 
-def totals(docs: DataFrame, text_col: str, edges: DataFrame, support: float) -> DataFrame:
-    """pattern and the number of all distinct tokens in its context, of the patterns that can have enough support and
-    extract more than seeds, whose scores are fixed: the other patterns change no score."""
-    counts = edges.groupBy("pattern").agg(F.count("*").alias("n_edges"), F.bool_and("seed").alias("fixed"))
-    counts = counts.where((F.col("n_edges") >= support) & ~F.col("fixed") & (F.col("pattern") != "")).drop("fixed")
-    counts = materialize(counts, "pii-patterns")
-    watch = {r[0] for r in counts.select("pattern").collect()}
-    ends = {p.split(" _ ")[0] if " _ " in p else p.split(" ")[-2] for p in watch if "_" in p.split(" ")}
+def eligible(edges: DataFrame, support: float) -> DataFrame:
+    """pattern, n_edges and n_seeds of the patterns that have enough instances and could add one; written."""
+    counts = edges.where("pattern <> ''").groupBy("pattern").agg(F.count("*").alias("n_edges"), F.sum(F.col("seed").cast("long")).alias("n_seeds"))
+    return materialize(counts.where((F.col("n_edges") >= support) & (F.col("n_seeds") < F.col("n_edges"))), "pii-patterns")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float, most_sent: int = 100_000) -> DataFrame:
+    """The patterns with total, the number of all distinct tokens in their context, but for those whose total rules out
+    that they ever reach the threshold (more than their instances over it).
+
+    Up to most_sent patterns (120 characters each at most) travel with the tasks, which count each pattern's distinct
+    tokens only until it is ruled out, so that a task sends rows in proportion to the patterns' instances. More patterns
+    than that meet all contexts of the corpus in a join by the contexts' hash."""
+    lexical = patterns.where(~F.col("pattern").startswith("shape "))
+    most = F.floor(F.col("n_edges") / threshold).cast("long")
+    shapes = patterns.where(F.col("pattern").startswith("shape ")).withColumn("total", F.col("n_edges"))
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    n = lexical.count()
+    if not n:
+        return shapes
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64()), strict=True)], ["pattern", "token"])
+
+    def digest(token: str) -> int:
+        return int.from_bytes(hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+    def watched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, set[int] | None] = {}
         for b in batches:
-            found = {x for t in b.column(0) for x in followers(t.as_py() or "", watch, ends)}
-            columns = zip(*found, strict=True) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["pattern", "token"])
-
-    if not watch:
-        return counts.select("pattern", F.col("n_edges").alias("total"))
-    tokens = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "pattern string, token string")
-    all_ = tokens.select("pattern", F.xxhash64("token").alias("token")).distinct().groupBy("pattern").agg(F.count("*").alias("n_tokens"))
-    total = F.greatest("n_edges", F.coalesce("n_tokens", F.lit(0))).alias("total")
-    return materialize(counts.join(all_, "pattern", "left").select("pattern", total), "pii-totals")
-
-
-def score_graph(edges: DataFrame, sizes: DataFrame, rounds: int, support: float) -> DataFrame:
-    """edges: distinct pattern, instance, seed (boolean); sizes: pattern, total. Returns instance and score."""
-    scores = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"), F.max("seed").alias("seed"))
-    for _ in range(rounds):
-        scored = edges.select("pattern", "instance").join(scores, "instance")
-        patterns = scored.groupBy("pattern").agg(F.sum("score").alias("mass")).where(F.col("mass") >= support).join(sizes, "pattern")
-        good = patterns.select("pattern", (F.col("mass") / (F.col("total") + 1)).alias("confidence"))
-        passed = scored.join(good, "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
-        scores = scores.join(passed, "instance", "left").select("instance", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"), "seed")
-        scores = materialize(scores, "pii-scores")
-    return scores.select("instance", "score")
+            for x in b.column(0):
+                for p, token in followers(x.as_py() or "", ends):
+                    if (top := limits.get(p)) is None or (own := found.setdefault(p, set())) is None:
+                        continue
+                    own.add(digest(token))
+                    if len(own) > top:
+                        found[p] = None  # ruled out
+        for p, own in found.items():
+            yield packed([(p, t) for t in own] if own is not None else [(p, None)])
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: set[tuple[str, int]] = set()
+        for b in batches:
+            for x in b.column(0):
+                rows.update((p, digest(t)) for p, t in followers(x.as_py() or "", None))
+                if len(rows) > 200_000:
+                    yield packed(list(rows))
+                    rows = set()
+        yield packed(list(rows))
+
+    if n <= most_sent:
+        limits = {r[0]: r[1] for r in lexical.select("pattern", most).collect()}
+        ends = {w for p in limits for w in _neighbours(p)} if not any(p.startswith("#") for p in limits) else None
+        tokens = texts.mapInArrow(watched, "pattern string, token bigint")
+    else:
+        tokens = texts.mapInArrow(every, "pattern string, token bigint").join(lexical.select("pattern"), "pattern", "left_semi")
+    # first the distinct tokens, so that a frequent context is not one task's
+    each = tokens.groupBy("pattern", "token").agg(F.lit(1).alias("one")).groupBy("pattern")
+    sums = each.agg(F.count("token").alias("n_tokens"), F.bool_or(F.col("token").isNull()).alias("out"))
+    sized = lexical.join(sums, "pattern", "left").where(~F.coalesce("out", F.lit(False)))
+    sized = sized.withColumn("total", F.greatest("n_edges", F.coalesce("n_tokens", F.lit(0)))).where(F.col("total") <= most)
+    return materialize(sized.select("pattern", "n_edges", "n_seeds", "total").unionByName(shapes), "pii-totals")
+
+
+def _neighbours(pattern: str) -> list[str]:
+    """The word next to the place, of a pattern that is no key."""
+    before, gap, after = pattern.partition("_ ") if pattern.startswith("_ ") else pattern.partition(" _")
+    if not gap:
+        return []
+    return [after.split(" ")[0]] if not before else [before.split(" ")[-1]]
+
+
+def score_graph(edges: DataFrame, sizes: DataFrame, support: float, threshold: float, settled: float = 1e-3, salts: int = 16) -> DataFrame:
+    """instance and score of the instances that are no seeds and that good patterns reach. edges: distinct pattern,
+    instance, seed; sizes: pattern, n_seeds, total. Seeds count by their number alone; only edges of other instances
+    take part in the rounds, which end when no score rises by more than `settled`. A pattern or an instance with very
+    many edges is dealt to `salts` tasks: the short side of each join is repeated so often."""
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    salt = lambda of: F.pmod(F.xxhash64(of), F.lit(salts)).cast("int").alias("salt")
+    useful = sizes.select("pattern", spread)
+    open_ = edges.where(~F.col("seed")).select("pattern", "instance", salt("instance")).join(useful, ["pattern", "salt"], "left_semi")
+    open_ = materialize(open_.select("pattern", "instance"), "pii-open")
+    scores = None
+    while True:
+        mass = F.col("n_seeds").cast("double")
+        now = sizes
+        if scores is not None:
+            met = open_.withColumn("salt", salt("pattern")).join(scores.select("instance", "score", spread), ["instance", "salt"])
+            now = sizes.join(met.groupBy("pattern").agg(F.sum("score").alias("found")), "pattern", "left")
+            mass = mass + F.coalesce("found", F.lit(0.0))
+        good = now.select("pattern", mass.alias("mass"), (mass / (F.col("total") + 1)).alias("confidence")).where((F.col("mass") >= support) & (F.col("confidence") >= threshold))
+        reached = open_.withColumn("salt", salt("instance")).join(good.select("pattern", "confidence", spread), ["pattern", "salt"])
+        new = materialize(reached.groupBy("instance").agg(F.max("confidence").alias("score")), "pii-scores")
+        if scores is None:
+            risen = new.limit(1).count()
+        else:
+            before = scores.select("instance", F.col("score").alias("before"))
+            risen = new.join(before, "instance", "left").where(F.col("score") > F.coalesce("before", F.lit(0.0)) + settled).limit(1).count()
+        scores = new
+        if not risen:
+            return scores
 
 
 def find_pii(
-    docs: DataFrame, rounds: int = 3, support: float = 3.0, threshold: float = 0.7, text_col: str = "text", carry: list[str] | None = None,
-    names: tuple[str, str] = ("base", "added"),
+    docs: DataFrame, support: float = 3.0, threshold: float = 0.7, text_col: str = "text", carry: list[str] | None = None,
+    names: tuple[str, str] = ("base", "added"), most_sent: int = 100_000, salts: int = 16,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default) with base and added (or other `names`): arrays of (kind, start,
     end), kinds numbered as in KINDS, code points, end exclusive; base by kind and start, added by start.
 
-    support: a pattern must extract instances of at least this much score; threshold: least score of an instance that
-    is added. Null and empty texts have no spans. Repeated rows get equal spans (their instances count once). An empty
-    table gives an empty result. Columns of docs that have these names are replaced.
+    support: a pattern must extract instances of at least this much score; threshold: least confidence of a pattern
+    that adds instances; most_sent and salts change where the work is done, not the result. Null and empty texts have no spans. Repeated rows get equal spans (their instances count
+    once). An empty table gives an empty result. Columns of docs that have these names are replaced.
     """
     keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
     table = mentions(docs, text_col, keep)
     seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed").fillna("", ["pattern"])
     edges = materialize(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    found = score_graph(edges, totals(docs, text_col, edges, support), rounds, support).where(F.col("score") >= threshold).select("instance")
+    patterns = eligible(edges, support)
     unsure = F.filter("__seen", lambda m: m["kind"] == 4)
-    spots = table.where(F.size(unsure) > 0).select("__row", F.explode(unsure).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
-    spans = spots.join(found, "instance", "left_semi").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("__added"))
     none = F.array().cast(SPAN)
+    sure = F.transform(F.filter("__seen", lambda m: (m["kind"] == 4) & m["seed"]), lambda m: F.struct(m["kind"], m["start"], m["end"]))
     both = lambda added: [F.col("__base").alias(names[0]), added.alias(names[1])]
     plain = table.where(F.size(unsure) == 0).select(*keep, *both(none))
-    rest = table.where(F.size(unsure) > 0).join(spans, "__row", "left").select(*keep, *both(F.coalesce("__added", none)))
+    rest = table.where(F.size(unsure) > 0)
+    # what is found in one place is known elsewhere, too: a seed's string, and an instance of a good pattern
+    found = score_graph(edges, totals(docs, text_col, patterns, threshold, most_sent), support, threshold, salts=salts).select("instance")
+    found = found.unionByName(edges.where("seed").select("instance").distinct())
+    spots = rest.select("__row", F.explode(F.filter(unsure, lambda m: ~m["seed"])).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
+    spots = spots.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
+    found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spans = spots.join(found, ["instance", "__salt"], "left_semi").groupBy("__row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("__added"))
+    rest = rest.join(spans, "__row", "left").select(*keep, *both(F.array_sort(F.concat(sure, F.coalesce("__added", none)))))
     return plain.unionByName(rest)
 
 
@@ -279,5 +399,5 @@ def op6_bootstrapped_contexts(spark, sf_dir: str) -> DataFrame:
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])],
         F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         written(F.concat("base", "added")).alias("spans"),
-        F.size("added").cast("long").alias("n_id"),
+        F.size("added").cast("long").alias("n_id"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
     )
