@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 #: The white space that separates words in every contract of this subpackage: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -34,25 +39,48 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function for mapInArrow, giving memory back to the system when its task is over: Spark keeps the worker for
+    later stages, and what an idle worker holds is missing there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)
+
+    return run
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value evaluated once however often body uses it (a lambda variable is not inlined)."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def range_bounds(df: DataFrame, column: str, parts: int) -> list:
-    """At most parts - 1 ascending bounds that cut the column's values into ranges of about equal counts."""
+    """At most parts - 1 ascending bounds that cut the column's values into ranges of about equal counts: quantiles of
+    numbers; of other types, those of the 100 * parts distinct values of least hash."""
     if parts < 2:
         return []
-    shares = [i / parts for i in range(1, parts)]
-    row = df.agg(F.percentile_approx(column, shares, 20 * parts).alias("b")).first()
-    return sorted(set(row["b"] or []))
+    if isinstance(df.schema[column].dataType, NumericType):
+        shares = [i / parts for i in range(1, parts)]
+        return sorted(set(df.agg(F.percentile_approx(column, shares, 20 * parts).alias("b")).first()["b"] or []))
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct()
+    some = sorted(r[0] for r in values.orderBy(F.xxhash64("v")).limit(100 * parts).collect())
+    return sorted({some[len(some) * i // parts] for i in range(1, parts)}) if some else []
 
 
 def range_bucket(column: str, bounds: list) -> Column:
-    """Number of bounds that are less than the column's value: ranges ascend with the value; null goes to range 0."""
+    """Number of bounds that are less than the column's value, by binary search: ranges ascend with the value; null
+    goes to range 0."""
     if not bounds:
         return F.lit(0)
-    return F.coalesce(F.aggregate(F.lit(bounds), F.lit(0), lambda n, b: n + (b < F.col(column)).cast("int")), F.lit(0))
+    table = F.array(*[F.lit(b) for b in bounds])
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    less = lambda n, s: (n + s <= len(bounds)) & (F.get(table, n + s - 1) < F.col(column))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda n, s: F.when(F.coalesce(less(n, s), F.lit(False)), n + s).otherwise(n))
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:

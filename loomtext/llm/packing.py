@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .wordbpe import END, runs, word_bpe
+from .common import lean, materialize
+from .wordbpe import runs, word_bpe
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -76,20 +76,23 @@ def pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_bpe(path)
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            keys, texts = b.column(0), b.column(1)
             for lo, hi in runs(texts):
-                rows = []
-                for i, data in enumerate(encoder.encode(texts[lo:hi]), lo):
-                    ids = data + END.to_bytes(4, "little")
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                i, *rest = (pa.array(c, pa.int64()) for c in zip(*rows, strict=True))
-                rest[0] = rest[0].cast(pa.int32())
-                yield pa.RecordBatch.from_arrays([keys.take(i), *rest], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                ids, sizes = encoder.encode_ended(texts.slice(lo, hi - lo))
+                each = -(-sizes // capacity)
+                owner = np.repeat(np.arange(len(sizes)), each)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)
+                start = piece * capacity
+                length = np.minimum(capacity, sizes[owner] - start)
+                first = (np.cumsum(sizes) - sizes)[owner] + start
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                crcs = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
+                columns = [keys.take(pa.array(owner + lo)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crcs, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+        encoder.forget()
 
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return named.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return named.mapInArrow(lean(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def pack(

@@ -1,69 +1,120 @@
 """Whole texts to ids of a word BPE vocabulary, by the tokenizers library.
 
 White space never survives this vocabulary's normaliser and pre-tokeniser, so a text's ids are those of its
-white-space-separated pieces in order. Each worker encodes a distinct piece once, many in one call, and looks the
-rest up. The memory of pieces is bounded: when it is full, it keeps those of the texts at hand, the frequent ones
-among them. ASCII capitals, which the normaliser lowers anyway, are lowered first, so that fewer pieces differ.
+white-space-separated pieces in order. A batch of texts is split and its distinct pieces are found by Arrow; each worker
+encodes a piece it doesn't know once, many in one call, and the texts' ids are gathered from those of the distinct
+pieces. The memory of pieces is bounded: when it is full, it keeps those of the batch at hand, the frequent ones among
+them. ASCII capitals, which the normaliser lowers anyway, are lowered first, so that fewer pieces differ.
 """
 
 from __future__ import annotations
 
 import re
 from functools import lru_cache
-from itertools import chain, compress, filterfalse
 
 import numpy as np
 import public_tokenizers
-from tokenizers import Tokenizer, normalizers
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Visible ASCII without capitals, and lower-case letters of Latin-1: composed already and in lower case.
 PLAIN = re.compile("[!-@\\[-~ß-öø-ÿ]+")
+WORD = re.compile("[a-zß-öø-ÿ]+")
 VOCABULARY = "word_bpe_49k.json"
 END = 1
+#: What ends a word's last token in this vocabulary.
+WORD_END = "</w>"
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places start .. start + size - 1 of each span, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class WordBpe:
-    def __init__(self, path: str, most_pieces: int = 900_000) -> None:
-        self.tokenizer, self.without_normaliser = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.without_normaliser.normalizer = normalizers.Sequence([])
-        self.known: dict[bytes, bytes] = {}
+    def __init__(self, path: str, most_pieces: int = 300_000) -> None:
+        self.tokenizer = Tokenizer.from_file(path)
+        self.normal, self.split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.words = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.known: dict[str, bytes] = {}
         self.most = most_pieces
 
-    def lowered(self, data: bytes) -> bytes:
-        """Lower case but where a mark's spelling might arise from it."""
-        return data if b"<|" in data else data.translate(LOWER)
-
-    def learn(self, pieces: list[bytes]) -> None:
-        """Pieces are encoded in lines of 500, and an id belongs to the piece that its place in the line is in. Plain
-        ones, which the normaliser would not change, skip it."""
-        texts = [p.decode() for p in pieces if b"<|" not in p]
-        plain = [bool(PLAIN.fullmatch(t)) for t in texts]
-        for tokenizer, some in ((self.without_normaliser, list(compress(texts, plain))), (self.tokenizer, [t for t, x in zip(texts, plain, strict=True) if not x])):
-            for at in range(0, len(some), 25_000):
-                lines = [some[a : a + 500] for a in range(at, min(at + 25_000, len(some)), 500)]
-                for words, e in zip(lines, tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-                    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-                    places = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
-                    ends = 4 * np.searchsorted(places, np.cumsum(sizes))
-                    data, a = np.array(e.ids, "<u4").tobytes(), 0
-                    for word, z in zip(words, ends.tolist(), strict=True):
-                        self.known[word.encode()] = data[a:z]
-                        a = z
+    def lines(self, pieces: list[str], plain: bool, words: bool):
+        """Lines of 500 pieces with their encodings, without the normaliser for plain pieces, which it would not
+        change, and without the pre-tokeniser's pattern for words of letters only, which it would not cut."""
+        self.tokenizer.normalizer = normalizers.Sequence([]) if plain else self.normal
+        self.tokenizer.pre_tokenizer = self.words if words else self.split
+        for at in range(0, len(pieces), 25_000):
+            some = [pieces[a : a + 500] for a in range(at, min(at + 25_000, len(pieces)), 500)]
+            yield from zip(some, self.tokenizer.encode_batch([" ".join(x) for x in some], add_special_tokens=False), strict=True)
+
+    def learn(self, pieces: list[str]) -> None:
+        words, plain, others, marked = [], [], [], []
         for p in pieces:
-            if b"<|" in p:
-                self.known[p] = np.array(self.tokenizer.encode(p.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            (words if WORD.fullmatch(p) else marked if "<|" in p else plain if PLAIN.fullmatch(p) else others).append(p)
+        for some, e in self.lines(words, True, True):
+            ids = np.array(e.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1  # each word ends with one such token
+            self._keep(some, ids, cuts)
+        for kind, is_plain in ((plain, True), (others, False)):
+            for some, e in self.lines(kind, is_plain, False):  # an id belongs to the piece that its place in the line is in
+                sizes = np.fromiter(map(len, some), np.int64, len(some)) + 1
+                places = np.array(e.offsets, np.int64).reshape(-1, 2)[:, 0]
+                self._keep(some, np.array(e.ids, "<u4"), np.searchsorted(places, np.cumsum(sizes)))
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.normal, self.split
+        for p in marked:
+            self.known[p] = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        split = [self.lowered((t or "").encode()).split() for t in texts]
-        fresh = set(filterfalse(self.known.__contains__, chain.from_iterable(split)))
+    def _keep(self, pieces: list[str], ids: np.ndarray, cuts: np.ndarray) -> None:
+        data, a = ids.tobytes(), 0
+        for p, z in zip(pieces, (4 * cuts).tolist(), strict=True):
+            self.known[p] = data[a:z]
+            a = z
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has; a null text counts as empty."""
+        texts = pc.fill_null(texts, "")
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        # lower case but where a mark's spelling might arise from it
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        fresh = [p for p in pieces if p and p not in self.known]
         if len(self.known) + len(fresh) > self.most:
-            known, here = self.known, set(chain.from_iterable(split))
-            self.known = {p: known[p] for p in here if p in known}
-        self.learn(list(fresh))
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
+        self.known[""] = b""
+        self.learn(fresh)
+        held = list(map(self.known.__getitem__, pieces))
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        flat = np.frombuffer(b"".join(held), "<u4")
+        place = coded.indices.to_numpy()
+        each = sizes[place]
+        ids = flat[spans((np.cumsum(sizes) - sizes)[place], each)]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        bounds = upto[np.frombuffer(split.buffers()[1], np.int32)[split.offset : split.offset + len(split) + 1] - split.offsets[0].as_py()]
+        return ids, np.diff(bounds)
+
+    def encode_ended(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As encode(), with the end id after each text."""
+        ids, sizes = self.encode(texts)
+        out = np.full(len(ids) + len(sizes), END, np.uint32)
+        sizes = sizes + 1
+        own = np.ones(len(out), bool)
+        own[np.cumsum(sizes) - 1] = False
+        out[own] = ids
+        return out, sizes
+
+    def forget(self, most: int = 50_000) -> None:
+        """To be called at the end of a task: the worker lives on. A few pieces stay."""
+        if len(self.known) > most:
+            self.known = dict(list(self.known.items())[:most])
 
 
 @lru_cache(maxsize=1)
@@ -71,12 +122,12 @@ def word_bpe(path: str | None = None) -> WordBpe:
     return WordBpe(path or public_tokenizers.path(VOCABULARY))
 
 
-def runs(texts: list[str | None], most_chars: int = 4_000_000) -> list[tuple[int, int]]:
-    """Runs of texts of about most_chars characters, so that a batch of long texts is encoded in parts."""
+def runs(texts: pa.Array, most_bytes: int = 4_000_000) -> list[tuple[int, int]]:
+    """Runs of texts of about most_bytes bytes, so that a batch of long texts is encoded in parts."""
     out, a, n = [], 0, 0
-    for i, t in enumerate(texts):
-        n += len(t or "")
-        if n >= most_chars:
+    for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        n += size
+        if n >= most_bytes:
             out.append((a, i + 1))
             a, n = i + 1, 0
     return [*out, (a, len(texts))] if a < len(texts) else out
