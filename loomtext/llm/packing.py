@@ -89,7 +89,6 @@ def pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None, id_co
                 crcs = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
                 columns = [keys.take(pa.array(owner + lo)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crcs, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
-        encoder.forget()
 
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return named.mapInArrow(lean(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")

@@ -9,19 +9,28 @@ could have as its home. Homes are compared with visitors, anchor by anchor, so e
 Equal fingerprints are one class before any replication, so copies cost one row. An anchor's task emits only links
 that join two sets of fingerprints not yet joined there (a spanning forest), never all pairs of a group, and no
 group is capped. Components are found by alternating large-star and small-star steps on written edge tables.
+
+Groups of a shingle similarity (`similar`): one fingerprint of 64 bits says too little about a Jaccard similarity of
+0.8, at which about 9.7 bits differ. There a text has several fingerprints (lanes), each of its own hashes of the same
+shingles, cut into the same blocks with the same anchors. A pair of the given similarity differs in each bit with a known
+chance at most, so the number of lanes follows from the share of such pairs that may meet at no anchor. Pairs
+that meet and whose fingerprints are near enough are then verified on their whole sets of shingles; only verified pairs
+link.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import SPACE, lean, materialize
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HAMMING = 15
@@ -70,8 +79,15 @@ def blocks(max_bits: int) -> list[tuple[int, int]]:
 
 def anchor_rows(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """anchor (block number above 48 bits of code word), fingerprint and home flag of every replica."""
+    anchor, row, home = replicas(fps, blocks(max_bits))
+    return anchor, fps[row], home
+
+
+def replicas(fps: np.ndarray, cut: list[tuple[int, int]], first_block: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, row and home flag of every replica of the fingerprints, whose blocks are numbered from first_block."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for k, (first, width) in enumerate(blocks(max_bits)):
+    rows = np.arange(len(fps))
+    for k, (first, width) in enumerate(cut, first_block):
         block = (fps >> np.uint64(first)) & np.uint64((1 << width) - 1)
         word, rest = (block & np.uint64(0x7FFF)).astype(np.int64), (block >> np.uint64(HAMMING)).astype(np.int64)
         syndrome = np.zeros(len(fps), np.int64)
@@ -82,7 +98,7 @@ def anchor_rows(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray,
 
         def add(code: np.ndarray, free: np.ndarray, keep, home: bool, k=k) -> None:
             anchor = (np.int64(k) << np.int64(48)) | (free << np.int64(HAMMING)) | code
-            out.append((anchor[keep], fps[keep], np.full(len(anchor[keep]), home)))
+            out.append((anchor[keep], rows[keep], np.full(len(anchor[keep]), home)))
 
         every = slice(None)
         add(near, rest, every, True)
@@ -91,8 +107,8 @@ def anchor_rows(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray,
         for i in range(1, HAMMING + 1):  # a partner that differs in the code's bits: two flips reach its code word
             j = syndrome ^ i
             add(flip(word ^ (1 << (i - 1)), j), rest, (syndrome > 0) & (j > i), False)
-    anchor, fp, home = (np.concatenate(x) for x in zip(*out, strict=True))
-    return anchor, fp, home
+    anchor, row, home = (np.concatenate(x) for x in zip(*out, strict=True))
+    return anchor, row, home
 
 
 def links_of(fps: np.ndarray, home: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -194,7 +210,7 @@ def links(classes: DataFrame, max_bits: int = 4) -> DataFrame:
     return materialize(dealt.mapInArrow(lambda it: compare_sorted(it, max_bits), "a bigint, b bigint"), "simhash-links")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node of its component) for all nodes of edges (a, b)."""
 
     def star(pairs: DataFrame) -> DataFrame:
@@ -202,7 +218,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         return pairs.join(low, "u")
 
     now, mark = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), None
-    for _ in range(most_rounds):
+    for _ in itertools.count():
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = star(large)
@@ -212,7 +228,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         mark = seen
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def near_duplicates(
@@ -233,12 +248,277 @@ def near_duplicates(
     return fps.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 5, max_bits: int = 7, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """docs with one row of each near-duplicate group: the one of the smallest id. Rows with a null id or a repeated
-    id that is kept stay as they are; columns are those of docs. By default fingerprints of five-word shingles are
-    linked at 7 bits, the most for which anchors meet every pair. Bit agreement is not shingle similarity (a Jaccard
-    similarity of 0.8 is about 9.7 differing bits): jaccard.py has the groups of an exact similarity."""
-    keep = near_duplicates(docs, words, max_bits, seed, id_col).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+def shingles(text: str | None, words: int, seed: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the text's word shingles; a shorter text is one shingle, no words give none."""
+    parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    whole, n = b" ".join(parts), len(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, n) + 1)
+    starts = np.r_[0, ends[:-1]]
+    digest = xxhash.xxh64_intdigest
+    last = min(words, n) - 1
+    return np.unique(np.array([digest(whole[a:b], seed) for a, b in zip(starts[: n - last].tolist(), (ends[last:] - 1).tolist(), strict=True)], np.uint64))
+
+
+def lane_fingerprints(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One 64-bit fingerprint a key, of the set of hashes: each bit is what most of the hashes have there, mixed with
+    the key; the least hash breaks ties."""
+    lanes = len(keys)
+    if not len(hashes):
+        return np.zeros(lanes, np.uint64)
+
+    def mixed(h: np.ndarray) -> np.ndarray:
+        x = (h[:, None] ^ keys) * np.uint64(0xFF51AFD7ED558CCD)
+        return (x ^ (x >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+
+    def bits(h: np.ndarray) -> np.ndarray:
+        return np.unpackbits(mixed(h).view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+
+    votes = 2 * np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        votes += np.add.reduce(bits(hashes[at : at + 255]), axis=0, dtype=np.uint8)
+    most = 2 * votes + bits(hashes[:1])[0] > len(hashes)
+    return np.packbits(most, bitorder="little").view(np.uint64)
+
+
+def disagreement(least: float) -> float:
+    """Most that the chance of a bit to differ can be for sets of at least this Jaccard similarity: their angle over pi."""
+    return math.acos(min(1.0, 2 * least / (1 + least))) / math.pi
+
+
+def lane_plan(classes: int, least: float, miss: float) -> tuple[list[tuple[int, int]], int]:
+    """Blocks of a lane and number of lanes, such that a pair at `least` meets at no anchor with a chance of at most
+    miss. Blocks are wider for more classes, so that an anchor's share of them stays small."""
+    count = 4 if classes <= 1 << 21 else 3 if classes <= 1 << 27 else 2
+    ends = [64 * i // count for i in range(count + 1)]
+    cut = [(a, b - a) for a, b in itertools.pairwise(ends)]
+    p = disagreement(least)
+    apart = math.prod(1 - ((1 - p) ** w + w * p * (1 - p) ** (w - 1)) for _, w in cut)
+    return cut, max(2, math.ceil(math.log(miss) / math.log(apart)))
+
+
+def class_of(text: Column) -> Column:
+    """64-bit hash of the text's words, in the lower case of A to Z."""
+    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.xxhash64(F.array_join(F.filter(F.split(lower, SPACE), lambda w: w != ""), " "))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of rows sorted by the first, cut only between its values."""
+    rest: tuple[np.ndarray, ...] | None = None
+    for b in batches:
+        now = tuple(c.to_numpy(zero_copy_only=False) for c in b.columns)
+        if rest is not None:
+            now = tuple(np.concatenate(x) for x in zip(rest, now, strict=True))
+        if not len(now[0]):
+            continue
+        if cut := int(np.searchsorted(now[0], now[0][-1])):
+            yield tuple(x[:cut] for x in now)
+        rest = tuple(x[cut:] for x in now)
+    if rest is not None:
+        yield rest
+
+
+def near_rows(x: np.ndarray, y: np.ndarray, home: np.ndarray, most: int, cells: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places (a home, any other) whose two words differ in at most `most` bits, some homes at a time."""
+    rows = np.flatnonzero(home)
+    step = max(1, cells // max(1, len(x)))
+    for at in range(0, len(rows), step):
+        some = rows[at : at + step]
+        i, j = np.nonzero(np.bitwise_count(x[some, None] ^ x) + np.bitwise_count(y[some, None] ^ y) <= most)
+        i = some[i]
+        apart = i != j
+        yield i[apart], j[apart]
+
+
+def slice_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number in 0 to 1 that depends on the pair alone."""
+    h = (a.view(np.uint64) ^ (b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+
+
+MET = "a bigint, b bigint, anchor bigint, cls bigint, x bigint, y bigint, home boolean, density double"
+
+
+def pairs_met(batches: Iterator[pa.RecordBatch], turn: int, most: int, crowd: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b), a < b, to verify in this turn, from rows sorted by anchor: anchor, cls, root (of the component so
+    far), two words of fingerprint, home.
+
+    In the first turn a group with at most `crowd` near pairs a row gives all of them. In a denser one each pair has its
+    turn by its hash, some 8 * crowd ** turn pairs a row in turn, up to all; its rows that are near any other are given
+    out again (anchor .. density, the pairs a row) for the turns to come. Pairs that are in one component by then need
+    no test, so near copies of one text cost rows in proportion, and no pair is left out."""
+    found: list[np.ndarray] = []
+    held = 0
+
+    def pairs_of(c: np.ndarray, r: np.ndarray, i: np.ndarray, j: np.ndarray, low_share: float, top: float) -> None:
+        nonlocal held
+        low, high = np.minimum(c[i], c[j]), np.maximum(c[i], c[j])
+        use = (low != high) & (r[i] != r[j])
+        if top < 1 or low_share > 0:
+            share = slice_of(low, high)
+            use &= (share < top) & (share >= low_share)
+        if use.any():
+            found.append(np.unique(np.stack([low[use], high[use]], axis=1), axis=0))
+            held += len(found[-1])
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        if held:
+            p = np.unique(np.concatenate(found), axis=0)
+            yield _met(a=p[:, 0].copy(), b=p[:, 1].copy())
+        found.clear()
+        held = 0
+
+    for anchor, cls, root, x, y, home in whole_groups(batches):
+        x, y = x.view(np.uint64), y.view(np.uint64)
+        starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(anchor)], strict=True):
+            if z - a < 2 or (turn and (root[a:z] == root[a]).all()):
+                continue
+            c, r, group = cls[a:z], root[a:z], (x[a:z], y[a:z], home[a:z])
+            total, parts, near = 0, [], np.zeros(z - a, bool)
+            for i, j in near_rows(*group, most):
+                total += len(i)
+                near[i] = near[j] = True
+                if total <= crowd * (z - a):
+                    parts.append((i, j))
+            if not turn and total <= crowd * (z - a):
+                for i, j in parts:
+                    pairs_of(c, r, i, j, 0.0, 1.0)
+            elif total:
+                density = total / int(near.sum())
+                top = 8 * crowd**turn / density
+                for i, j in near_rows(*group, most):
+                    pairs_of(c, r, i, j, top / crowd if turn else 0.0, top)
+                    if held > 200_000:
+                        yield from flush()
+                if not turn:
+                    k = np.flatnonzero(near) + a
+                    yield _met(anchor=anchor[k], cls=cls[k], x=x[k].view(np.int64), y=y[k].view(np.int64), home=home[k], density=np.full(len(k), density))
+            if held > 200_000:
+                yield from flush()
+    yield from flush()
+
+
+def _met(**columns: np.ndarray) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    kinds = dict(zip(("a", "b", "anchor", "cls", "x", "y", "home", "density"), (*(pa.int64(),) * 6, pa.bool_(), pa.float64()), strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], list(kinds))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sets of shingles have at least this Jaccard similarity; written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                p, q = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                both = 0
+                if min(len(p), len(q)) >= least * max(len(p), len(q)) - 1e-9:
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                ok.append(both > 0 and both >= least * (len(p) + len(q) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_())), b.column(1).filter(pa.array(ok, pa.bool_()))], ["a", "b"])
+
+    one = sets.select(F.col("cls").alias("a"), F.col("grams").alias("x"))
+    other = sets.select(F.col("cls").alias("b"), F.col("grams").alias("y"))
+    return materialize(pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(lean(run), "a bigint, b bigint"), "simhash-verified")
+
+
+def similar(
+    docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 16, hot_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: doc_id and component_id, the smallest id that links of pairs of at least this Jaccard
+    similarity of word shingles reach, itself included. A pair at `least` meets at no anchor with a chance of at most
+    about miss, a nearer one with less; a pair that links is verified on its whole sets. Null texts and texts of white
+    space only are of one class. A null id gets its component's smallest id (null if there is none). Repeated rows stay
+    repeated. An empty table gives an empty result. Other columns are not read.
+    """
+    text = F.col(text_col).cast("string")
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), class_of(text).alias("cls"), text.alias("text"))
+    cut, lanes = lane_plan(docs.count(), least, miss)
+    keys = np.random.default_rng(seed).integers(0, 2**63, lanes, dtype=np.uint64)
+    # of two lanes: what a pair at `least` has, and four standard deviations
+    p = disagreement(least)
+    most = int(128 * p + 4 * math.sqrt(128 * p * (1 - p)))
+
+    def lane_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                some = b.slice(at, 500)
+                fps = np.stack([lane_fingerprints(shingles(x.as_py(), words, seed), keys) for x in some.column(2)])
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([f.tobytes() for f in fps], pa.binary())], ["doc_id", "cls", "fp"])
+
+    def replicate(batches: Iterator[pa.RecordBatch], parts: dict[int, int]) -> Iterator[pa.RecordBatch]:
+        names = np.array(sorted(parts), np.int64)
+        shares = np.array([parts[a] for a in names.tolist()], np.int64)
+        for b in batches:
+            for at in range(0, b.num_rows, 2_000):
+                some = b.slice(at, 2_000)
+                cls = some.column("cls").to_numpy()
+                fps = np.frombuffer(b"".join(some.column("fp").to_pylist()), np.uint64).reshape(-1, lanes)
+                for k in range(lanes):
+                    anchor, row, home = replicas(fps[:, k], cut, k * len(cut))
+                    if len(names):
+                        slot = np.minimum(np.searchsorted(names, anchor), len(names) - 1)
+                        n = np.where(names[slot] == anchor, shares[slot], 1)
+                        every = np.repeat(np.arange(len(anchor)), n)
+                        part = np.arange(len(every)) - np.repeat(np.cumsum(n) - n, n)
+                        anchor, row, own = anchor[every], row[every], part == cls[row[every]].view(np.uint64) % n[every].astype(np.uint64)
+                        anchor, home = anchor | part << np.int64(48 + 12), home[every] & own
+                    columns = [anchor, cls[row], fps[row, k].view(np.int64), fps[row, (k + 1) % lanes].view(np.int64), home]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["anchor", "cls", "x", "y", "home"])
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), words, seed).tobytes() for x in b.column(1)], pa.binary())], ["cls", "grams"])
+
+    found = materialize(rows.mapInArrow(lean(lane_rows), f"doc_id {kind}, cls bigint, fp binary"), "simhash-lanes")
+    classes = materialize(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp")), "simhash-lane-classes")
+    some = classes.select("cls", "fp").where(F.col("fp") != F.lit(bytes(8 * lanes)))  # without words there is no shingle
+    replica = "anchor bigint, cls bigint, x bigint, y bigint, home boolean"
+    # a hot anchor's homes are dealt to several tasks, its visitors go to each; a 64th of the classes tells which are hot
+    sampled = some.where(F.pmod(F.xxhash64("cls"), F.lit(64)) == 0).mapInArrow(lean(lambda it: replicate(it, {})), replica)
+    hot = sampled.groupBy("anchor").agg((64 * F.count("*")).alias("n")).where(F.col("n") > 2 * hot_rows).orderBy(F.desc("n")).limit(100_000)
+    parts = {r["anchor"]: min(1000, r["n"] // hot_rows) for r in hot.collect()}
+    dealt = some.mapInArrow(lean(lambda it: replicate(it, parts)), replica).withColumn("root", F.col("cls"))
+    columns = ["anchor", "cls", "root", "x", "y", "home"]
+
+    def met(rows: DataFrame, turn: int) -> DataFrame:
+        together = rows.select(columns).repartition("anchor").sortWithinPartitions("anchor")
+        return together.mapInArrow(lean(lambda it: pairs_met(it, turn, most, crowd)), MET)
+
+    def tests(pairs: DataFrame) -> DataFrame:
+        need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        texts = rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+        sets = materialize(texts.select("cls", "text").mapInArrow(lean(grams), "cls bigint, grams binary"), "simhash-sets")
+        return verified(pairs, sets, least)
+
+    first = materialize(met(dealt, 0), "simhash-met")
+    tested = materialize(first.where("a IS NOT NULL").select("a", "b").distinct(), "simhash-pairs")
+    edges = tests(tested)
+    nodes = components(edges)
+    crowds = first.where("anchor IS NOT NULL").drop("a", "b")
+    density = crowds.agg(F.max("density")).first()[0]
+    for turn in range(1, 1 + math.ceil(math.log(density / 8, crowd)) if density else 0):
+        again = crowds.join(nodes, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
+        new = met(again, turn).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        new = materialize(new, "simhash-pairs")
+        tested, edges = tested.unionByName(new), edges.unionByName(tests(new))
+        nodes = components(edges)
+    linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
+    tops = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ends = materialize(linked.join(tops, "root").select("cls", "component_id"), "simhash-lane-components")
+    return found.join(ends, "cls").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
+    """docs with one row of each group of similar() rows: one of the smallest id. Rows with a null id stay as they are,
+    as do rows that repeat a kept id with the same words; columns are those of docs."""
+    keep = similar(docs, words, least, seed=seed, id_col=id_col).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
     return docs.join(keep, F.col(id_col) == F.col("__keep"), "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
 
 

@@ -184,7 +184,6 @@ def write_files(
                     n += size
                 hold(len(sizes))
         yield from flush()
-        encoder.forget()
 
     return materialize(dealt.mapInArrow(lean(run), FILE_SCHEMA.format(id=kind)), name)
 

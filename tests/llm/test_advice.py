@@ -8,7 +8,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from loomtext.llm import jaccard, pii, quality, simhash
+from loomtext.llm import pii, quality, simhash
 
 from .helpers import SCHEMA, sentence
 
@@ -62,11 +62,11 @@ def near_rows(seed=22):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("few", [16, 2, 10**6])
-def test_near_duplicates_are_those_of_the_threshold(spark, few):
+@pytest.mark.parametrize("options", [{}, {"crowd": 2}, {"crowd": 2, "hot_rows": 1}])
+def test_near_duplicates_are_those_of_the_threshold(spark, options):
     rows = near_rows()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df, few=few).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar(df, **options).collect()}
     assert got == brute_components(rows)
 
 
