@@ -1,13 +1,16 @@
 """Document fingerprints of closed syncmers (native).
 
-A text's tokens are its words, words of more than 24 characters in pieces. A k-mer of tokens is an anchor if the
-least of its inner s-mers, by hash, is its first or its last: a property of the k-mer alone, so what stands around a
-passage doesn't change which of its k-mers are chosen, and any k - s consecutive k-mers without one are ruled out.
-The fingerprint is the sequence of the anchors' 32-bit hashes, in order of position, 8 hexadecimal digits each.
-
-Likeness is twice the number of anchors common to two fingerprints over the anchors of both (0 to 1), repeats of one
-anchor counted once. A text without an anchor (fewer than k tokens, or an unlucky few) has the hash of all its tokens as
-its only one; a text without tokens has none, and two such texts have likeness 1.
+A text's tokens are its words; a word of more than 24 characters (a script without spaces, an encoded run) gives its
+characters instead. A k-mer of tokens is an anchor if the least of its inner s-mers, by hash, is its first or its last:
+a property of the k-mer alone, so what stands around a passage doesn't change which of its k-mers are chosen, and any
+k - s consecutive k-mers without one are ruled out. The fingerprint is the sequence of the anchors' 32-bit hashes, in
+order of position, 8 hexadecimal digits each.
+
+Likeness is positional. The n-th occurrence of an anchor in one fingerprint meets its n-th occurrence in the other; matches
+that follow each other without a gap in both are one run; the heaviest chain of runs that ascend in both counts.
+Likeness is twice the matches of that chain over the anchors of both (0 to 1): an anchor that is repeated more often, or
+a passage that has moved past another, doesn't count. A text without an anchor (fewer than k tokens, or an unlucky few) has the
+hash of all its tokens as its only one; a text without tokens has none, and two such texts have likeness 1.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import let, range_bounds, range_bucket
 
-TOKEN = r"[^\x20\x09-\x0D]{1,24}"
+#: A whole word of at most 24 characters, or one character of a longer one.
+TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,24}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
 
 
 def anchors(text: Column, k: int = 6, s: int = 2) -> Column:
@@ -53,10 +57,63 @@ def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
+def numbered(found: Column) -> Column:
+    """array<bigint>: each anchor with the number of its occurrence, so that no two are equal. First occurrences stay
+    themselves."""
+
+    def groups(s: Column) -> Column:  # s: (anchor, place), sorted
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda j: (j == 0) | (F.get(s, j - 1)["x"] != F.get(s, j)["x"]))
+
+        def group(st: Column, first: Column, g: Column) -> Column:
+            key = lambda j: F.when(j == first, F.get(s, j)["x"].cast("long")).otherwise(F.xxhash64(F.get(s, j)["x"], j - first))
+            return F.transform(F.sequence(first, F.coalesce(F.get(st, g + 1), n) - 1), lambda j: F.struct(F.get(s, j)["i"].alias("i"), key(j).alias("k")))
+
+        spread = let(starts, lambda st: F.flatten(F.transform(st, lambda first, g: group(st, first, g))))
+        return F.transform(F.array_sort(spread), lambda e: e["k"])
+
+    plain = F.transform(found, lambda x: x.cast("long"))
+    placed = F.array_sort(F.transform(found, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(found)) == F.size(found), plain).otherwise(let(placed, groups))
+
+
+def chained(a: Column, b: Column) -> Column:
+    """Matches of the heaviest chain of runs, of two arrays without repeats."""
+    side = lambda keys, n: F.transform(keys, lambda k, i: F.struct(k.alias("k"), F.lit(n).alias("side"), i.alias("i")))
+
+    def met(s: Column) -> Column:  # both sides' keys, sorted: equal ones are neighbours
+        pairs = F.transform(s, lambda e, j: F.when(F.get(s, j + 1)["k"] == e["k"], F.struct(e["i"].alias("p"), F.get(s, j + 1)["i"].alias("q"))))
+        return F.array_sort(F.filter(pairs, lambda x: x.isNotNull()))
+
+    def runs(m: Column) -> Column:
+        def breaks(j: Column) -> Column:
+            before, now = F.get(m, j - 1), F.get(m, j)
+            return (j == 0) | (now["p"] != before["p"] + 1) | (now["q"] != before["q"] + 1)
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(m) - 1), breaks)
+        run = lambda st, j, g: let(
+            F.coalesce(F.get(st, g + 1), F.size(m)), lambda end: F.struct(F.get(m, j)["q"].alias("first"), F.get(m, end - 1)["q"].alias("last"), (end - j).alias("n"))
+        )
+        return let(starts, lambda st: F.transform(st, lambda j, g: run(st, j, g)))
+
+    def chain(r: Column) -> Column:
+        def add(done: Column, x: Column) -> Column:
+            best = F.array_max(F.transform(F.filter(done, lambda d: d["last"] < x["first"]), lambda d: d["n"]))
+            return F.concat(done, F.array(F.struct(x["last"].alias("last"), (x["n"] + F.coalesce(best, F.lit(0))).alias("n"))))
+
+        none = F.array().cast("array<struct<last:int,n:int>>")
+        whole = F.aggregate(r, none, add, lambda done: F.array_max(F.transform(done, lambda d: d["n"])))
+        return F.when(F.size(r) == 1, F.get(r, F.lit(0))["n"]).otherwise(whole)
+
+    sorted_ = F.array_sort(F.concat(side(a, 0), side(b, 1)))
+    matched = let(let(let(sorted_, met), runs), chain)
+    return F.when(a == b, F.size(a)).when(F.arrays_overlap(a, b), matched).otherwise(F.lit(0))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Of two arrays of distinct anchors."""
+    """Of two arrays of numbered anchors."""
     all_ = F.size(a) + F.size(b)
-    return F.when(all_ == 0, F.lit(1.0)).otherwise(2 * F.size(F.array_intersect(a, b)) / all_)
+    return F.when(all_ == 0, F.lit(1.0)).otherwise(2 * chained(a, b) / all_)
 
 
 def with_next(docs: DataFrame, columns: list[str], key: str, ranges: int) -> DataFrame:
@@ -108,7 +165,7 @@ def op4_closed_syncmers(spark, sf_dir: str) -> DataFrame:
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(there, F.lit(1), take))
     changed = met.select("doc_id", n.cast("long").alias("n_chars"), "anchors", F.col("next.anchors").alias("after"), edited.alias("edited"))
     changed = changed.withColumn("edited_anchors", anchors(F.col("edited")))
-    changed = changed.withColumns({f"__{c}": F.array_distinct(c) for c in ("anchors", "after", "edited_anchors")})
+    changed = changed.withColumns({f"__{c}": numbered(F.col(c)) for c in ("anchors", "after", "edited_anchors")})
     return changed.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("anchors")).alias("fingerprint"), written(F.col("edited_anchors")).alias("edited_fingerprint"),
