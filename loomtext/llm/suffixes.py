@@ -17,7 +17,9 @@ equal windows pick equal anchors at equal places. So:
 3. The marks return to the chunks, which cut the bytes.
 
 An anchor with very many different contexts (a common line shorter than a window) would crowd one bucket: its windows
-are sent one by one, dealt by their own hash. Nothing is capped, and documents of any length are taken whole.
+are sent one by one, dealt by their own hash. Nothing is capped, and documents of any length are taken whole, a
+very long one in overlapping parts. The number of buckets follows the bytes of the collection. Hashes only choose
+what is compared: bytes are removed where bytes are equal.
 """
 
 from __future__ import annotations
@@ -29,10 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, materialize, squeeze
+from .common import expand, lean, materialize, squeeze
 
 U64 = np.uint64
 LENGTH, GRAM = 100, 40
+#: Bytes that are hashed at once; longer texts are cut, parts overlap by a window less a byte.
+PART = 1_000_000
+#: Bytes of text for each bucket.
+BUCKET_BYTES = 4_000_000
 #: More distinct contexts of one anchor than this are dealt window by window.
 CROWD = 4096
 
@@ -81,16 +87,19 @@ class Anchored:
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         parts = []
         first = 0
-        while first < len(texts):  # pieces of whole texts, so that temporary arrays stay small
-            last = max(first + 1, int(np.searchsorted(self.ends, (self.ends[first - 1] if first else 0) + 1_000_000)))
-            parts.append(self.part(first, last, gram))
+        while first < len(texts):  # pieces, so that temporary arrays stay small: whole texts, or windows of a long one
+            last = max(first + 1, int(np.searchsorted(self.ends, (self.ends[first - 1] if first else 0) + PART)))
+            begin, end = int(self.ends[first] - self.sizes[first]), int(self.ends[last - 1])
+            for at in range(begin, max(begin + 1, end), PART):
+                parts.append(self.part(first, last, at, min(end, at + PART + length - 1), gram))
             first = last
         columns = zip(*parts, strict=True) if parts else [[np.zeros(0, np.int64)]] * 4 + [[np.zeros(0, U64)]] * 2
         self.anchor, self.first, self.last, self.text, self.hash, self.whole = (np.concatenate(c) for c in columns)
 
-    def part(self, a: int, z: int, gram: int) -> tuple[np.ndarray, ...]:
-        begin, n = int(self.ends[a] - self.sizes[a]), self.length
-        data = self.data[begin : int(self.ends[z - 1])]
+    def part(self, a: int, z: int, begin: int, end: int, gram: int) -> tuple[np.ndarray, ...]:
+        """Of the windows within the bytes begin to end, which lie in texts a to z."""
+        n = self.length
+        data = self.data[begin:end]
         windows = len(data) - n + 1
         if windows < 1:
             return tuple(np.zeros(0, t) for t in (np.int64,) * 4 + (U64,) * 2)
@@ -103,8 +112,8 @@ class Anchored:
             step = min(width, span - width)
             least = np.minimum(least[: len(least) - step], least[step:])
             width += step
-        text = np.repeat(np.arange(a, z), self.sizes[a:z])[:windows]
-        inside = np.flatnonzero(np.arange(windows) + n <= self.ends[text] - begin)
+        text = np.full(windows, a) if z - a == 1 else np.repeat(np.arange(a, z), self.sizes[a:z])[:windows]
+        inside = np.flatnonzero(np.arange(begin + n, begin + n + windows) <= self.ends[text])
         picked, text = (least[inside] & U64(0xFFFFFFFF)).astype(np.int64), text[inside]
         new = np.flatnonzero((np.diff(picked, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
         first, last = inside[new], inside[np.r_[new[1:], len(inside)] - 1] if len(new) else inside[:0]
@@ -112,22 +121,31 @@ class Anchored:
         whole = rolling.of(first, last + n) ^ mixed((anchor - first).astype(U64) << U64(32) | (last - first).astype(U64))
         return anchor + begin, first + begin, last + begin, text[new], hashes[anchor], whole
 
+    def covered(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The union of spans as ascending maximal runs, none of which goes on in the next text."""
+        order = np.argsort(begin, kind="stable")
+        begin, end = begin[order], np.maximum.accumulate(end[order]) if len(order) else end
+        text = np.searchsorted(self.ends, begin, side="right")
+        new = np.r_[True, (begin[1:] > end[:-1]) | (text[1:] != text[:-1])] if len(begin) else np.zeros(0, bool)
+        heads = np.flatnonzero(new)
+        return begin[heads], end[np.r_[heads[1:], len(end)] - 1] if len(heads) else end
+
     def bytes_of(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         total = int(size.sum())
         return self.data[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)]
 
 
 def distinct_anchors(a: Anchored) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct hashes, how many distinct contexts each has here (255 at most), occurrences of each."""
+    """Sorted distinct hashes, how many distinct contexts each has here, occurrences of each."""
     order = np.lexsort((a.whole, a.hash))
     h, w = a.hash[order], a.whole[order]
     new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
     other = new | np.r_[True, w[1:] != w[:-1]] if len(h) else new
     starts = np.flatnonzero(new)
     if not len(starts):
-        return h, np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        return h, np.zeros(0, np.uint32), np.zeros(0, np.int64)
     contexts = np.add.reduceat(other.astype(np.int64), starts)
-    return h[starts], np.minimum(contexts, 255).astype(np.uint8), np.diff(np.r_[starts, len(h)])
+    return h[starts], contexts.astype(np.uint32), np.diff(np.r_[starts, len(h)])
 
 
 class Contexts:
@@ -156,6 +174,8 @@ class Contexts:
         whole = np.concatenate([a.whole[one], alone])
         order = np.lexsort((self.anchor, ids[self.text], whole))
         new = np.r_[True, whole[order][1:] != whole[order][:-1]] if len(order) else np.zeros(0, bool)
+        again = np.flatnonzero(~new)
+        new[again[~self.equal(a, order[again], order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))[again]])]] = True
         self.again = order[~new]  # the chunk has them earlier
         self.sent = order[new]
         bucket = (key[self.sent] >> U64(17)) % U64(buckets)
@@ -163,6 +183,18 @@ class Contexts:
         self.bucket = np.sort(bucket).astype(np.int64)
 
 
+    def equal(self, a: Anchored, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Whether contexts of equal hash are equal: windows around the anchor, and bytes."""
+        size = self.last[one] - self.first[one] + a.length
+        out = (size == self.last[other] - self.first[other] + a.length) & (self.anchor[one] - self.first[one] == self.anchor[other] - self.first[other])
+        for at in range(0, len(one), 10_000):
+            some = np.flatnonzero(out[at : at + 10_000]) + at
+            if len(some):
+                differ = a.bytes_of(self.first[one[some]], size[some]) != a.bytes_of(self.first[other[some]], size[some])
+                out[some] = np.add.reduceat(differ, np.cumsum(size[some]) - size[some], dtype=np.int64) == 0
+        return out
+
+
 def repeated_windows(starts: np.ndarray, sizes: np.ndarray, data: np.ndarray, left: np.ndarray, rank: np.ndarray, length: int, gram: int) -> np.ndarray:
     """Per context a bit mask: bit b is set if the window that begins b - (length - gram) bytes after the anchor is
     also in a context of lower rank. left: bytes of the context before its anchor."""
@@ -234,7 +266,6 @@ def remove_repeats(
     if not 0 < length - gram < 64:
         raise ValueError("a window has 1 to 63 more bytes than its anchor")
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = [prefix + n for n in ("n_bytes", "n_removed", "n_spans", "kept")]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in made]
     inputs = docs.select(
@@ -244,6 +275,9 @@ def remove_repeats(
     )
     if not written:
         inputs = materialize(inputs, "suffix-docs")
+    if not buckets:
+        size = inputs.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     slim = inputs.select("__id", "__text", F.spark_partition_id().cast("long").alias("__scan"))
     full = inputs.withColumn("__scan", F.spark_partition_id().cast("long"))
 
@@ -299,7 +333,7 @@ def remove_repeats(
 
     def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, rows in by_bucket(batches):
-            parts = [expand(blob, "<u8", "u1") for _, blob in rows]
+            parts = [expand(blob, "<u8", "<u4") for _, blob in rows]
             hashes, contexts = (np.concatenate(x) for x in zip(*parts, strict=True))
             _, place, times = np.unique(hashes, return_inverse=True, return_counts=True)
             crowds = np.bincount(place, contexts) > crowd
@@ -371,24 +405,25 @@ def remove_repeats(
             x = Contexts(a, ids, codes, buckets)
             marks = [expand(blob[1:], "<u8")[0] for _, blob in told if blob[:1] == b"m"]
             masks = np.concatenate(marks) if marks else np.zeros(0, U64)
-            cover = np.zeros(len(a.data) + 1, np.int32)
-            np.add.at(cover, x.first[x.again], 1)
-            np.add.at(cover, x.last[x.again] + length, -1)
             hit = np.flatnonzero(masks)
             bits = np.unpackbits(masks[hit].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             which, bit = np.nonzero(bits)
-            starts = x.anchor[x.sent[hit[which]]] + bit - (length - gram)
-            np.add.at(cover, starts, 1)
-            np.add.at(cover, starts + length, -1)
-            gone = np.cumsum(cover[:-1], out=cover[:-1]) > 0
+            begin, end = a.covered(np.r_[x.first[x.again], x.anchor[x.sent[hit[which]]] + bit - (length - gram)], np.r_[x.last[x.again] + length, x.anchor[x.sent[hit[which]]] + bit - (length - gram) + length])
+            of = np.searchsorted(a.ends, begin, side="right")
+            upto = np.searchsorted(of, np.arange(len(a.ends) + 1))
             done = 0
             for b in held:
                 n, out, removed, spans = b.num_rows, [], [], []
-                for end, size in zip(a.ends[done : done + n].tolist(), a.sizes[done : done + n].tolist(), strict=True):
-                    piece, away = a.data[end - size : end], gone[end - size : end]
-                    removed.append(int(np.count_nonzero(away)))
-                    spans.append(int(np.count_nonzero(away[1:] & ~away[:-1])) + bool(size and away[0]))
-                    out.append((piece[~away] if removed[-1] else piece).tobytes())
+                for k in range(done, done + n):
+                    at, left = int(a.ends[k] - a.sizes[k]), []
+                    mine = slice(upto[k], upto[k + 1])
+                    for s, e in zip(begin[mine].tolist(), end[mine].tolist(), strict=True):
+                        left.append(a.data[at:s])
+                        at = e
+                    left.append(a.data[at : int(a.ends[k])])
+                    out.append(b"".join(left))
+                    removed.append(int((end[mine] - begin[mine]).sum()))
+                    spans.append(upto[k + 1] - upto[k])
                 own = [pa.array(a.sizes[done : done + n]), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(out, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *own], [*keep, *made])
                 done += n
@@ -396,13 +431,13 @@ def remove_repeats(
     rows = "bucket int, chunk bigint, blob binary"
     to_bucket = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "chunk")
     to_chunk = lambda df: df.repartition("chunk").sortWithinPartitions("chunk", "bucket")
-    codes = materialize(to_bucket(slim.mapInArrow(anchors, rows)).mapInArrow(elsewhere, rows), "suffix-codes")
-    met = to_chunk(codes.unionByName(slim.mapInArrow(boxed, rows)))
-    marks = materialize(to_bucket(met.mapInArrow(contexts, rows)).mapInArrow(ordered, rows), "suffix-marks")
+    codes = materialize(to_bucket(slim.mapInArrow(lean(anchors), rows)).mapInArrow(lean(elsewhere), rows), "suffix-codes")
+    met = to_chunk(codes.unionByName(slim.mapInArrow(lean(boxed), rows)))
+    marks = materialize(to_bucket(met.mapInArrow(lean(contexts), rows)).mapInArrow(lean(ordered), rows), "suffix-marks")
     tag = lambda df, mark: df.withColumn("blob", F.concat(F.lit(mark).cast("binary"), "blob"))
-    last = to_chunk(tag(codes, "c").unionByName(tag(marks, "m")).unionByName(full.mapInArrow(boxed, rows)))
+    last = to_chunk(tag(codes, "c").unionByName(tag(marks, "m")).unionByName(full.mapInArrow(lean(boxed), rows)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.select(*keep).schema)
-    return last.mapInArrow(cut, (f"{fields}, " if keep else "") + "{} bigint, {} bigint, {} bigint, {} binary".format(*made))
+    return last.mapInArrow(lean(cut), (f"{fields}, " if keep else "") + "{} bigint, {} bigint, {} bigint, {} binary".format(*made))
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
