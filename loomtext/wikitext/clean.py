@@ -35,7 +35,7 @@ EXTERNAL = re.compile(
     rf"\[((?i:{'|'.join(map(re.escape, PROTOCOLS))})[^\]\[<>\"\x00-\x20\x7f\s]+)\s*((?:{LABEL}|\[\[{LABEL}+\]\])*?)\]", re.S
 )
 IMAGE = re.compile(r"https?://[^\]\[<>\"\x00-\x20\x7f\s]+/[A-Za-z0-9_.,~%\-+&;#*?!=()@\x80-\xff]+\.(?i:gif|png|jpe?g)")
-TRAIL = re.compile(r"\w+")
+TRAIL = re.compile(r"\w*")
 HIGHLIGHT = re.compile(r"&lt;syntaxhighlight .*?&gt;(.*?)&lt;/syntaxhighlight&gt;", re.S)
 ENTITY = re.compile(r"&#?(\w+);")
 COMMENT = re.compile(r"<!--.*?-->", re.S)
@@ -47,6 +47,9 @@ DROPPED_TAGS = [
 LINK_TAGS = [re.compile(p, re.S | re.I) for p in (r"<a\b.*?>", r"</\s*a>")]
 HEADER = re.compile(r"(==+)\s*(.*?)\s*\1")
 LIST_MARKS = "*#;:"
+MARKED = re.compile(r"([*#;:]+)(.*)", re.S)
+#: Lists of the markup in HTML: tag of the list and of its items, by mark.
+LIST_TAGS = {"*": ("ul", "li"), "#": ("ol", "li"), ";": ("dl", "dt"), ":": ("dl", "dd")}
 
 
 def unescape(text: str) -> str:
@@ -81,35 +84,34 @@ def external_links(text: str, options: Options) -> str:
 
 
 def link_text(title: str, label: str, options: Options) -> str:
-    prefix, colon, rest = title.partition(":")
-    if colon and not prefix:
-        prefix, colon, _ = rest.partition(":")
-        if len(prefix) < 1:
-            colon = ""
-    if colon and prefix and prefix not in options.link_prefixes:
+    """What a link shows: nothing if its title names another namespace than those whose links are kept."""
+    namespace = re.match(r":?([^:]+):", title)
+    if namespace and namespace[1] not in options.link_prefixes:
         return ""
     return f'<a href="{quote(title)}">{label}</a>' if options.keep_links else label
 
 
+def link_parts(inner: str) -> tuple[str, str]:
+    """Title and label. The label begins after the last outer bar before the last nested link, or after the first bar."""
+    first = inner.find("|")
+    if first < 0:
+        return inner, inner
+    nested = list(link_spans(inner))
+    before = list(inner[: nested[-1][0]] if nested else "")
+    for start, end in nested[:-1]:
+        before[start:end] = " " * (end - start)
+    begin = max(first, "".join(before).rfind("|"))
+    return inner[:first].rstrip(), inner[begin + 1 :].strip()
+
+
 def internal_links(text: str, options: Options) -> str:
     """[[title|..|label]]trail to label and trail, spaces of the label as underscores."""
-    out, at = [], 0
-    for start, end in link_spans(text):
-        inner = text[start + 2 : end - 2]
-        title, bar, _ = inner.partition("|")
-        label = inner
-        if bar:
-            title, last, free = title.rstrip(), inner.find("|"), inner.find("|") + 1
-            for a, z in link_spans(inner):  # the label begins after the last bar before a nested link, or the first bar
-                last = max(last, inner.rfind("|", free, a))
-                free = z
-            label = inner[last + 1 :].strip()
-        out += [text[at:start], link_text(title, label, options).replace(" ", "_")]
-        at = end
-        if trail := TRAIL.match(text, end):
-            out.append(trail[0])
-            at = trail.end()
-    return "".join([*out, text[at:]])
+    spans = list(link_spans(text))
+    shown = [link_text(*link_parts(text[a + 2 : z - 2]), options).replace(" ", "_") for a, z in spans]
+    trails = [TRAIL.match(text, z)[0] for _, z in spans]
+    edges = [0, *(z + len(t) for (_, z), t in zip(spans, trails, strict=True))]
+    kept = [text[a:z] for a, z in zip(edges, [*(a for a, _ in spans), len(text)], strict=True)]
+    return kept[0] + "".join(s + t + k for s, t, k in zip(shown, trails, kept[1:], strict=True))
 
 
 def quotes(text: str, html: bool) -> str:
@@ -179,36 +181,27 @@ class Lines:
         self.empty_section, self.stack = True, ""
 
     def item(self, line: str) -> None:
-        depth, before = 0, self.stack
-        for k in range(max(len(before), len(line)) + 1):
-            old, new = before[k : k + 1], line[k : k + 1]
-            if not new or new not in LIST_MARKS:
-                if not old:
-                    break
-                self.leave(old)
-                continue
-            if old != new and (not old or not {old, new} & {";", ":"}):
-                if old:
-                    self.leave(old)
-                self.stack += new
-                if self.options.html:
-                    self.page.append({"*": "<ul>", "#": "<ol>"}.get(new, "<dl>"))
-            depth += 1
-        mark, content = line[depth - 1], line[depth:].strip()
-        if not content:
+        """A line of a list: the lists that it doesn't go on are closed, those that it begins are opened."""
+        marks, content = MARKED.match(line).groups()
+        goes_on = [a == b or a in ";:" or b in ";:" for a, b in zip(self.stack, marks, strict=False)]
+        ended = [m for i, m in enumerate(self.stack) if i >= len(marks) or not goes_on[i]]
+        begun = [m for i, m in enumerate(marks) if i >= len(self.stack) or not goes_on[i]]
+        self.lists(ended, "</{}>")
+        self.lists(begun, "<{}>")
+        self.stack = "".join(self.stack[i] if i < len(goes_on) and goes_on[i] else m for i, m in enumerate(marks))
+        if not (content := content.strip()):
             return
         if self.options.lists:
             self.titles()
             self.headers = {}
-            self.page.append(("1. " if mark == "#" else "- ").ljust(len(self.stack)) + content)
+            self.page.append(("1. " if marks[-1] == "#" else "- ").ljust(len(self.stack)) + content)
         elif self.options.html:
-            tag = {"*": "li", "#": "li", ";": "dt"}.get(mark, "dd")
+            tag = LIST_TAGS[marks[-1]][1]
             self.page.append(f"<{tag}>{content}</{tag}>")
 
-    def leave(self, mark: str) -> None:
-        self.stack = self.stack[:-1]
+    def lists(self, marks: list[str], tag: str) -> None:
         if self.options.html:
-            self.page.append({"*": "</ul>", "#": "</ol>"}.get(mark, "</dl>"))
+            self.page += [tag.format(LIST_TAGS[m][0]) for m in marks]
 
     def add(self, line: str) -> None:
         if m := HEADER.match(line):
@@ -222,8 +215,8 @@ class Lines:
             self.item(line)
         elif self.stack:
             self.page.append(line)
-            for mark in reversed(self.stack):
-                self.leave(mark)
+            self.lists(list(reversed(self.stack)), "</{}>")
+            self.stack = ""
         elif line[0] in "{|" or line[-1] == "}" or (line[0] == "(" and line[-1] == ")") or not line.strip(".-"):
             return
         elif self.headers:
@@ -245,11 +238,8 @@ def compact(text: str, options: Options) -> list[str]:
 
 def left_links(text: str) -> str:
     """[[..]] that is still there: away if it has a colon, else what stands before its first bar."""
-
-    def one(m: re.Match) -> str:
-        return "" if ":" in m[0] else m[0].replace("[[", "").replace("]]", "").split("|")[0]
-
-    return re.sub(r"\[\[[^\]]*?\]\]", one, text)
+    text = re.sub(r"\[\[(?=[^\]]*:)[^\]]*\]\]", "", text)
+    return re.sub(r"\[\[([^\]|]*)[^\]]*\]\]", lambda m: m[1].replace("[[", ""), text)
 
 
 def numbers(text: str) -> str:
@@ -257,20 +247,22 @@ def numbers(text: str) -> str:
     return re.sub(r"[^\d]\d{1,2}(?:,\d{3})+[^\d]", lambda m: m[0].replace(",", ""), text)
 
 
+#: Templates that show one of their parts, by name or its beginning.
+SHOWN = ((re.compile(r"(?:link|lang)-.*|IPA|le", re.S), 1), (re.compile("link|lang"), 2))
+
+
 def left_templates(text: str) -> str:
-    """Lines with {{..}} that is still there, until none is left: the content of language templates, else nothing."""
+    """Lines with {{..}} that is still there, until none is left: the content of language templates, else nothing. Each
+    round takes braces away, so there is a last one."""
 
-    def one(m: re.Match) -> str:
-        name, *values = m[0].replace("{{", "").replace("}}", "").split("|")
-        if name.startswith(("link-", "lang-")) or name in ("IPA", "le"):
-            return values[0]
-        return values[1] if name in ("link", "lang") else ""
-
-    while True:
-        new = re.sub(r".*\{\{[^{}]*\}\}.*", one, text)
-        if new == text:
-            return text
-        text = new
+    def shown(line: re.Match) -> str:
+        parts = re.sub(r"\{\{|\}\}", "", line[0]).split("|")
+        return next((parts[n] for names, n in SHOWN if names.fullmatch(parts[0])), "")
+
+    found = 1
+    while found:
+        text, found = re.subn(r".*\{\{[^{}]*\}\}.*", shown, text)
+    return text
 
 
 def finish(lines: list[str]) -> str:

@@ -10,64 +10,58 @@ ANY = re.compile(r"\{{2,}|\}{2,}|\[{2,}|\]{2,}")
 SQUARE = re.compile(r"\[\[|\]\]")
 
 
-def _close_curly(open_runs: list[int], run: int) -> int:
-    """Let a closing run of braces consume opening runs (square ones are negative); returns what is left of it. A
-    single brace left over is a stray and consumes nothing."""
-    while open_runs:
-        size = open_runs.pop()
-        if not size:
-            continue
-        if run < size:
-            open_runs.append(size - run)
-            return run
-        run -= size
-        if run <= 1:
-            return run
-    return run
-
-
-def _close_square(open_runs: list[int], run: int) -> int:
-    while open_runs and open_runs[-1] < 0:
-        size = -open_runs.pop()
-        if run < size:
-            open_runs.append(run - size)
-            return run
-        run -= size
-        if run <= 1:
-            return run
-    return run
+class Depth:
+    """Open brackets of one kind: how many there are, and how many there were when each run of them began."""
+
+    def __init__(self) -> None:
+        self.now, self.floors = 0, []
+
+    def open(self, n: int) -> None:
+        self.floors.append(self.now)
+        self.now += n
+
+    def close(self, n: int) -> int:
+        """Close up to n brackets; what is left over. A run is used up before the one around it is touched, and a
+        single bracket left over then is a stray."""
+        to = self.now - n
+        stray = to + 1 in self.floors
+        surplus = 1 if stray else max(0, -to)
+        self.now = to + stray + (0 if stray else surplus)
+        while self.floors and self.floors[-1] >= self.now:
+            self.floors.pop()
+        return surplus
 
 
 def brace_spans(text: str, least: int = 0) -> Iterator[tuple[int, int]]:
     """Outermost balanced regions. least 2: templates, 3: parameters, 0: any of [[ ]], {{ }} and {{{ }}}.
 
-    Runs of two or more brackets are the tokens. If all that stays open is the head of the first run, too short to be
-    an opening itself, the region begins after that head. The scan ends at the first region that doesn't close."""
-    tokens = iter((CURLY if least else ANY).finditer(text))
-    for first in tokens:
-        kind, size = first[0][0], len(first[0])
-        if kind not in "{[" or (least and size < least):
-            continue
-        runs = [size if kind == "{" else -size]
-        for token in tokens:
-            kind, size = token[0][0], len(token[0])
-            if kind == "{":
-                runs.append(size)
-            elif kind == "[":
-                runs.append(-size)
-            elif kind == "}":
-                left = _close_curly(runs, size)
-                if not runs:
-                    yield first.start(), token.end() - left
-                    break
-                if len(runs) == 1 and 0 < runs[0] < least:
-                    yield first.start() + runs[0], token.end()
-                    break
-            else:
-                left = _close_square(runs, size)
-                if not runs:
-                    yield first.start(), token.end() - left
-                    break
+    Runs of two or more brackets are the tokens. Square brackets count within the braces they stand in: what is open
+    there ends with these braces. If all that stays open is the head of the first run, too short to be an opening
+    itself, the region begins after that head. The scan ends at the first region that doesn't close."""
+    braces, squares, start = Depth(), [Depth()], -1
+    for token in (CURLY if least else ANY).finditer(text):
+        kind, size, left = token[0][0], token.end() - token.start(), 0
+        if start < 0:
+            if kind in "}]" or size < least:
+                continue
+            start = token.start()
+        if kind == "{":
+            braces.open(size)
+            squares.append(Depth())
+        elif kind == "[":
+            squares[-1].open(size)
+        elif kind == "]":
+            left = squares[-1].close(size)
+        else:
+            left = braces.close(size)
+            del squares[len(braces.floors) + 1 :]
+            squares[-1] = squares[-1] if len(squares) == 1 else Depth()
+        if not braces.now and not squares[0].now:
+            yield start, token.end() - left
+            start = -1
+        elif kind == "}" and 0 < braces.now < least and braces.floors == [0]:
+            yield start + braces.now, token.end()
+            braces, start = Depth(), -1
 
 
 def split_parts(text: str) -> list[str]:
@@ -93,32 +87,24 @@ def link_spans(text: str) -> Iterator[tuple[int, int]]:
                 yield start, m.end()
 
 
-def nested_regions(text: str, opening: re.Pattern, closing: re.Pattern) -> list[tuple[int, int]]:
-    """Outermost regions between delimiters that may nest. An opening that nothing closes ends the search; if inner
-    openings lack a close, one region from the first opening to the last close found stands for all."""
-    regions: list[tuple[int, int]] = []
-    outer = opening.search(text)
-    while outer:
-        close = closing.search(text, outer.end())
-        if not close:
-            break
-        inner, depth = outer, 0
-        while True:
-            inner = opening.search(text, inner.end())
-            if not inner:
-                while depth and (later := closing.search(text, close.end())):
-                    close, depth = later, depth - 1
-                return [*regions, (outer.start(), close.end())]
-            while depth and close.end() < inner.start():
-                later = closing.search(text, close.end())
-                if not later:
-                    return [(regions[0][0] if regions else outer.start(), close.end())]
-                close, depth = later, depth - 1
-            if close.end() < inner.start():
-                regions.append((outer.start(), close.end()))
-                break
+def nested_regions(text: str, opening: str, closing: str) -> list[tuple[int, int]]:
+    """Outermost regions between delimiters that may nest, by the depth along both kinds in order. An opening right
+    behind a region goes on with it. A region that stays open ends at the last close found in it, or is none without
+    one; if openings follow further on, it reaches back to the first region."""
+    found = [(*m.span(), kind) for kind, p in ((1, opening), (-1, closing)) for m in re.finditer(p, text, re.I)]
+    regions, depth, start, head, last, behind = [], 0, len(text), 0, -1, False
+    for at, end, kind in sorted(found):
+        if kind > 0:
+            if not depth and at != last:
+                if last > start:
+                    regions.append((start, last))
+                start, head = at, end
+            behind = depth > 0 and start < last < at
             depth += 1
-        outer = inner
+        elif depth and at >= head:
+            depth, last, behind = depth - 1, end, False
+    if last > start:
+        regions = [(min([start, *(a for a, _ in regions)]), last)] if behind else [*regions, (start, last)]
     return regions
 
 
@@ -133,4 +119,4 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def drop_nested(text: str, opening: str, closing: str) -> str:
-    return cut(text, nested_regions(text, re.compile(opening, re.I), re.compile(closing, re.I)))
+    return cut(text, nested_regions(text, opening, closing))
