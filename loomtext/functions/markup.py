@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..wikitext.clean import DISCARDED, IGNORED, LATE_SWITCHES, PROTOCOLS, SELF_CLOSING, SWITCHES
 
-#: Entities of the pages at hand, in the order they are replaced; & last, so that nothing is decoded twice.
-ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "copy": "©", "middot": "·", "nbsp": " ", "mdash": "—", "ndash": "–", "hellip": "…", "eacute": "é", "amp": "&"}
-
-
 def map_matches(text: Column, pattern: str, change) -> Column:
     """change applied to every match of a pattern that is never empty: what lies between is kept."""
     between = F.split(text, pattern, -1)
@@ -39,10 +37,23 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>", "")
 
 
+def code_point(n: Column) -> Column:
+    """The character of a number; null where there is none."""
+    there = n.between(0, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    return F.when(there, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+
 def unescape(text: Column) -> Column:
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+    """Named entities and decimal and hexadecimal references to characters, in one pass; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+
+    def one(m: Column) -> Column:
+        body = F.substring(m, F.lit(2), F.length(m) - 2)
+        decimal = F.when(body.rlike("^#[0-9]+$"), F.substring(body, F.lit(2), F.length(body)).try_cast("bigint"))
+        hexadecimal = F.when(body.rlike("^#x[0-9A-Fa-f]{1,8}$"), F.conv(F.substring(body, F.lit(3), F.length(body)), 16, 10).try_cast("bigint"))
+        return F.coalesce(code_point(F.coalesce(decimal, hexadecimal)), F.try_element_at(names, body), m)
+
+    return map_matches(text, r"&#?\w+;", one)
 
 
 def external_links(text: Column) -> Column:

@@ -10,11 +10,14 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import tokenize
 from ..functions import lines, markup, metadata
 from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump, listing
+from ..wikitext import clean
 from ..wikitext.clean import DISCARDED, IGNORED, PROTOCOLS, SELF_CLOSING, SWITCHES
+from ..wikitext.spans import drop_nested
 from . import extract as extraction
 from .rendered import pages, pages_sql
 
@@ -45,6 +48,20 @@ def column_query(name: str, change, *more: str):
     return run
 
 
+def kernel_query(name: str, change, *more: str):
+    """The same by the text kernel, which is what an extraction runs; its SQL is that of the native expression."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        function = F.pandas_udf(lambda texts: texts.map(change), "string")
+        return pages(spark, sf_dir, "id", name, *more).select("id", function(name).alias("out"))
+
+    return run
+
+
+#: Entities of the given pages and rendered texts; & last, so that nothing is decoded twice.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
 def column_sql(name: str, out: str, *more: str) -> str:
     return f"SELECT id, {out} AS out FROM {pages_sql('id', name, *more)} t"
 
@@ -76,7 +93,7 @@ def _html_sql() -> str:
         text = sub(text, rf"<\s*{tag}\b[^>/]*>.*?<\s*/\s*{tag}>", "", "gis")
     for tag in ("script", "style", "nav", "title"):
         text = sub(text, rf"<{tag}\b[^>]*>.*?</{tag}>", " ", "gis")
-    text = swap(sub(text, "<[^>]*>", ""), *[(f"&{n};", c) for n, c in markup.ENTITIES.items()])
+    text = swap(sub(text, "<[^>]*>", ""), *ENTITIES)
     return f"trim({sub(text, '[ \t\n\r]+', ' ')})"
 
 
@@ -124,7 +141,7 @@ def _expression(name: str) -> str:
 
 
 def _define_sql() -> str:
-    text = swap(_expression("template"), *[(f"&{n};", c) for n, c in markup.ENTITIES.items()])
+    text = swap(_expression("template"), *ENTITIES)
     text = sub(sub(text, "<!--.*?-->", "", "gs"), "<noinclude>.*?</noinclude>", "", "gs")
     text = swap(sub(text, r"<noinclude\s*>.*$", "", "gs"), ("<noinclude/>", ""))
     only = "array_to_string(regexp_extract_all(b, '<onlyinclude>(.*?)</onlyinclude>', 1), '')"
@@ -154,7 +171,8 @@ def kernel(make) -> object:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey AS id", "p_name AS title", f"{make} AS text")
-        site = extraction.Site({"Template:Box": "[{{{1|none}}}/{{{size|{{{2|}}}}}}]", "Template:Twice": "{{Box|{{{1}}}}}{{box|size={{{1}}}}}"})
+        bodies = {"Template:Box": "[{{{1|none}}}/{{{size|{{{2|}}}}}}]", "Template:Twice": "{{Box|{{{1}}}}}{{box|size={{{1}}}}}", "Template:Convert": "{{#invoke:convert|convert}}"}
+        site = extraction.Site(bodies, {"Template:Alias": "Template:Box"})
         done = table.select("id", extraction.text_function(site, OPTIONS)("title", "text").alias("r"))
         return done.select("id", F.col("r.text").alias("out"))
 
@@ -176,6 +194,39 @@ SECTIONS = "concat('== ', p_name, ' ==', chr(10), '* {{lc:', p_type, '}}', chr(1
 SECTIONS_SQL = "SELECT p_partkey AS id, concat(p_brand, ' has 1234567 parts.', chr(10), 'formula_1 (c)', chr(10)) AS out FROM part"
 
 
+MODULES = "concat('{{Alias|', p_name, '}} {{convert|', cast(p_size as string), '|km}} {{#iferror: {{#expr: 1 + }} | bad | good }} {{#iferror: {{#expr: 2 * 3 }} | bad }} {{#invoke:nothing|here}}{{lcfirst:', p_name, '}} a{{!}}b {{lc:', p_type, '}}.')"
+MODULES_SQL = """SELECT p_partkey AS id, concat('[', p_name, '/] ', CAST(p_size AS VARCHAR), ' km bad 6 ', lower(p_name[1]), substr(p_name, 2), ' a|b ', lower(p_type), '.', chr(10)) AS out FROM part"""
+
+
+def words_sql(text: str) -> str:
+    """Tokens of the rules, for an engine without looks ahead or behind: a mark stands for the full stop of an abbreviation."""
+    spaced = sub(sub(text, r"([\p{L}\p{N}_])('(?:s|m|d|re|ve|ll))\b", r"\1 \2", "gi"), r"(n't)\b", r" \1", "gi")
+    marked = sub(spaced, r"([\p{L}\p{N}_])\.([^\s\p{L}\p{N}_])", "\\1\u241f\\2")
+    word = "[\\p{L}\\p{N}_]+"
+    found = f"regexp_extract_all({marked}, {lit(rf"(?i)\.\.\.|--|n't\b|'(?:s|m|d|re|ve|ll)\b|\d+(?:[.,]\d+)*|{word}(?:[-'.]{word})*{chr(0x241F)}?|[^\p{{L}}\p{{N}}_\s]")})"
+    return f"list_transform({found}, lambda w: replace(w, {lit(chr(0x241F))}, '.'))"
+
+
+def rule_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens that an extraction gives for English and Indonesian, by the rules that are built in."""
+    found = F.pandas_udf(lambda texts: texts.map(lambda t: [w for line in (t or "").strip().split("\n") for w in tokenize.rule_words(line)]), "array<string>")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", found("text").alias("w"))
+    return docs.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
+
+
+def _extract_sql() -> str:
+    """Records of the rendered pages, line by line in closed form."""
+    under = lambda x: f"replace({x}, ' ', '_')"
+    text = f"""concat(p_name, ' is a ', {under("lower(p_type)")}, '_parts of ', {under("p_brand")}, ', see and w:', {under("p_name")}, '.', chr(10),
+        'Sold ', CAST(p_size % 90 + 1 AS VARCHAR), lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0'), ' and 12', lpad(CAST(p_size AS VARCHAR), 3, '0'), ' times; called "', p_brand, '" or "', p_name, '"...', chr(10),
+        'Price about ', CAST(p_size AS VARCHAR), ' coins, or . ', chr(10), 'formula_1 and formula_2 & bold <', chr(10))"""
+    category = "lower(title[1:9]) = 'category:'"
+    return f"""SELECT CASE WHEN {category} THEN substr(title, 10) ELSE title END AS title, id, concat('{BASE}?curid=', id) AS url, out AS text,
+        array_to_string(list_sort([concat(p_brand), p_type]), '|') AS related, {category} AS "isCategory", CASE WHEN {category} THEN p_name ELSE '' END AS "mainArticle",
+        NOT {category} AS "isArticle", concat(p_brand, '|', p_type) AS categories, array_to_string({words_sql("out")}, '|') AS segment_text
+        FROM (SELECT *, {text} AS out FROM (SELECT part.*, t.* FROM part JOIN {pages_sql("id", "title", "ns")} t ON CAST(p_partkey AS VARCHAR) = t.id WHERE t.ns NOT IN ('10', '828')) u) v"""
+
+
 # --- acquisition ---
 
 LISTING = (
@@ -318,6 +369,30 @@ QUERIES = {
     "part_numbers": part_numbers,
     "manifest_diff": manifest_diff,
     "extract_pages": extract_pages,
+    "unescape": column_query("entities", markup.unescape),
+    "unescape_kernel": kernel_query("entities", clean.unescape),
+    "unescape_outside_highlight": kernel_query("wrapped", clean.unescape_outside_highlight),
+    "clean_template": kernel_query("lefts", clean.left_templates),
+    "nested_regions": kernel_query("nested", lambda t: clean.clean(t, OPTIONS, None)),
+    "list_lines": kernel_query("lists", lambda t: "\n".join(clean.compact(t, Options(lists=True, sections=True)))),
+    "html_lines": kernel_query("lists", lambda t: "\n".join(clean.compact(t, Options(html=True, sections=True)))),
+    "modules_and_redirects": kernel(MODULES),
+    "rule_tokens": rule_tokens,
+    "external_links_kernel": kernel_query("text", lambda t: clean.external_links(t, OPTIONS)),
+    "internal_links_kernel": kernel_query("text", lambda t: clean.internal_links(t, OPTIONS)),
+    "bold_italic_kernel": kernel_query("text", lambda t: clean.quotes(t, False)),
+    "magic_switches_kernel": kernel_query("text", lambda t: clean.SWITCH.sub("", t)),
+    "late_switches_kernel": kernel_query("marks", lambda t: clean.LATE_SWITCH.sub("", t)),
+    "table_drop_kernel": kernel_query("text", lambda t: drop_nested(t, r"{\|", r"\|}")),
+    "template_drop_kernel": kernel_query("text", lambda t: drop_nested(t, "{{", "}}")),
+    "placeholders_kernel": kernel_query("text", lambda t: clean.placeholders(clean.unescape(t))),
+    "punct_cleanup_kernel": kernel_query("marks", clean.tidy),
+    "clean_comma_kernel": kernel_query("marks", clean.middle_dots),
+    "clean_number_kernel": kernel_query("text", clean.numbers),
+    "clean_ref_kernel": kernel_query("marks", clean.left_links),
+    "strip_tags_kernel": kernel_query("text", lambda t: clean.strip_tags(clean.unescape(t))),
+    "line_compact_kernel": kernel_query("sections", lambda t: "\n".join(clean.compact(t, OPTIONS))),
+    "glue_latin_kernel": kernel_query("latin", tokenize.glue),
 }
 
 ORACLES = {
@@ -346,7 +421,7 @@ ORACLES = {
     "table_drop_flat": column_sql("text", sub("text", r"\{\|.*?\|\}", "", "gs")),
     "template_drop_flat": column_sql("text", sub("text", r"\{\{[^{}]*\}\}", "")),
     "placeholders": f"""SELECT id, replace(replace(u, concat('<math>x^', regexp_extract(u, 'x\\^(\\d+)', 1), '</math>'), 'formula_1'), '<math>y</math>', 'formula_2') AS out
-        FROM (SELECT id, {swap("text", *[(f"&{n};", c) for n, c in markup.ENTITIES.items()])} AS u FROM {pages_sql("id", "text")} t) v""",
+        FROM (SELECT id, {swap("text", *ENTITIES)} AS u FROM {pages_sql("id", "text")} t) v""",
     "punct_cleanup": column_sql(
         "marks",
         swap(sub(sub(sub(swap("marks", ("<<", "«"), (">>", "»"), ("\t", " ")), " {2,}", " "), r"\.{4,}", "..."), r"\n[^\p{L}\p{N}_]+?\n", "\n"), (",,", ","), (",.", ".")),
@@ -354,7 +429,7 @@ ORACLES = {
     "clean_comma": column_sql("marks", swap("marks", ("．", "·"), ("‧", "·"), ("˙", "·"))),
     "clean_number": column_sql("text", sub(sub("text", r"(Sold \d{1,2}),(\d{3} )", r"\1\2"), r"( and 12),(\d{3} )", r"\1\2")),
     "clean_ref": column_sql("marks", sub(sub("marks", r"\[\[[^\]:]*:[^\]]*?\]\]", ""), r"\[\[([^\]|]*)[^\]]*\]\]", r"\1")),
-    "strip_tags": column_sql("text", sub(swap("text", *[(f"&{n};", c) for n, c in markup.ENTITIES.items()]), "<[^>]*>", "")),
+    "strip_tags": column_sql("text", sub(swap("text", *ENTITIES), "<[^>]*>", "")),
     "normalize_title": f"""SELECT id, CASE WHEN contains(s, ':') THEN concat(upper(s[1]), substr(string_split(s, ':')[1], 2), ':', upper(r[1]), substr(r, 2)) ELSE concat(upper(s[1]), substr(s, 2)) END AS out
         FROM (SELECT id, s, ltrim(string_split(s, ':')[2]) AS r FROM (SELECT id, {sub(sub("title", "^[ _]+|[ _]+$", ""), "[\\s_]+", " ")} AS s FROM {pages_sql("id", "title")} t) u) v""",
     "glue_latin": column_sql(
@@ -376,4 +451,20 @@ ORACLES = {
     "small_files": f"SELECT filename, size FROM ({LISTING_SQL}) t WHERE size > 100000",
     "part_numbers": PARTS_SQL,
     "manifest_diff": f"SELECT path, size FROM ({LISTING_SQL}) t WHERE size % 3 = 0 OR size % 7 = 0",
+    "extract_pages": _extract_sql(),
+    "unescape": f"""SELECT id, concat(chr(CAST(id AS INTEGER) % 900 + 33), chr(CAST(id AS INTEGER) % 700 + 8704), 'éΩ♥', chr(160), p_name, '&lt;&unknown;&#xzz;&#55296;&#1114112;&#99999999999999999999; & &; €', chr(128512)) AS out
+        FROM (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name FROM part) t""",
+    "unescape_outside_highlight": """SELECT CAST(p_partkey AS VARCHAR) AS id, concat('<b> ', p_name, ' a &amp;lt; ', p_brand, ' "', p_type, '"') AS out FROM part""",
+    "clean_template": """SELECT CAST(p_partkey AS VARCHAR) AS id, concat(p_name, chr(10), p_name, ' b', chr(10), chr(10), p_brand, chr(10), p_type, chr(10), p_brand, chr(10), chr(10), 'end {x}') AS out FROM part""",
+    "nested_regions": """SELECT CAST(p_partkey AS VARCHAR) AS id, concat('ab', chr(10), 'c ', p_brand, ' ', p_type) AS out FROM part""",
+    "list_lines": """SELECT CAST(p_partkey AS VARCHAR) AS id, concat(p_name, '.', chr(10), '- ', p_type, chr(10), '- ', p_brand, chr(10), '1. c', chr(10), 'after ', p_name, chr(10), 'Deep!', chr(10), 'last ', p_type) AS out FROM part""",
+    "html_lines": """SELECT CAST(p_partkey AS VARCHAR) AS id, concat('<h2>', p_name, '</h2>', chr(10), '<ul>', chr(10), '<li>', p_type, '</li>', chr(10), '<ul>', chr(10), '<li>', p_brand, '</li>', chr(10),
+        '</ul>', chr(10), '</ul>', chr(10), '<ol>', chr(10), '<li>c</li>', chr(10), 'after ', p_name, chr(10), '</ol>', chr(10), '<h3>Deep!</h3>', chr(10), p_name, '.', chr(10), 'Deep!', chr(10), 'last ', p_type) AS out FROM part""",
+    "modules_and_redirects": MODULES_SQL,
+    "rule_tokens": f"SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, '|')) AS tokens_md5 FROM (SELECT doc_id, {words_sql('text')} AS w FROM documents) t",
+}
+#: Native expression and kernel are held against the same SQL.
+ORACLES |= {
+    f"{name}_kernel": ORACLES[{"internal_links": "internal_links_flat", "table_drop": "table_drop_flat", "template_drop": "template_drop_flat"}.get(name, name)]
+    for name in (q[: -len("_kernel")] for q in QUERIES if q.endswith("_kernel"))
 }

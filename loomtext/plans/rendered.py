@@ -31,6 +31,14 @@ PAGE = {
         ' [[', p_type, '|', p_name, ']] [[x:', p_brand, ']] see.......')""",
     "template": """concat('&lt;!-- ', p_name, ' --&gt;', case when p_size % 3 = 0 then concat('&lt;onlyinclude&gt;', p_brand, '&lt;/onlyinclude&gt; rest') else p_type end,
         '&lt;noinclude&gt;', p_name, '&lt;/noinclude&gt;', case when p_size % 4 = 0 then '&lt;includeonly&gt;' else '' end, '{{{1|', p_name, '}}}')""",
+    "entities": """concat('&#', cast(p_partkey % 900 + 33 as string), ';&#x', lower(hex(p_partkey % 700 + 8704)), ';&eacute;&Omega;&hearts;&nbsp;', p_name,
+        '&amp;lt;&unknown;&#xzz;&#55296;&#1114112;&#99999999999999999999; & &; &euro;&#128512;')""",
+    "wrapped": "concat('&lt;b&gt; ', p_name, ' &lt;syntaxhighlight lang=x&gt;a &amp;lt; ', p_brand, '&lt;/syntaxhighlight&gt; &quot;', p_type, '&quot;')",
+    "lefts": """concat(p_name, chr(10), '{{lang|fr|', p_name, '}} b', chr(10), 'a {{lang|fr|', p_type, '}} b', chr(10), '{{IPA|', p_brand, '}}', chr(10),
+        '{{lang-de|', p_type, '|x}}', chr(10), '{{link|a|', p_brand, '}}', chr(10), '{{zz|', p_brand, '}}', chr(10), 'end {x}')""",
+    "nested": """concat('a<div class=x>', p_name, '<div>in</div> rest</div>b', chr(10), '{| t', chr(10), '{| ', p_name, ' |} u', chr(10), '|}c <small>gone</small>', p_brand,
+        '<ref name=y>z</ref> <span id=q>', p_type, '</span><br/>')""",
+    "lists": """concat('== ', p_name, ' ==', chr(10), '* ', p_type, chr(10), '** ', p_brand, chr(10), '# c', chr(10), 'after ', p_name, chr(10), '=== Deep! ===', chr(10), 'last ', p_type)""",
     "latin": "concat('版本', p_brand, ' ', cast(p_size as string), ' ', p_name, '　', p_type, ' 中 文 v2.', cast(p_size as string), ' b')",
 }
 

@@ -60,7 +60,8 @@ def unescape(text: str) -> str:
         try:
             if m[0][1] != "#":
                 return chr(name2codepoint[code])
-            return chr(int(code[1:], 16) if code[0] == "x" else int(code))
+            number = int(code[1:], 16) if code[0] == "x" else int(code)
+            return m[0] if 0xD800 <= number < 0xE000 else chr(number)
         except (KeyError, ValueError, OverflowError):
             return m[0]
 
@@ -265,10 +266,17 @@ def left_templates(text: str) -> str:
     return text
 
 
+def strip_tags(text: str) -> str:
+    return re.sub(r"<[^>]*>", "", text)
+
+
+def middle_dots(text: str) -> str:
+    return re.sub("[．‧˙]", "·", text)
+
+
 def finish(lines: list[str]) -> str:
     """The last steps, over the joined lines."""
-    text = re.sub(r"<[^>]*>", "", "".join(f"{x}\n" for x in lines))
-    text = re.sub("[．‧˙]", "·", text)
+    text = middle_dots(strip_tags("".join(f"{x}\n" for x in lines)))
     return LATE_SWITCH.sub("", left_templates(numbers(left_links(text))))
 
 
