@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from .quality import CLASSES, COMMON_WORDS, WINDOW
+from .quality import BARE_SHARE, CLASSES, COMMON_WORDS, WINDOW
 
 
-def quality(max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60) -> str:
+def quality(max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60, bare_share: float = BARE_SHARE) -> str:
     """op1: counts by unnesting, histograms and divergences as rows of (document, language, entry)."""
     vocabulary = list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
-    values = ", ".join(f"('{x}', {i})" for i, w in enumerate(vocabulary) for x in (w, w.capitalize()))
+    values = ", ".join(f"('{w}', {i})" for i, w in enumerate(vocabulary))
     steps, text = [], "t"
     for name, pattern in CLASSES:
         text = f"regexp_replace({text}, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g')"
@@ -31,7 +31,7 @@ base AS (SELECT doc_id, lang, len(words) AS n_words, list_sum(list_transform(wor
   FROM w JOIN lefts USING (doc_id, t) LEFT JOIN dl USING (doc_id) LEFT JOIN rep USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base),
 v AS (SELECT * FROM (VALUES {values}) v(word, e)),
-cw AS (SELECT doc_id, 'w' AS part, e, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word FROM w) t JOIN v USING (word) GROUP BY doc_id, e),
+cw AS (SELECT doc_id, 'w' AS part, e, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(words, lambda s: lower(s))) AS word FROM w) t JOIN v USING (word) GROUP BY doc_id, e),
 other AS (SELECT doc_id, 'w' AS part, {len(vocabulary)} AS e, n_words - coalesce((SELECT sum(n) FROM cw WHERE cw.doc_id = f.doc_id), 0) AS n FROM f),
 h AS ({entries} UNION ALL SELECT * FROM cw UNION ALL SELECT * FROM other),
 p AS (SELECT doc_id, part, e, n / nullif(sum(n) OVER (PARTITION BY doc_id, part), 0) AS p FROM h),
@@ -42,10 +42,13 @@ pairs AS (SELECT doc_id, lang, part, e, p, 0 AS q FROM p, (SELECT DISTINCT lang
 pq AS (SELECT doc_id, lang, part, e, sum(p) AS p, sum(q) AS q FROM pairs GROUP BY doc_id, lang, part, e),
 js AS (SELECT doc_id, lang, part, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS j
   FROM pq GROUP BY doc_id, lang, part),
+bare AS (SELECT lang, sqrt(greatest(0, (1 - r + log2(2 / (1 + r)) + CASE WHEN r > 0 THEN r * log2(2 * r / (1 + r)) ELSE 0 END) / 2)) AS b
+  FROM (SELECT lang, coalesce(max(q) FILTER (e = {len(vocabulary)}), 0) AS r FROM ref WHERE part = 'w' GROUP BY lang) t),
+able AS (SELECT doc_id, bool_or(j <= {bare_share} * b OR b = 0) AS able FROM js JOIN bare USING (lang) WHERE part = 'w' GROUP BY doc_id),
 near AS (SELECT doc_id, min(j) FILTER (part = 'c') AS c, min(j) FILTER (part = 'w') AS w FROM js GROUP BY doc_id),
-out AS (SELECT f.*, coalesce(c, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dc, coalesce(w, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dw FROM f LEFT JOIN near USING (doc_id))
+out AS (SELECT f.*, coalesce(c, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dc, coalesce(w, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dw, coalesce(able, NOT EXISTS (SELECT * FROM ref)) OR coalesce(f.lang NOT IN (SELECT lang FROM ref), false) AS able FROM f LEFT JOIN near USING (doc_id) LEFT JOIN able USING (doc_id))
 SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, round(dc, 6) AS class_distance, round(dw, 6) AS word_distance, base_failed,
-  NOT base_failed AND coalesce(dc <= {max_class} OR word_chars < {min_chars}, true) AND coalesce(dw <= {max_word} OR n_words < {min_words}, true) AS kept FROM out"""
+  NOT base_failed AND coalesce(dc <= {max_class} OR word_chars < {min_chars}, true) AND coalesce(dw <= {max_word} OR n_words < {min_words}, true) AND (able OR n_words < {min_words}) AS kept FROM out"""
 
 
 #: Repeated passages can be put in SQL, too, but windows of 100 bytes take it minutes: brute force checks them instead.

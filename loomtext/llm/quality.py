@@ -28,8 +28,8 @@ CLASSES = [("letter", r"\p{L}+"), ("space", SPACE), ("digit", r"\p{N}+"), ("stop
 
 WINDOW = 8
 
-#: max_word alone is above the distance of a text without any common word (about 0.33). The spread of clean documents
-#: (sf0.1, quality 1, 60 words or more) ends at 0.90 of that distance.
+#: A text of any language without one common word is at about 0.33 from that language's words. The spread of clean
+#: documents (sf0.1, quality 1, 60 words or more) ends at 0.90 of that distance.
 BARE_SHARE = 0.92
 
 
@@ -57,10 +57,10 @@ def _vocabulary() -> list[str]:
     return list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
 
 
-def features(docs: DataFrame, text_col: str = "text", any_case: bool = False) -> DataFrame:
+def features(docs: DataFrame, text_col: str = "text", any_case: bool = True) -> DataFrame:
     """docs with the struct __q: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes and common
-    (arrays of counts). The text is read whole; null counts as empty. Common words count in lower case and with a
-    capital first letter, or however they are written with any_case."""
+    (arrays of counts). The text is read whole; null counts as empty. Common words count however they are written, or
+    only in lower case and with a capital first letter without any_case."""
     vocabulary = _vocabulary()
     marks = [chr(0x4E00 + i) for i in range(len(vocabulary))]
     spelled = [x for w, m in zip(vocabulary, marks, strict=True) for s in (w, w.capitalize()) for x in (F.lit(s), F.lit(m))]
@@ -133,7 +133,7 @@ def bare_distance(common: list[float]) -> float:
 
 def judge(
     docs: DataFrame, max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60,
-    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None, any_case: bool = False, bare_share: float | None = None,
+    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None, any_case: bool = True, bare_share: float | None = BARE_SHARE,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default) and the struct __q, now with class_distance, word_distance (to the
     nearest language; null without references), base_failed and kept.
@@ -141,7 +141,7 @@ def judge(
     kept: not base_failed, and class_distance <= max_class or fewer than min_chars characters, and word_distance <=
     max_word or fewer than min_words words. A null text counts as empty and fails; a null or unknown language only
     keeps a document out of the references. Rows are judged one by one, so repeated rows and ids get equal verdicts.
-    bare_share: if given, some language's word distance must also be at most this share of what a text without common
+    bare_share: if not None, some language's word distance must also be at most this share of what a text without common
     words has to it; a document of a known language without references is left to max_word alone.
     An empty table gives an empty result. Columns of docs that begin with two underscores are reserved.
     """
@@ -172,9 +172,9 @@ def judge(
     return out.select(*keep, full.alias("__q"))
 
 
-def keep_good(docs: DataFrame, any_case: bool = True, bare_share: float | None = BARE_SHARE, **options) -> DataFrame:
+def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that judge() keeps, with the columns of docs."""
-    return judge(docs, any_case=any_case, bare_share=bare_share, **options).where("__q.kept").drop("__q")
+    return judge(docs, **options).where("__q.kept").drop("__q")
 
 
 def op1_distribution_divergence(spark, sf_dir: str) -> DataFrame:
