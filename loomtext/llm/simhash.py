@@ -27,10 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, lean, materialize
+from .common import lean, materialize
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HAMMING = 15
@@ -248,9 +248,19 @@ def near_duplicates(
     return fps.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingles(text: str | None, words: int, seed: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word shingles; a shorter text is one shingle, no words give none."""
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+def normal(text: str | None) -> list[bytes]:
+    """The text's words, A to Z in lower case."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+
+
+def class_of(parts: list[bytes]) -> int:
+    """64-bit hash of the words, signed."""
+    h = xxhash.xxh64_intdigest(b" ".join(parts))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def shingles(parts: list[bytes], words: int, seed: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles; fewer words are one shingle, no words give none."""
     if not parts:
         return np.zeros(0, np.uint64)
     whole, n = b" ".join(parts), len(parts)
@@ -298,12 +308,6 @@ def lane_plan(classes: int, least: float, miss: float) -> tuple[list[tuple[int,
     return cut, max(2, math.ceil(math.log(miss) / math.log(apart)))
 
 
-def class_of(text: Column) -> Column:
-    """64-bit hash of the text's words, in the lower case of A to Z."""
-    lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.xxhash64(F.array_join(F.filter(F.split(lower, SPACE), lambda w: w != ""), " "))
-
-
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """The columns of rows sorted by the first, cut only between its values."""
     rest: tuple[np.ndarray, ...] | None = None
@@ -428,7 +432,8 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def similar(
-    docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 16, hot_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 16, hot_rows: int = 50_000, most_sent: int = 1_000_000,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per input row: doc_id and component_id, the smallest id that links of pairs of at least this Jaccard
     similarity of word shingles reach, itself included. A pair at `least` meets at no anchor with a chance of at most
@@ -438,7 +443,7 @@ def similar(
     """
     text = F.col(text_col).cast("string")
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), class_of(text).alias("cls"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     cut, lanes = lane_plan(docs.count(), least, miss)
     keys = np.random.default_rng(seed).integers(0, 2**63, lanes, dtype=np.uint64)
     # of two lanes: what a pair at `least` has, and four standard deviations
@@ -449,8 +454,9 @@ def similar(
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 some = b.slice(at, 500)
-                fps = np.stack([lane_fingerprints(shingles(x.as_py(), words, seed), keys) for x in some.column(2)])
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([f.tobytes() for f in fps], pa.binary())], ["doc_id", "cls", "fp"])
+                parts = [normal(x.as_py()) for x in some.column(1)]
+                fps = [lane_fingerprints(shingles(p, words, seed), keys).tobytes() for p in parts]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(map(class_of, parts), pa.int64()), pa.array(fps, pa.binary())], ["doc_id", "cls", "fp"])
 
     def replicate(batches: Iterator[pa.RecordBatch], parts: dict[int, int]) -> Iterator[pa.RecordBatch]:
         names = np.array(sorted(parts), np.int64)
@@ -472,9 +478,19 @@ def similar(
                     columns = [anchor, cls[row], fps[row, k].view(np.int64), fps[row, (k + 1) % lanes].view(np.int64), home]
                     yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["anchor", "cls", "x", "y", "home"])
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grams(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # classes that this task has given
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_py(), words, seed).tobytes() for x in b.column(1)], pa.binary())], ["cls", "grams"])
+            for at in range(0, b.num_rows, 500):
+                out: dict[int, bytes] = {}
+                for x in b.column(b.schema.names.index("text")).slice(at, 500):
+                    parts = normal(x.as_py())
+                    cls = class_of(parts)
+                    if cls not in done and (wanted is None or (k := int(np.searchsorted(wanted, cls))) < len(wanted) and wanted[k] == cls):
+                        done.add(cls)
+                        out[cls] = shingles(parts, words, seed).tobytes()
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.binary())], ["cls", "grams"])
 
     found = materialize(rows.mapInArrow(lean(lane_rows), f"doc_id {kind}, cls bigint, fp binary"), "simhash-lanes")
     classes = materialize(found.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp")), "simhash-lane-classes")
@@ -492,11 +508,23 @@ def similar(
         return together.mapInArrow(lean(lambda it: pairs_met(it, turn, most, crowd)), MET)
 
     def tests(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        texts = rows.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
-        sets = materialize(texts.select("cls", "text").mapInArrow(lean(grams), "cls bigint, grams binary"), "simhash-sets")
+        """The classes' sets are made where their texts are read: the classes' numbers travel with the tasks while they
+        are few; of more, each document's number and text meet them in a join."""
+        need = materialize(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "simhash-need")
+        if need.count() <= most_sent:
+            wanted = np.sort(np.array([r[0] for r in need.collect()], np.int64))
+            made = rows.select("text").mapInArrow(lean(lambda it: grams(it, wanted)), "cls bigint, grams binary")
+        else:
+            named = rows.select("text").mapInArrow(lean(with_class), "cls bigint, text string")
+            some = named.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+            made = some.mapInArrow(lean(lambda it: grams(it, None)), "cls bigint, grams binary")
+        sets = materialize(made.groupBy("cls").agg(F.first("grams").alias("grams")), "simhash-sets")
         return verified(pairs, sets, least)
 
+    def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([class_of(normal(x.as_py())) for x in b.column(0)], pa.int64()), b.column(0)], ["cls", "text"])
+
     first = materialize(met(dealt, 0), "simhash-met")
     tested = materialize(first.where("a IS NOT NULL").select("a", "b").distinct(), "simhash-pairs")
     edges = tests(tested)
@@ -507,6 +535,8 @@ def similar(
         again = crowds.join(nodes, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
         new = met(again, turn).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         new = materialize(new, "simhash-pairs")
+        if not new.limit(1).count():
+            continue
         tested, edges = tested.unionByName(new), edges.unionByName(tests(new))
         nodes = components(edges)
     linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
