@@ -21,7 +21,7 @@ from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump
 from ..tokenize import segment
-from ..wikitext.clean import plain_text, unescape
+from ..wikitext.clean import plain_text
 from ..wikitext.templates import Expander, Site
 
 #: Template dictionaries up to this size travel in the task's closure; larger ones as a database file.
@@ -29,19 +29,19 @@ BROADCAST_BYTES = 64 << 20
 RESULT = "text string, title_errors int, call_errors int, depth_errors int, parameter_errors int, error string"
 
 
-class StoredTemplates(Mapping):
-    """Template bodies in a database file that Spark has sent to each executor; looked up one by one."""
+class Stored(Mapping):
+    """A table of a database file that Spark has sent to each executor; looked up one by one."""
 
-    def __init__(self, name: str, size: int) -> None:
-        self.name, self.size, self.db = name, size, None
+    def __init__(self, name: str, table: str, size: int) -> None:
+        self.name, self.table, self.size, self.db = name, table, size, None
 
     def __reduce__(self):
-        return StoredTemplates, (self.name, self.size)
+        return Stored, (self.name, self.table, self.size)
 
     def __getitem__(self, title: str) -> str:
         if self.db is None:
             self.db = sqlite3.connect(f"file:{SparkFiles.get(self.name)}?mode=ro", uri=True)
-        row = self.db.execute("SELECT body FROM templates WHERE title = ?", (title,)).fetchone()
+        row = self.db.execute(f"SELECT value FROM {self.table} WHERE title = ?", (title,)).fetchone()
         if row is None:
             raise KeyError(title)
         return row[0]
@@ -54,33 +54,44 @@ class StoredTemplates(Mapping):
         return True
 
     def __iter__(self) -> Iterator[str]:
-        raise TypeError("stored templates are looked up only")
+        raise TypeError("titles are looked up, not listed")
 
     def __len__(self) -> int:
         return self.size
 
 
+def stored(spark: SparkSession, tables: dict[str, DataFrame], mark: str) -> dict[str, Stored]:
+    """The (title, value) tables as one database file, made on the driver row by row and sent to the executors. Its
+    name holds a mark of its content, so that another dictionary of the session has another file."""
+    name = f"dictionary-{mark}.sqlite"
+    file = os.path.join(tempfile.mkdtemp(), name)
+    sizes = {}
+    with sqlite3.connect(file) as db:
+        for table, df in tables.items():
+            db.execute(f"CREATE TABLE {table} (title TEXT PRIMARY KEY, value TEXT)")
+            db.executemany(f"INSERT INTO {table} VALUES (?, ?)", (tuple(r) for r in df.toLocalIterator()))
+            sizes[table] = db.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
+    spark.sparkContext.addFile(file)
+    return {table: Stored(name, table, n) for table, n in sizes.items()}
+
+
 def template_site(spark: SparkSession, template_pages: DataFrame | None, site: dict, options: Options) -> Site:
-    """Definitions, ready to be sent to workers. Their size is measured first and decides how they travel."""
+    """Definitions and redirects, ready to be sent to workers. Their size is measured first and decides how they travel."""
     names = frozenset(site["namespaces"]) | {site["template"] or "Template"}
     if template_pages is None:
         return Site(namespaces=names, template_namespace=site["template"] or "Template", compat=options.compat)
-    full = F.pandas_udf(lambda s: s.map(unescape), "string")
-    bodies, moved = ops.define_templates(template_pages, unescape=full)
-    bodies = bodies.persist()
-    size, count = bodies.agg(F.coalesce(F.sum(F.octet_length("title") + F.octet_length("body")), F.lit(0)), F.count("*")).first()
+    tables = {table: df.toDF("title", "value").persist() for table, df in zip(("templates", "redirects"), ops.define_templates(template_pages), strict=True)}
+    size, mark = 0, 0
+    for df in tables.values():
+        row = df.agg(F.sum(F.octet_length("title") + F.octet_length("value")).alias("size"), F.sum(F.xxhash64("title", "value").cast("decimal(30,0)")).alias("mark")).first()
+        size, mark = size + (row["size"] or 0), mark * 31 + int(row["mark"] or 0)
     if size <= BROADCAST_BYTES:
-        held: Mapping[str, str] = {r["title"]: r["body"] for r in bodies.toLocalIterator()}
+        held: dict[str, Mapping[str, str]] = {table: {r["title"]: r["value"] for r in df.toLocalIterator()} for table, df in tables.items()}
     else:
-        file = os.path.join(tempfile.mkdtemp(), "templates.sqlite")
-        with sqlite3.connect(file) as db:
-            db.execute("CREATE TABLE templates (title TEXT PRIMARY KEY, body TEXT)")
-            db.executemany("INSERT INTO templates VALUES (?, ?)", ((r["title"], r["body"]) for r in bodies.toLocalIterator()))
-        spark.sparkContext.addFile(file)
-        held = StoredTemplates("templates.sqlite", count)
-    bodies.unpersist()
-    redirects = {r["src"]: r["dst"] for r in moved.toLocalIterator()}
-    return Site(held, redirects, names, site["template"] or "Template", options.compat)
+        held = stored(spark, tables, f"{mark % (1 << 64):016x}")
+    for df in tables.values():
+        df.unpersist()
+    return Site(held["templates"], held["redirects"], names, site["template"] or "Template", options.compat)
 
 
 def text_function(site: Site, options: Options):
@@ -155,8 +166,15 @@ def errors(pages: DataFrame, options: Options | None = None, site: dict | None =
 
 
 def extract_dump(spark: SparkSession, path: str, options: Options | None = None, template_path: str | None = None, ordered: bool = False) -> DataFrame:
-    """A dump file, folder or glob to output records. Templates have effect only if a file of them is given."""
+    """A dump file, folder or glob to output records, with path and position in order if `ordered`. Templates have
+    effect only if a file of them is given."""
     pages = ops.articles(ops.without_repeats(ops.without_redirects(dump.read_pages(spark, path))))
     templates = dump.read_pages(spark, template_path) if template_path else None
     out = extract(pages, options, dump.read_site(spark, path), templates, ("path", "position"))
     return out.orderBy("path", "position") if ordered else out
+
+
+def extract_article(pages: DataFrame, options: Options | None = None, site: dict | None = None, template_pages: DataFrame | None = None) -> Iterator[str]:
+    """Single-article mode: JSON lines of the given pages whatever their namespace, one after the other. Without a
+    site the address has no base."""
+    yield from extract(pages, options, site, template_pages).toJSON().toLocalIterator()

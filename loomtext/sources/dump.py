@@ -37,9 +37,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_site(spark: SparkSession, path: str) -> dict:
-    """urlbase (the base address up to its last /), namespaces, and the names of those of templates and modules."""
-    head = spark.read.option("lineSep", "</siteinfo>").text(path).where(F.col("value").contains("<siteinfo>")).select("value").first()
-    if head is None:
+    """urlbase (the base address up to its last /), namespaces, and the names of those of templates and modules, from
+    what stands before the end of the first page of the first file. A dump without them gives empty values."""
+    head = spark.read.option("lineSep", "</page>").text(path).select(F.substring_index("value", "</siteinfo>", 1).alias("value")).first()
+    if head is None or "<siteinfo>" not in head["value"]:
         return {"urlbase": "", "namespaces": [], "template": "", "module": ""}
     row = spark.range(1).select(
         F.regexp_extract(F.lit(head["value"]), "<base>([^<]*)</base>", 1).alias("base"),

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import bz2
+import contextlib
 import os
+import shutil
+import sys
+import uuid
+from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 FILES_PER_FOLDER = 100
@@ -29,13 +35,14 @@ class SplitWriter(DataSourceWriter):
     def __init__(self, options: dict) -> None:
         self.path, self.most = options["path"], int(options.get("maxbytes", 1 << 20))
         self.compress, self.single = options.get("compress") == "true", options.get("single") == "true"
+        self.work = os.path.join(self.path, "_temporary", options.get("job") or uuid.uuid4().hex)  # a parallel job has its own
 
     def write(self, rows):
         from pyspark import TaskContext
 
         context = TaskContext.get()
         task = f"task-{context.partitionId():05d}"
-        place = os.path.join(self.path, "_temporary", f"{task}.{context.taskAttemptId()}")
+        place = os.path.join(self.work, f"{task}.{context.taskAttemptId()}")
         file, size, n = None, 0, 0
         for row in rows:
             line = (row[0] + "\n").encode()
@@ -54,18 +61,20 @@ class SplitWriter(DataSourceWriter):
         return message
 
     def commit(self, messages) -> None:
-        for m in messages:
-            if m and m.files:
-                target = self.path if self.single else os.path.join(self.path, m.task)
-                os.makedirs(target, exist_ok=True)
-                for name in os.listdir(m.place):
-                    os.replace(os.path.join(m.place, name), os.path.join(target, name))
+        """Files to their names: with `single` numbered through all tasks, in the tasks' order; else by task."""
+        end, before = ".bz2" if self.compress else "", 0
+        for m in sorted((m for m in messages if m and m.files), key=lambda m: m.task):
+            for n in range(m.files):
+                target = os.path.join(self.path, *([] if self.single else [m.task]), file_name(before + n) + end)
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                os.replace(os.path.join(m.place, file_name(n) + end), target)
+            before += m.files if self.single else 0
         self.abort(messages)
 
     def abort(self, messages) -> None:
-        import shutil
-
-        shutil.rmtree(os.path.join(self.path, "_temporary"), ignore_errors=True)
+        shutil.rmtree(self.work, ignore_errors=True)
+        with contextlib.suppress(OSError):  # other jobs are at work in it
+            os.rmdir(os.path.dirname(self.work))
 
 
 class SplitSource(DataSource):
@@ -79,13 +88,21 @@ class SplitSource(DataSource):
         return SplitWriter(dict(self.options))
 
 
-def write_split(spark: SparkSession, df: DataFrame, path: str, max_bytes: int = 1 << 20, compress: bool = False, order: str | None = None) -> None:
+def write_split(spark: SparkSession, df: DataFrame, path: str, max_bytes: int = 1 << 20, compress: bool = False, order: str | list[str] | None = None) -> None:
     """df as JSON lines in files of at most max_bytes before compression (a longer line has a file of its own). With
-    `order` the rows are written in that order by one task under the plain names; else each task has its own folder."""
+    `order` the rows are in that order across the files, which have the plain names: tasks write ranges of it, and the
+    files are numbered when all are done; else each task has a folder of its own."""
     spark.dataSource.register(SplitSource)
-    lines = df.orderBy(order).coalesce(1) if order else df
-    from pyspark.sql import functions as F
-
-    columns = [c for c in df.columns if c != order]
+    lines = df.orderBy(*([order] if isinstance(order, str) else order)) if order else df
+    columns = [c for c in df.columns if c not in ([order] if isinstance(order, str) else order or [])]
     out = lines.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value"))
-    out.write.format("splitjson").option("path", path).option("maxbytes", max_bytes).option("compress", str(compress).lower()).option("single", str(bool(order)).lower()).mode("append").save()
+    out.write.format("splitjson").option("path", path).option("maxbytes", max_bytes).option("compress", str(compress).lower()).option("single", str(bool(order)).lower()).option("job", uuid.uuid4().hex).mode("append").save()
+
+
+def print_json(df: DataFrame, out: TextIO | None = None) -> int:
+    """One object a line to a stream, a partition at a time; how many there were."""
+    n = 0
+    columns = [F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value")]
+    for n, row in enumerate(df.select(*columns).toLocalIterator(prefetchPartitions=True), 1):
+        print(row["value"], file=out or sys.stdout)
+    return n
