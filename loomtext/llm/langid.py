@@ -1,23 +1,27 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network is trained in numpy by backpropagation through time on a bounded sample of labelled documents. It labels
-every byte of a text: whole texts are cut into windows of `steps` bytes, both directions run over each window, and
-the positions' probabilities are averaged per document. The weights are a few kilobytes and travel with the task.
+The network is trained in numpy by backpropagation through time on a bounded sample of labelled documents, in windows of
+`STEPS` bytes. It labels every byte of a text: whole texts are cut into segments of `SEGMENT` bytes, both directions
+run over each segment and the `CONTEXT` bytes on either side of it, so that no label stands at the edge of what the
+states have seen, and the probabilities of the positions are averaged per document. The weights are a few kilobytes
+and travel with the task.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STEPS, UNDETERMINED = 64, "und"
-HAS_LETTER = re.compile(r"[^\W\d_]")
+from .common import lean
+
+STEPS, SEGMENT, CONTEXT, UNDETERMINED = 64, 448, 32, "und"
+HAS_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -118,16 +122,17 @@ def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, language
 
 
 def fit(labelled: DataFrame, sample_docs: int = 4000, per_doc: int = 8, hidden: int = 8, rounds: int = 250, seed: int = 7, text_col: str = "text", lang_col: str = "lang") -> Network:
-    """Trained on windows at hashed places in at most sample_docs documents (those of least hash), so at most
-    sample_docs * per_doc windows of 64 bytes reach the driver. A count sets a threshold of the hash first, so that no
-    task sends more than its share of the sample. Null or empty texts and null languages are left out. No labelled
-    rows: a network without languages, which predicts nothing."""
+    """Trained on windows at hashed places in at most sample_docs documents (distinct pairs of text and language, those
+    of least hash, so that the same rows give the same sample however they are stored), so at most sample_docs *
+    per_doc windows of 64 bytes reach the driver. A count sets a threshold of the hash first, so that no task sends
+    more than its share of the sample. Null or empty texts and null languages are left out. No labelled rows: a network
+    without languages, which predicts nothing."""
     raw = F.col(text_col).cast("binary")
     fit_for = labelled.where(F.col(lang_col).isNotNull() & (F.length(raw) > 0))
     n = fit_for.count()
     top = int(-(1 << 63) + min(1.0, 2 * sample_docs / max(1, n)) * ((1 << 64) - 1))
-    row_hash = F.xxhash64(F.lit(seed), F.monotonically_increasing_id(), lang_col)
-    some = fit_for.withColumn("__h", row_hash).where(F.col("__h") <= min(top, (1 << 63) - 1))
+    row_hash = F.xxhash64(F.lit(seed), F.col(text_col), lang_col)
+    some = fit_for.withColumn("__h", row_hash).where(F.col("__h") <= min(top, (1 << 63) - 1)).dropDuplicates(["__h"])
     start = lambda k: (F.pmod(F.xxhash64("__h", k), F.greatest(F.lit(1), F.length(raw) - STEPS + 1)) + 1).cast("int")
     pieces = F.transform(F.sequence(F.lit(1), F.lit(per_doc)), lambda k: F.substring(raw, start(k), F.lit(STEPS)))
     rows = some.select("__h", F.col(lang_col).alias("lang"), pieces.alias("pieces")).orderBy("__h").limit(sample_docs).collect()
@@ -142,30 +147,32 @@ def fit(labelled: DataFrame, sample_docs: int = 4000, per_doc: int = 8, hidden:
     return train(windows, lengths, labels, languages, hidden, rounds, seed)
 
 
-def classify(network: Network, texts: list[str | None], most: int = 4096) -> tuple[list[str], list[float]]:
-    """Language and pooled probability of each whole text; und and 0 for null, without a letter, or untrained."""
+def classify(network: Network, texts: list[str | None], most: int = 1024) -> tuple[list[str], list[float]]:
+    """Language and pooled probability of each whole text; und and 0 for null, without a letter, or untrained. Segments
+    are run `most` at a time, those of like length together."""
     raw = [(t or "").encode() for t in texts]
-    known = [bool(network.languages and t and HAS_LETTER.search(t)) for t in texts]
-    sizes = np.array([len(x) if k else 0 for x, k in zip(raw, known, strict=True)])
-    counts = -(-sizes // STEPS)
+    known = np.array([bool(network.languages and t and HAS_LETTER.search(t)) for t in texts], bool)
+    sizes = np.where(known, np.fromiter(map(len, raw), np.int64, len(raw)), 0)
+    counts = -(-sizes // SEGMENT)
     owner = np.repeat(np.arange(len(raw)), counts)
-    data = np.zeros((int(counts.sum()), STEPS), np.uint8)
-    flat, at = data.reshape(-1), 0
-    for x, k, n in zip(raw, known, counts.tolist(), strict=True):
-        if k:
-            flat[at : at + len(x)] = np.frombuffer(x, np.uint8)
-            at += n * STEPS
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    lengths = np.minimum(STEPS, sizes[owner] - place * STEPS)
+    at = SEGMENT * (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts))
+    begin, end = np.maximum(0, at - CONTEXT), np.minimum(sizes[owner], at + SEGMENT + CONTEXT)
+    order = np.argsort(end - begin, kind="stable")
     pooled = np.zeros((len(raw), max(1, len(network.languages))))
-    for a in range(0, len(owner), most):
-        real = (np.arange(STEPS)[:, None] < lengths[a : a + most]).astype(np.float32)
-        p, _ = position_probabilities(network.weights, np.ascontiguousarray(data[a : a + most].T), real)
-        np.add.at(pooled, owner[a : a + most], np.einsum("tbo,tb->bo", p, real))
+    for a in range(0, len(order), most):
+        some = order[a : a + most]
+        lengths = end[some] - begin[some]
+        data = np.zeros((len(some), int(lengths.max())), np.uint8)
+        for row, i, x, n in zip(data, owner[some].tolist(), begin[some].tolist(), lengths.tolist(), strict=True):
+            row[:n] = np.frombuffer(raw[i], np.uint8, n, x)
+        step = np.arange(data.shape[1])[:, None]
+        p, _ = position_probabilities(network.weights, np.ascontiguousarray(data.T), (step < lengths).astype(np.float32))
+        own = (step >= at[some] - begin[some]) & (step < np.minimum(at[some] + SEGMENT, sizes[owner[some]]) - begin[some])
+        np.add.at(pooled, owner[some], np.einsum("tbo,tb->bo", p, own.astype(np.float32)))
     best = pooled.argmax(axis=1)
     top = pooled[np.arange(len(raw)), best] / np.maximum(1, sizes)
-    names = [network.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known, strict=True)]
-    return names, [min(1.0, float(s)) if k else 0.0 for s, k in zip(top, known, strict=True)]
+    names = [network.languages[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known.tolist(), strict=True)]
+    return names, [min(1.0, float(s)) if k else 0.0 for s, k in zip(top, known.tolist(), strict=True)]
 
 
 def predict(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,7 +188,7 @@ def predict(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return named.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return named.mapInArrow(lean(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def op2_bidirectional_gru(spark, sf_dir: str) -> DataFrame:
