@@ -34,6 +34,8 @@ from .common import lean, materialize
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HAMMING = 15
+#: A dense group's pairs are tested in turns; each turn takes so many times the pairs of the one before.
+GROWTH = 64
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -230,6 +232,16 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
+def joined(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes (as components() gives them) with more edges (a, b): only components that these touch are worked on."""
+    name = lambda end: nodes.select(F.col("node").alias(end), F.col("root").alias(f"__{end}"))
+    named = edges.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b"))
+    tops = components(materialize(named.where("a <> b").distinct(), "simhash-roots")).select(F.col("node").alias("root"), F.col("root").alias("__top"))
+    fresh = tops.select(F.col("root").alias("node"), "root").join(nodes.select("node"), "node", "left_anti")
+    out = nodes.unionByName(fresh).join(tops, "root", "left").select("node", F.coalesce("__top", "root").alias("root"))
+    return materialize(out, "simhash-nodes")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 4, max_bits: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -350,7 +362,7 @@ def pairs_met(batches: Iterator[pa.RecordBatch], turn: int, most: int, crowd: in
     far), two words of fingerprint, home.
 
     In the first turn a group with at most `crowd` near pairs a row gives all of them. In a denser one each pair has its
-    turn by its hash, some 8 * crowd ** turn pairs a row in turn, up to all; its rows that are near any other are given
+    turn by its hash, some 8 * GROWTH ** turn pairs a row in turn, up to all; its rows that are near any other are given
     out again (anchor .. density, the pairs a row) for the turns to come. Pairs that are in one component by then need
     no test, so near copies of one text cost rows in proportion, and no pair is left out."""
     found: list[np.ndarray] = []
@@ -393,9 +405,9 @@ def pairs_met(batches: Iterator[pa.RecordBatch], turn: int, most: int, crowd: in
                     pairs_of(c, r, i, j, 0.0, 1.0)
             elif total:
                 density = total / int(near.sum())
-                top = 8 * crowd**turn / density
+                top = 8 * GROWTH**turn / density
                 for i, j in near_rows(*group, most):
-                    pairs_of(c, r, i, j, top / crowd if turn else 0.0, top)
+                    pairs_of(c, r, i, j, top / GROWTH if turn else 0.0, top)
                     if held > 200_000:
                         yield from flush()
                 if not turn:
@@ -527,18 +539,17 @@ def similar(
 
     first = materialize(met(dealt, 0), "simhash-met")
     tested = materialize(first.where("a IS NOT NULL").select("a", "b").distinct(), "simhash-pairs")
-    edges = tests(tested)
-    nodes = components(edges)
+    nodes = components(tests(tested))
     crowds = first.where("anchor IS NOT NULL").drop("a", "b")
     density = crowds.agg(F.max("density")).first()[0]
-    for turn in range(1, 1 + math.ceil(math.log(density / 8, crowd)) if density else 0):
+    turns = math.ceil(math.log(density / 8, GROWTH)) if density and density > 8 else 0
+    for turn in range(1, 1 + turns):
         again = crowds.join(nodes, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
         new = met(again, turn).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         new = materialize(new, "simhash-pairs")
         if not new.limit(1).count():
             continue
-        tested, edges = tested.unionByName(new), edges.unionByName(tests(new))
-        nodes = components(edges)
+        tested, nodes = tested.unionByName(new), joined(nodes, tests(new))
     linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     tops = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
     ends = materialize(linked.join(tops, "root").select("cls", "component_id"), "simhash-lane-components")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter, defaultdict
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -43,3 +45,35 @@ def untouched(df) -> bool:
 
 def rows_of(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def word_grams(text, n=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))) if words else frozenset()
+
+
+def exact_groups(texts: dict[int, str | None]) -> dict[int, int]:
+    """Smallest id of each row's group under exact five-word Jaccard similarity of 0.8 or more: each set is compared
+    with those that share one of its rarest grams, which no partner can do without."""
+    rows = sorted(((word_grams(t), i) for i, t in texts.items()), key=lambda x: len(x[0]))
+    seen = Counter(g for s in {s for s, _ in rows} for g in s)
+    label, by_gram, sets = {i: i for i in texts}, defaultdict(list), {}
+    pairs = []
+    for s, i in rows:
+        if s in sets:
+            pairs.append((i, sets[s]))
+            continue
+        sets[s] = i
+        met = set()
+        for g in sorted(s, key=lambda g: (seen[g], g))[: len(s) - -(-4 * len(s) // 5) + 1]:
+            met.update(by_gram[g])
+            by_gram[g].append(s)
+        pairs += [(i, sets[o]) for o in met if 5 * len(s & o) >= 4 * len(s | o)]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return label
