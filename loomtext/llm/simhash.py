@@ -34,8 +34,6 @@ from .common import lean, materialize
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HAMMING = 15
-#: A dense group's pairs are tested in turns; each turn takes so many times the pairs of the one before.
-GROWTH = 64
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -232,16 +230,6 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
-def joined(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """nodes (as components() gives them) with more edges (a, b): only components that these touch are worked on."""
-    name = lambda end: nodes.select(F.col("node").alias(end), F.col("root").alias(f"__{end}"))
-    named = edges.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b"))
-    tops = components(materialize(named.where("a <> b").distinct(), "simhash-roots")).select(F.col("node").alias("root"), F.col("root").alias("__top"))
-    fresh = tops.select(F.col("root").alias("node"), "root").join(nodes.select("node"), "node", "left_anti")
-    out = nodes.unionByName(fresh).join(tops, "root", "left").select("node", F.coalesce("__top", "root").alias("root"))
-    return materialize(out, "simhash-nodes")
-
-
 def near_duplicates(
     docs: DataFrame, words: int = 4, max_bits: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -337,91 +325,101 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray
 
 
 def near_rows(x: np.ndarray, y: np.ndarray, home: np.ndarray, most: int, cells: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places (a home, any other) whose two words differ in at most `most` bits, some homes at a time."""
+    """Places of homes, some at a time, and which others differ from each in at most `most` bits of the two words."""
     rows = np.flatnonzero(home)
     step = max(1, cells // max(1, len(x)))
     for at in range(0, len(rows), step):
         some = rows[at : at + step]
-        i, j = np.nonzero(np.bitwise_count(x[some, None] ^ x) + np.bitwise_count(y[some, None] ^ y) <= most)
-        i = some[i]
-        apart = i != j
-        yield i[apart], j[apart]
-
-
-def slice_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A number in 0 to 1 that depends on the pair alone."""
-    h = (a.view(np.uint64) ^ (b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return (h >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-
+        near = np.bitwise_count(x[some, None] ^ x) + np.bitwise_count(y[some, None] ^ y) <= most
+        near[np.arange(len(some)), some] = False
+        yield some, near
 
-MET = "a bigint, b bigint, anchor bigint, cls bigint, x bigint, y bigint, home boolean, density double"
 
+def pairs_met(batches: Iterator[pa.RecordBatch], most: int, crowd: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of classes, a < b, from rows sorted by anchor: anchor, cls, two words of fingerprint, home.
 
-def pairs_met(batches: Iterator[pa.RecordBatch], turn: int, most: int, crowd: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b), a < b, to verify in this turn, from rows sorted by anchor: anchor, cls, root (of the component so
-    far), two words of fingerprint, home.
-
-    In the first turn a group with at most `crowd` near pairs a row gives all of them. In a denser one each pair has its
-    turn by its hash, some 8 * GROWTH ** turn pairs a row in turn, up to all; its rows that are near any other are given
-    out again (anchor .. density, the pairs a row) for the turns to come. Pairs that are in one component by then need
-    no test, so near copies of one text cost rows in proportion, and no pair is left out."""
+    A group in which no row has more than `crowd` near ones gives all near pairs. Of a denser one come links (dense)
+    that connect all that are near, as many as it has rows at most: what they connect is verified in blocks."""
     found: list[np.ndarray] = []
-    held = 0
-
-    def pairs_of(c: np.ndarray, r: np.ndarray, i: np.ndarray, j: np.ndarray, low_share: float, top: float) -> None:
-        nonlocal held
-        low, high = np.minimum(c[i], c[j]), np.maximum(c[i], c[j])
-        use = (low != high) & (r[i] != r[j])
-        if top < 1 or low_share > 0:
-            share = slice_of(low, high)
-            use &= (share < top) & (share >= low_share)
-        if use.any():
-            found.append(np.unique(np.stack([low[use], high[use]], axis=1), axis=0))
-            held += len(found[-1])
+    forest, held = Forest(), 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal held
-        if held:
-            p = np.unique(np.concatenate(found), axis=0)
-            yield _met(a=p[:, 0].copy(), b=p[:, 1].copy())
-        found.clear()
-        held = 0
-
-    for anchor, cls, root, x, y, home in whole_groups(batches):
+    def rows(pairs: np.ndarray, dense: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy()), pa.array([dense] * len(pairs))], ["a", "b", "dense"])
+
+    for anchor, cls, x, y, home in whole_groups(batches):
         x, y = x.view(np.uint64), y.view(np.uint64)
         starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
         for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(anchor)], strict=True):
-            if z - a < 2 or (turn and (root[a:z] == root[a]).all()):
+            if z - a < 2 or not home[a:z].any():
                 continue
-            c, r, group = cls[a:z], root[a:z], (x[a:z], y[a:z], home[a:z])
-            total, parts, near = 0, [], np.zeros(z - a, bool)
-            for i, j in near_rows(*group, most):
-                total += len(i)
-                near[i] = near[j] = True
-                if total <= crowd * (z - a):
-                    parts.append((i, j))
-            if not turn and total <= crowd * (z - a):
-                for i, j in parts:
-                    pairs_of(c, r, i, j, 0.0, 1.0)
-            elif total:
-                density = total / int(near.sum())
-                top = 8 * GROWTH**turn / density
-                for i, j in near_rows(*group, most):
-                    pairs_of(c, r, i, j, top / GROWTH if turn else 0.0, top)
-                    if held > 200_000:
-                        yield from flush()
-                if not turn:
-                    k = np.flatnonzero(near) + a
-                    yield _met(anchor=anchor[k], cls=cls[k], x=x[k].view(np.int64), y=y[k].view(np.int64), home=home[k], density=np.full(len(k), density))
-            if held > 200_000:
-                yield from flush()
-    yield from flush()
+            c, group, parts, dense = cls[a:z], (x[a:z], y[a:z], home[a:z]), [], False
+            for some, near in near_rows(*group, most):
+                if dense := bool(len(near) and near.sum(axis=1).max() > crowd):
+                    break
+                i, j = np.nonzero(near)
+                parts.append((some[i], j))
+            if dense:
+                label, links = np.arange(z - a), []
+                for some, near in near_rows(*group, most):
+                    for i, others in zip(some.tolist(), near, strict=True):
+                        j = np.flatnonzero(others)
+                        if len(j := j[label[j] != label[i]]):
+                            names, one = np.unique(label[j], return_index=True)
+                            links += [(i, k) for k in j[one].tolist()]
+                            label[np.isin(label, names)] = label[i]
+                parts = [tuple(np.array(links, np.int64).reshape(-1, 2).T)]
+            i, j = (np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
+            pairs = np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])], axis=1)
+            pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+            if dense and len(kept := forest.joined(pairs)):
+                yield rows(np.array(kept, np.int64), True)
+            elif not dense and len(pairs):
+                found.append(pairs)
+                held += len(pairs)
+        if held > 200_000:
+            yield rows(np.unique(np.concatenate(found), axis=0), False)
+            found, held = [], 0
+    if held:
+        yield rows(np.unique(np.concatenate(found), axis=0), False)
+
+
+def links_in_blocks(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that connect all classes of two blocks of a crowd whose sets have at least this similarity, from
+    rows sorted by block (crowd, two numbers), side, cls and set: one of each two blocks, and of a block with itself."""
+
+    def links(side: np.ndarray, cls: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        ends = np.cumsum(sizes)
+        names, number = np.unique(np.concatenate(sets), return_inverse=True)
+        first, forest, out = np.flatnonzero(side == 0), Forest(), []
+        second = np.flatnonzero(side == 1) if (side == 1).any() else first
+        begin = int(ends[second[0]] - sizes[second[0]])  # rows of a side stand together
+        there, starts = number[begin : int(ends[second[-1]])], ends[second] - sizes[second] - begin
+        mark = np.zeros(len(names), np.int32)
+        for i in first.tolist():
+            own = number[ends[i] - sizes[i] : ends[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[there], starts)
+            mark[own] = 0
+            near = second[(both >= least * (sizes[i] + sizes[second] - both) - 1e-9) & (both > 0) & (second != i)]
+            out += forest.joined(np.stack([np.full(len(near), cls[i]), cls[near]], axis=1))
+        return out
 
+    key, held = None, []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if len(held) > 1:
+            found = links(*(np.array([h[k] for h in held], np.int64) for k in (0, 1)), [np.frombuffer(h[2], np.uint64) for h in held])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["a", "b"])
 
-def _met(**columns: np.ndarray) -> pa.RecordBatch:
-    n = len(next(iter(columns.values())))
-    kinds = dict(zip(("a", "b", "anchor", "cls", "x", "y", "home", "density"), (*(pa.int64(),) * 6, pa.bool_(), pa.float64()), strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], list(kinds))
+    for b in batches:
+        for *now, side, cls, grams in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
+            if now != key:
+                yield from flush()
+                key, held = now, []
+            held.append((side, cls, grams))
+    yield from flush()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -444,12 +442,13 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def similar(
-    docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 16, hot_rows: int = 50_000, most_sent: int = 1_000_000,
-    id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 8, hot_rows: int = 50_000, most_sent: int = 1_000_000,
+    block_rows: int = 1024, block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per input row: doc_id and component_id, the smallest id that links of pairs of at least this Jaccard
     similarity of word shingles reach, itself included. A pair at `least` meets at no anchor with a chance of at most
-    about miss, a nearer one with less; a pair that links is verified on its whole sets. Null texts and texts of white
+    about miss, a nearer one with less; a pair that links is verified on its whole sets. Classes in groups of many near
+    ones are verified crowd by crowd, all pairs, so that work (not rows) grows with the square of a crowd. Null texts and texts of white
     space only are of one class. A null id gets its component's smallest id (null if there is none). Repeated rows stay
     repeated. An empty table gives an empty result. Other columns are not read.
     """
@@ -486,7 +485,7 @@ def similar(
                         every = np.repeat(np.arange(len(anchor)), n)
                         part = np.arange(len(every)) - np.repeat(np.cumsum(n) - n, n)
                         anchor, row, own = anchor[every], row[every], part == cls[row[every]].view(np.uint64) % n[every].astype(np.uint64)
-                        anchor, home = anchor | part << np.int64(48 + 12), home[every] & own
+                        anchor, home = anchor | part << np.int64(32), home[every] & own  # a code word has 32 bits at most
                     columns = [anchor, cls[row], fps[row, k].view(np.int64), fps[row, (k + 1) % lanes].view(np.int64), home]
                     yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["anchor", "cls", "x", "y", "home"])
 
@@ -512,44 +511,39 @@ def similar(
     sampled = some.where(F.pmod(F.xxhash64("cls"), F.lit(64)) == 0).mapInArrow(lean(lambda it: replicate(it, {})), replica)
     hot = sampled.groupBy("anchor").agg((64 * F.count("*")).alias("n")).where(F.col("n") > 2 * hot_rows).orderBy(F.desc("n")).limit(100_000)
     parts = {r["anchor"]: min(1000, r["n"] // hot_rows) for r in hot.collect()}
-    dealt = some.mapInArrow(lean(lambda it: replicate(it, parts)), replica).withColumn("root", F.col("cls"))
-    columns = ["anchor", "cls", "root", "x", "y", "home"]
-
-    def met(rows: DataFrame, turn: int) -> DataFrame:
-        together = rows.select(columns).repartition("anchor").sortWithinPartitions("anchor")
-        return together.mapInArrow(lean(lambda it: pairs_met(it, turn, most, crowd)), MET)
-
-    def tests(pairs: DataFrame) -> DataFrame:
-        """The classes' sets are made where their texts are read: the classes' numbers travel with the tasks while they
-        are few; of more, each document's number and text meet them in a join."""
-        need = materialize(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "simhash-need")
-        if need.count() <= most_sent:
-            wanted = np.sort(np.array([r[0] for r in need.collect()], np.int64))
-            made = rows.select("text").mapInArrow(lean(lambda it: grams(it, wanted)), "cls bigint, grams binary")
-        else:
-            named = rows.select("text").mapInArrow(lean(with_class), "cls bigint, text string")
-            some = named.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
-            made = some.mapInArrow(lean(lambda it: grams(it, None)), "cls bigint, grams binary")
-        sets = materialize(made.groupBy("cls").agg(F.first("grams").alias("grams")), "simhash-sets")
-        return verified(pairs, sets, least)
+    dealt = some.mapInArrow(lean(lambda it: replicate(it, parts)), replica).repartition("anchor").sortWithinPartitions("anchor")
+    met = materialize(dealt.mapInArrow(lean(lambda it: pairs_met(it, most, crowd)), "a bigint, b bigint, dense boolean"), "simhash-met")
+    pairs = materialize(met.where("NOT dense").select("a", "b").distinct(), "simhash-pairs")
+    crowds = components(met.where("dense").select("a", "b"))
 
     def with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([class_of(normal(x.as_py())) for x in b.column(0)], pa.int64()), b.column(0)], ["cls", "text"])
 
-    first = materialize(met(dealt, 0), "simhash-met")
-    tested = materialize(first.where("a IS NOT NULL").select("a", "b").distinct(), "simhash-pairs")
-    nodes = components(tests(tested))
-    crowds = first.where("anchor IS NOT NULL").drop("a", "b")
-    density = crowds.agg(F.max("density")).first()[0]
-    turns = math.ceil(math.log(density / 8, GROWTH)) if density and density > 8 else 0
-    for turn in range(1, 1 + turns):
-        again = crowds.join(nodes, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
-        new = met(again, turn).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        new = materialize(new, "simhash-pairs")
-        if not new.limit(1).count():
-            continue
-        tested, nodes = tested.unionByName(new), joined(nodes, tests(new))
+    # the classes' sets are made where their texts are read: the classes' numbers travel with the tasks while they are
+    # few; of more, each document's number and text meet them in a join
+    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(crowds.select(F.col("node").alias("cls"))).distinct()
+    need = materialize(need, "simhash-need")
+    if need.count() <= most_sent:
+        wanted = np.sort(np.array([r[0] for r in need.collect()], np.int64))
+        made = rows.select("text").mapInArrow(lean(lambda it: grams(it, wanted)), "cls bigint, grams binary")
+    else:
+        named = rows.select("text").mapInArrow(lean(with_class), "cls bigint, text string")
+        texts = named.join(need, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+        made = texts.select("text").mapInArrow(lean(lambda it: grams(it, None)), "cls bigint, grams binary")
+    sets = materialize(made.groupBy("cls").agg(F.first("grams").alias("grams")), "simhash-sets")
+
+    # a crowd is cut into blocks of so many classes or bytes, and each two blocks meet in one task
+    members = materialize(crowds.join(sets, F.col("node") == F.col("cls")).select("root", "cls", "grams"), "simhash-crowds")
+    n = F.greatest(F.ceil(F.count("*") / block_rows), F.ceil(F.sum(F.octet_length("grams")) / block_bytes)).cast("int")
+    cuts = members.groupBy("root").agg(n.alias("n"))
+    placed = members.join(cuts, "root").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    blocks_ = placed.select("root", low, high, (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "grams")
+    blocks_ = blocks_.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "side", "cls")
+    dense = materialize(blocks_.mapInArrow(lean(lambda it: links_in_blocks(it, least)), "a bigint, b bigint"), "simhash-crowd-links")
+    nodes = components(verified(pairs, sets, least).unionByName(dense))
     linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     tops = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
     ends = materialize(linked.join(tops, "root").select("cls", "component_id"), "simhash-lane-components")

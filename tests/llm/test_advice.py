@@ -62,7 +62,7 @@ def near_rows(seed=22):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("options", [{}, {"crowd": 2, "most_sent": 0}, {"crowd": 2, "hot_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"crowd": 2, "most_sent": 0, "block_rows": 9}, {"crowd": 2, "hot_rows": 1, "block_bytes": 20_000}, {"crowd": 10**6}])
 def test_near_duplicates_are_those_of_the_threshold(spark, options):
     rows = near_rows()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
