@@ -28,9 +28,11 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, materialize, squeeze
+from .common import expand, lean, materialize, squeeze
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Bytes of text for each bucket of words.
+BUCKET_BYTES = 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -99,11 +101,13 @@ def encode(
     empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if not written:
         named = materialize(named, "bpe-docs")
+    if not buckets:  # as many as the texts ask for: what a bucket's task remembers stays the same
+        size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     named = named.withColumn("scan", F.spark_partition_id().cast("long"))
 
     def dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,11 +194,11 @@ def encode(
                 yield batch(b, keys, out)
 
     id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    dealt = named.mapInArrow(dictionaries, "bucket int, chunk bigint, blob binary").repartition("bucket").sortWithinPartitions("bucket", "chunk")
-    words = dealt.mapInArrow(encoded, f"chunk bigint, part int, doc_id {kind}, blob binary")
-    texts = named.mapInArrow(sequences, f"chunk bigint, part int, doc_id {kind}, blob binary")
+    dealt = named.mapInArrow(lean(dictionaries), "bucket int, chunk bigint, blob binary").repartition("bucket").sortWithinPartitions("bucket", "chunk")
+    words = dealt.mapInArrow(lean(encoded), f"chunk bigint, part int, doc_id {kind}, blob binary")
+    texts = named.mapInArrow(lean(sequences), f"chunk bigint, part int, doc_id {kind}, blob binary")
     met = words.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "part")
-    return met.mapInArrow(assembled, f"doc_id {kind}, ids binary")
+    return met.mapInArrow(lean(assembled), f"doc_id {kind}, ids binary")
 
 
 def _table(parts: list[list[np.ndarray]]) -> list[bytes]:
@@ -223,4 +227,4 @@ def op5_distinct_word_bpe(spark, sf_dir: str) -> DataFrame:
                 sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in (ids, map(decode, ids, repeat(None)))]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), *map(pa.array, sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return coded.mapInArrow(digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return coded.mapInArrow(lean(digest), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

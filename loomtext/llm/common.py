@@ -20,10 +20,13 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests on one
-    machine) a new temporary folder is made and set for the rest of the session."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a new temporary folder is
+    made and set for the rest of the session if all runs on one machine; on a cluster that is an error."""
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="loomtext-")
         spark.conf.set("spark.checkpoint.dir", place)
     return place.rstrip("/")
@@ -35,7 +38,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomtext/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,7 +7,8 @@ number of documents), and a combination is taken at once as often as the counts
 length, or all bins that are left, so the number of programs does not grow with the documents.
 
 Pieces then take their places by rank within their length. Ranks come from windows over `sub` salted parts of each
-length, so that a length that a third of all pieces have is dealt to many tasks.
+length, one for each million pieces of the most frequent length and 16 at least, so that a length that a third of all
+pieces have is dealt to many tasks.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def pieces(docs: DataFrame, capacity: int = 4096, path: str | None = None, id_co
 
 
 def pack(
-    docs: DataFrame, capacity: int = 4096, sub: int = 16, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, capacity: int = 4096, sub: int | None = None, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -104,6 +105,7 @@ def pack(
     """
     cut = materialize(pieces(docs, capacity, path, id_col, text_col), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    sub = sub or max([16, *(n // 1_000_000 for n in histogram.values())])
     slots, sequence, used = [], 0, dict.fromkeys(histogram, 0)
     for bin_, times in minimum_bin_slack(histogram, capacity):
         at = 0
@@ -140,7 +142,7 @@ def pack(
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence_id), pa.array(offset)], names)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(lean(place), f"{fields}, sequence_id bigint, offset bigint")
 
 
 def op7_minimum_bin_slack(spark, sf_dir: str) -> DataFrame:

@@ -3,10 +3,10 @@
 1. The rows' slim keys are written once with the number of the input partition they came from.
 2. The driver draws how many rows each input partition sends to each shard: a random matrix with the partition sizes
    as row sums and the exact shard sizes as column sums, drawn by successive hypergeometric variates. It has
-   `partitions` x `shards` entries, whatever the number of rows.
+   `partitions` x `shards` entries: input partitions are folded to some thousands of classes at most.
 3. Each input partition permutes its rows and deals consecutive runs of the drawn lengths to the shards.
 4. After the exchange each shard permutes again, in `sub` ranges of a second random key, so that no task has to hold
-   a whole shard.
+   a whole shard. Classes and ranges grow with the rows, some million rows each.
 """
 
 from __future__ import annotations
@@ -54,13 +54,13 @@ def communication_matrix(rows: list[int], shards: int, seed: int) -> list[list[i
 
 
 def assign_shards(
-    docs: DataFrame, shards: int = 24, seed: int = 20, partitions: int = 256, sub: int = 64, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = 24, seed: int = 20, partitions: int | None = None, sub: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: id, size (UTF-8 bytes of the text plus 8), text_crc32, shard, slot (gapless in a shard).
 
     Null ids are ordinary values; a null text counts as empty (size 8, crc of no bytes). Repeated rows are placed one
     by one, each with a slot of its own. An empty table gives an empty result. Other columns are not read.
-    Input partitions are folded to `partitions` classes, so that the matrix stays small at any number of them.
+    Input partitions are folded to `partitions` classes: by default one for each million rows, from 256 to 4096.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -68,9 +68,13 @@ def assign_shards(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.spark_partition_id(), F.lit(partitions)).alias("part"),
+        F.spark_partition_id().alias("part"),
     )
     slim = materialize(slim.withColumn("lot", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size")), "shard-rows")
+    rows = slim.count()
+    partitions = partitions or min(4096, max(256, rows // 1_000_000))
+    sub = sub or max(64, rows // (1_000_000 * shards))
+    slim = slim.withColumn("part", F.pmod("part", F.lit(partitions)))
     counts = {r["part"]: r["n"] for r in slim.groupBy("part").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return slim.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
@@ -99,13 +103,22 @@ def assign_shards(
     )
 
 
-def exchange(docs: DataFrame, assigned: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs with their shard and slot, each shard's rows together and in order of slot. Ids must be unique
-    and not null; columns of docs named shard or slot are replaced."""
-    place = assigned.select(F.col("doc_id").alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    out = docs.drop("shard", "slot").join(place, F.col(id_col) == F.col("__id")).drop("__id")
-    out = out.withColumnsRenamed({"__shard": "shard", "__slot": "slot"})
-    return out.repartition("shard").sortWithinPartitions("shard", "slot")
+def exchange(docs: DataFrame, assigned: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs with their shard and slot, in ranges by shard and slot, so that a shard is as many tasks as its
+    size asks for. A row finds its place by its id, text checksum and size, null ids among them; rows that are equal in
+    these take theirs in any order. Columns of docs named shard or slot are replaced."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = {"__id": F.col(id_col), "__crc": F.crc32(text.cast("binary")), "__size": (F.octet_length(text) + 8).cast("long")}
+    nth = F.row_number().over(Window.partitionBy("__id", "__crc", "__size").orderBy(F.lit(0)))
+    rows = docs.drop("shard", "slot").withColumns(key).withColumn("__nth", nth)
+    names = {"doc_id": "__id", "text_crc32": "__crc", "size": "__size"}
+    place = assigned.withColumnsRenamed(names).withColumn("__nth", nth).select("__id", "__crc", "__size", "__nth", "shard", "slot")
+    place = place.withColumnsRenamed({c: f"{c}_" for c in names.values()} | {"__nth": "__nth_"})
+    same = F.lit(True)
+    for c in (*names.values(), "__nth"):
+        same &= F.col(c).eqNullSafe(F.col(f"{c}_"))
+    out = rows.join(place, same).select(*[c for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    return out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
 
 
 def op3_hypergeometric_shards(spark, sf_dir: str) -> DataFrame:

@@ -132,6 +132,9 @@ def test_sharding(spark, odd, empty):
     unique = frame(spark, [(i, str(i), "en", "s", 0) for i in range(100)])
     moved = sharding.exchange(unique, sharding.assign_shards(unique, shards=3))
     assert moved.count() == 100 and {r[0] for r in moved.select("shard").collect()} == {0, 1, 2}
+    moved = sharding.exchange(odd, sharding.assign_shards(odd, shards=3))  # null and repeated ids keep their rows
+    assert Counter((r["doc_id"], r["text"]) for r in moved.collect()) == Counter((r["doc_id"], r["text"]) for r in odd.collect())
+    assert len({(r["shard"], r["slot"]) for r in moved.collect()}) == len(awkward()) and moved.columns[-2:] == ["shard", "slot"]
 
 
 def test_communication_matrix():
