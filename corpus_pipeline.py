@@ -8,7 +8,7 @@ next one's docs, so docs is always a plain scan of written files.
 from __future__ import annotations
 
 from loomtext.llm import packing, pii, quality, simhash, suffixes
-from loomtext.llm.common import materialize
+from loomtext.llm.common import discard, materialize
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -51,5 +51,6 @@ ORACLE_SQL = None
 def run(spark, sf_dir: str):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

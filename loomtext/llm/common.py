@@ -39,7 +39,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/loomtext/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.__dict__["written_at"] = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove what materialize() wrote for these tables. Only for those that no result still reads."""
+    for df in tables:
+        if df is not None and (path := df.__dict__.get("written_at")):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -143,7 +143,9 @@ def judge(
     keeps a document out of the references. Rows are judged one by one, so repeated rows and ids get equal verdicts.
     bare_share: if not None, some language's word distance must also be at most this share of what a text without common
     words has to it; a document of a known language without references is left to max_word alone.
-    An empty table gives an empty result. Columns of docs that begin with two underscores are reserved.
+    The references come from the documents that are labelled with a language of COMMON_WORDS: without any, only the
+    base rules decide. An empty table gives an empty result. Columns of docs that begin with two underscores are
+    reserved.
     """
     keep = docs.columns if carry is None else carry
     need = list(dict.fromkeys([*keep, lang_col]))

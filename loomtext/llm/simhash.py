@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, materialize
+from .common import discard, lean, materialize
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HAMMING = 15
@@ -223,7 +223,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = star(large)
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
-        now = materialize(small.where("u <> v").distinct(), "simhash-stars")
+        before, now = now, materialize(small.where("u <> v").distinct(), "simhash-stars")
+        discard(before)
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
@@ -441,11 +442,16 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return materialize(pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(lean(run), "a bigint, b bigint"), "simhash-verified")
 
 
-def similar(
+def similar(docs: DataFrame, **options) -> DataFrame:
+    """doc_id and component_id of classes_of_similar()."""
+    return classes_of_similar(docs, **options).select("doc_id", "component_id")
+
+
+def classes_of_similar(
     docs: DataFrame, words: int = 5, least: float = 0.8, miss: float = 0.006, seed: int = 42, crowd: int = 8, hot_rows: int = 50_000, most_sent: int = 1_000_000,
     block_rows: int = 1024, block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per input row: doc_id and component_id, the smallest id that links of pairs of at least this Jaccard
+    """One row per input row: doc_id, cls (of its words) and component_id, the smallest id that links of pairs of at least this Jaccard
     similarity of word shingles reach, itself included. A pair at `least` meets at no anchor with a chance of at most
     about miss, a nearer one with less; a pair that links is verified on its whole sets. Classes in groups of many near
     ones are verified crowd by crowd, all pairs, so that work (not rows) grows with the square of a crowd. Null texts and texts of white
@@ -547,14 +553,20 @@ def similar(
     linked = classes.join(nodes, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     tops = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
     ends = materialize(linked.join(tops, "root").select("cls", "component_id"), "simhash-lane-components")
-    return found.join(ends, "cls").select("doc_id", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """docs with one row of each group of similar() rows: one of the smallest id. Rows with a null id stay as they are,
-    as do rows that repeat a kept id with the same words; columns are those of docs."""
-    keep = similar(docs, words, least, seed=seed, id_col=id_col).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col(id_col) == F.col("__keep"), "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    discard(classes, met, pairs, need, sets, members, dense)
+    return found.join(ends, "cls").select("doc_id", "cls", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, least: float = 0.8, seed: int = 42, most_sent: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of similar() rows: the one of the smallest id. Rows with a null id stay as they
+    are, as do rows that repeat a kept id with the same words; columns are those of docs. Up to most_sent pairs of an id
+    and a class that go are sent to the tasks."""
+    found = classes_of_similar(docs, words=words, least=least, seed=seed, id_col=id_col, text_col=text_col)
+    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("cls").alias("__gone")).distinct(), "simhash-gone")
+    named = docs.withColumn("__cls", F.pandas_udf(lambda texts: texts.map(lambda t: class_of(normal(t))), "bigint")(F.col(text_col).cast("string")))
+    few = gone.count() <= most_sent  # then texts stay where they are
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__cls") == F.col("__gone"))
+    return named.join(F.broadcast(gone) if few else gone, same, "left_anti").drop("__cls")
 
 
 def op9_simhash_anchors(spark, sf_dir: str) -> DataFrame:

@@ -77,6 +77,16 @@ def test_near_duplicate_stage(spark):
     assert {r[0] for r in out.select("doc_id").collect()} == set(brute_components(rows).values()) and out.columns == df.columns
 
 
+def test_rows_with_one_id(spark):
+    rng = random.Random(26)
+    a, b = sentence(rng, 50), sentence(rng, 50)
+    rows = [(5, a), (5, b), (3, b), (None, a), (None, a), (9, a), (7, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    for most in (500_000, 0):
+        kept = sorted(((r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(df, most_sent=most).collect()), key=repr)
+        assert kept == sorted([(5, a), (3, b), (None, a), (None, a), (7, None)], key=repr)
+
+
 def test_close_fingerprints_alone_do_not_link(spark):
     rng, texts = random.Random(24), []
     while len(texts) < 6:
