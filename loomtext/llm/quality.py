@@ -154,18 +154,22 @@ def judge(
     known = references(scored, lang_col, min_words)
     q = F.col("__q")
 
-    def nearest(part: str, k: int) -> Column:
+    def distances(part: str, k: int) -> Column:
         each = [jensen_shannon(q[part], r[k]) for r in known.values()]
-        return F.array_min(F.array(*each)) if each else F.lit(None).cast("double")
+        return F.array(*each) if each else F.lit(None).cast("array<double>")
 
-    out = scored.withColumn("__d", F.struct(nearest("classes", 0).alias("c"), nearest("common", 1).alias("w")))
+    # each distance is worked out once, though several conditions read it
+    out = scored.withColumns({"__c": distances("classes", 0), "__w": distances("common", 1)})
+    out = out.withColumn("__d", F.struct(F.array_min("__c").alias("c"), F.array_min("__w").alias("w")))
     close = F.coalesce((F.col("__d")["c"] <= max_class) | (q["word_chars"] < min_chars), F.lit(True))
     close &= F.coalesce((F.col("__d")["w"] <= max_word) | (q["n_words"] < min_words), F.lit(True))
     if bare_share is not None and known:
-        bounds = [(r[1], bare_share * bare) for r in known.values() if (bare := bare_distance(r[1])) > 0]
-        able = F.array(*[jensen_shannon(q["common"], r) <= bound for r, bound in bounds]) if len(bounds) == len(known) else F.array(F.lit(True))
+        able = F.lit(False)
+        for i, r in enumerate(known.values()):
+            bare = bare_distance(r[1])
+            able |= (F.get("__w", F.lit(i)) <= bare_share * bare) if bare > 0 else F.lit(True)
         other = F.coalesce(~F.col(lang_col).isin(list(known)), F.lit(False))
-        close &= F.array_contains(able, True) | (q["n_words"] < min_words) | other
+        close &= able | (q["n_words"] < min_words) | other
     full = F.struct(
         *[q[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col("__d")["c"].alias("class_distance"), F.col("__d")["w"].alias("word_distance"),
