@@ -148,18 +148,32 @@ class Places:
         return left, right
 
 
-def followers(text: str, ends: set[str] | None) -> Iterator[tuple[str, str]]:
-    """(pattern, token) of the tokens of the text, in lower case, in each context next to a word of `ends` or behind a
-    key; None: in every context."""
+def followers(text: str, before: set[str] | None, after: set[str] | None) -> Iterator[tuple[str, str]]:
+    """(pattern, token) of the tokens of the text, in lower case, in each context behind a key, next behind a word of
+    `before`, or next in front of a word of `after`; None: in every context."""
     words = text.lower().split()
     bare = [w.strip(EDGE) for w in words]
-    for i, w in enumerate(words):
-        for sign in "=:":
-            if 0 < (j := w.rfind(sign)) < len(w) - 1:
-                yield named(w[: j + 1]), w[j + 1 :].strip(EDGE)
-        if ends is None or (i and (bare[i - 1] in ends or words[i - 1][-1] in "=:>")) or (i + 1 < len(bare) and bare[i + 1] in ends):
-            for p in patterns_of(words[max(0, i - 2) : i], words[i + 1 : i + 3]):
-                yield p, bare[i]
+    n, keys = len(words), set()
+    if "=" in text or ":" in text:
+        for i, w in enumerate(words):
+            if "=" in w or ":" in w:
+                if w[-1] in "=:" or w == "=>":
+                    keys.add(i + 1)
+                for sign in "=:":
+                    if 0 < (j := w.rfind(sign)) < len(w) - 1:
+                        yield named(w[: j + 1]), w[j + 1 :].strip(EDGE)
+    keys = {i: key for i in keys if i < n and (key := key_of(words[max(0, i - 2) : i]))}
+    for i, key in keys.items():
+        yield named(key), bare[i]
+    for i in range(1, n):
+        one = bare[i - 1]
+        if one and (before is None or one in before) and i not in keys:
+            yield named(f"{bare[i - 2] if i > 1 else '^'} {one} _"), bare[i]
+            yield named(f"{one} _ {bare[i + 1] if i + 1 < n else ''}"), bare[i]
+    for i in range(n - 2):
+        one = bare[i + 1]
+        if one and (after is None or one in after) and i not in keys:
+            yield named(f"_ {one} {bare[i + 2]}"), bare[i]
 
 
 def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
@@ -264,7 +278,7 @@ def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float
         found: dict[str, set[int] | None] = {}
         for b in batches:
             for x in b.column(0):
-                for p, token in followers(x.as_py() or "", ends):
+                for p, token in followers(x.as_py() or "", before, after):
                     if (top := limits.get(p)) is None or (own := found.setdefault(p, set())) is None:
                         continue
                     own.add(digest(token))
@@ -277,7 +291,7 @@ def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float
         rows: set[tuple[str, int]] = set()
         for b in batches:
             for x in b.column(0):
-                rows.update((p, digest(t)) for p, t in followers(x.as_py() or "", None))
+                rows.update((p, digest(t)) for p, t in followers(x.as_py() or "", None, None))
                 if len(rows) > 200_000:
                     yield packed(list(rows))
                     rows = set()
@@ -285,7 +299,9 @@ def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float
 
     if n <= most_sent:
         limits = {r[0]: r[1] for r in lexical.select("pattern", most).collect()}
-        ends = {w for p in limits for w in _neighbours(p)} if not any(p.startswith("#") for p in limits) else None
+        before = after = None  # a long pattern's words are not known
+        if not any(p.startswith("#") for p in limits):
+            before, after = ({w for p in limits for side, w in [_neighbour(p)] if side == k} for k in ("before", "after"))
         tokens = texts.mapInArrow(watched, "pattern string, token bigint")
     else:
         tokens = texts.mapInArrow(every, "pattern string, token bigint").join(lexical.select("pattern"), "pattern", "left_semi")
@@ -297,12 +313,12 @@ def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float
     return materialize(sized.select("pattern", "n_edges", "n_seeds", "total").unionByName(shapes), "pii-totals")
 
 
-def _neighbours(pattern: str) -> list[str]:
-    """The word next to the place, of a pattern that is no key."""
-    before, gap, after = pattern.partition("_ ") if pattern.startswith("_ ") else pattern.partition(" _")
-    if not gap:
-        return []
-    return [after.split(" ")[0]] if not before else [before.split(" ")[-1]]
+def _neighbour(pattern: str) -> tuple[str, str]:
+    """On which side the word next to the place is that a pattern names, and that word; no side for a key."""
+    if pattern.startswith("_ "):
+        return "after", pattern.split(" ")[1]
+    left, gap, _ = pattern.partition(" _")
+    return ("before", left.split(" ")[-1]) if gap else ("", "")
 
 
 def score_graph(edges: DataFrame, sizes: DataFrame, support: float, threshold: float, settled: float = 1e-3, salts: int = 16) -> DataFrame:
