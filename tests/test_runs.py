@@ -187,3 +187,39 @@ def test_failing_lines_are_skipped(monkeypatch):
     monkeypatch.setitem(tokenize.SEGMENTERS, "tt", maker)
     assert tokenize.segment("tt", "a b\nbad\nc") == ["a", "b", "c"] and len(made) == 2
     assert tokenize.segment("tt", "a\nb", seconds=-1) == []
+
+
+def test_document_store(spark, tmp_path):
+    """With a stand-in for the connector, which writes what it is given to a folder."""
+    from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+    from loomtext.sources.store import load_store
+
+    class Writer(DataSourceWriter):
+        def __init__(self, options):
+            self.place = f"{options['connection.uri']}/{options['database']}.{options['collection']}"
+
+        def write(self, rows):
+            import os
+            import uuid
+
+            os.makedirs(self.place, exist_ok=True)
+            with open(f"{self.place}/{uuid.uuid4().hex}", "w") as f:
+                f.writelines(f"{r[0]}\n" for r in rows)
+            return WriterCommitMessage()
+
+    class Store(DataSource):
+        @classmethod
+        def name(cls):
+            return "standin"
+
+        def writer(self, schema, overwrite):
+            return Writer(dict(self.options))
+
+    df = spark.range(5).selectExpr("concat('t', id) AS title")
+    with pytest.raises(RuntimeError, match="no Spark connector"):
+        load_store(df, str(tmp_path), "en", connector="nothing_of_that_name")
+    spark.dataSource.register(Store)
+    load_store(df, str(tmp_path), "en", connector="standin")
+    lines = [x for n in glob.glob(f"{tmp_path}/NLP.enwiki/*") for x in open(n).read().split()]
+    assert sorted(lines) == [f"t{i}" for i in range(5)]
