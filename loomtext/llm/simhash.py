@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, lean, materialize
@@ -210,25 +210,35 @@ def links(classes: DataFrame, max_bits: int = 4) -> DataFrame:
     return materialize(dealt.mapInArrow(lambda it: compare_sorted(it, max_bits), "a bigint, b bigint"), "simhash-links")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node of its component) for all nodes of edges (a, b)."""
-
-    def star(pairs: DataFrame) -> DataFrame:
-        low = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return pairs.join(low, "u")
-
-    now, mark = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), None
-    for _ in itertools.count():
+def components(edges: DataFrame, hub: int = 1_000_000) -> DataFrame:
+    """node and root (the smallest node of its component) for all nodes of edges (a, b). The neighbours of a node come
+    together in a window; those of a hub, a node with more than `hub` of them, stay where they are and are sent the
+    smallest, one row a hub."""
+
+    def star(pairs: DataFrame, many: bool) -> DataFrame:
+        least = F.least("u", F.min("v").over(Window.partitionBy("u")))
+        if not many:
+            return pairs.withColumn("m", least)
+        hubs = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).where(F.col("n") > hub)
+        found = hubs.select("u", F.least("u", "m").alias("m")).collect()
+        if not found:
+            return pairs.withColumn("m", least)
+        tops = F.broadcast(pairs.sparkSession.createDataFrame(found, "u bigint, m bigint"))
+        return pairs.join(tops, "u", "left_anti").withColumn("m", least).unionByName(pairs.join(tops, "u"))
+
+    now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "simhash-stars")
+    mark, many = None, now.count() > hub
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = star(large)
+        large = star(both, many).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        down = star(large, many)
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
         before, now = now, materialize(small.where("u <> v").distinct(), "simhash-stars")
         discard(before)
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        mark = seen
+        mark, many = seen, seen["n"] > hub
 
 
 def near_duplicates(
@@ -340,7 +350,8 @@ def pairs_met(batches: Iterator[pa.RecordBatch], most: int, crowd: int) -> Itera
     """Pairs (a, b) of classes, a < b, from rows sorted by anchor: anchor, cls, two words of fingerprint, home.
 
     A group in which no row has more than `crowd` near ones gives all near pairs. Of a denser one come links (dense)
-    that connect all that are near, as many as it has rows at most: what they connect is verified in blocks."""
+    from the least class to each other of those that chains of near pairs connect, but for classes that the task has
+    linked before: what they connect is verified in blocks."""
     found: list[np.ndarray] = []
     forest, held = Forest(), 0
 
@@ -360,15 +371,15 @@ def pairs_met(batches: Iterator[pa.RecordBatch], most: int, crowd: int) -> Itera
                 i, j = np.nonzero(near)
                 parts.append((some[i], j))
             if dense:
-                label, links = np.arange(z - a), []
+                label = np.arange(z - a)
                 for some, near in near_rows(*group, most):
                     for i, others in zip(some.tolist(), near, strict=True):
-                        j = np.flatnonzero(others)
-                        if len(j := j[label[j] != label[i]]):
-                            names, one = np.unique(label[j], return_index=True)
-                            links += [(i, k) for k in j[one].tolist()]
+                        names = np.unique(label[others])
+                        if len(names) and (len(names) > 1 or names[0] != label[i]):
                             label[np.isin(label, names)] = label[i]
-                parts = [tuple(np.array(links, np.int64).reshape(-1, 2).T)]
+                order = np.lexsort((c, label))
+                heads = np.flatnonzero(np.diff(label[order], prepend=-1))
+                parts = [(np.repeat(order[heads], np.diff(np.r_[heads, len(order)])), order)]
             i, j = (np.concatenate(p) for p in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
             pairs = np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])], axis=1)
             pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
@@ -463,9 +474,10 @@ def classes_of_similar(
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     cut, lanes = lane_plan(docs.count(), least, miss)
     keys = np.random.default_rng(seed).integers(0, 2**63, lanes, dtype=np.uint64)
-    # of two lanes: what a pair at `least` has, and four standard deviations
+    # of two lanes: what a pair at `least` has, and 2.4 standard deviations; one that meets at an anchor, with a block
+    # that differs in one bit at most, has more with a chance of 0.001
     p = disagreement(least)
-    most = int(128 * p + 4 * math.sqrt(128 * p * (1 - p)))
+    most = int(128 * p + 2.4 * math.sqrt(128 * p * (1 - p)))
 
     def lane_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

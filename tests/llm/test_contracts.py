@@ -370,6 +370,9 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(200, 210), (210, 205), (300, 300)]
     out = dict(map(tuple, simhash.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()))
     assert out == {**dict.fromkeys(range(61), 0), **dict.fromkeys((200, 205, 210), 200)}
+    hubs = pairs + [(500, 500 + i) for i in range(1, 9)] + [(507, 400)]
+    out = dict(map(tuple, simhash.components(spark.createDataFrame(hubs, "a bigint, b bigint"), hub=2).collect()))
+    assert out == {**dict.fromkeys(range(61), 0), **dict.fromkeys((200, 205, 210), 200), **dict.fromkeys((400, *range(500, 509)), 400)}
 
 
 # --- 10: repeated passages ---
