@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from loomtext.llm import pii, quality, simhash
 
-from .helpers import SCHEMA, sentence
+from .helpers import SCHEMA, awkward, exact_groups, frame, sentence, untouched
 
 
 def test_texts_without_common_words_go(spark):
@@ -124,3 +124,29 @@ def test_secrets_and_numbers_behind_keys(spark):
         7: 'token: "[ID]"', 8: texts[8], 9: "again [ID] there",
     }
     assert {i: got[i] for i in want} == want
+
+
+def test_groups_of_awkward_and_empty_tables(spark):
+    rows = awkward()
+    df = frame(spark, rows)
+    out = simhash.drop_near_duplicates(df)
+    assert out.columns == df.columns and untouched(out)
+    groups = exact_groups({k: r[1] for k, r in enumerate(rows)})
+    ids = {}
+    for k, r in enumerate(rows):
+        if r[0] is not None:
+            ids[groups[k]] = min(r[0], ids.get(groups[k], r[0]))
+    want = sorted(((r[0], r[1]) for k, r in enumerate(rows) if r[0] is None or r[0] == ids[groups[k]]), key=repr)
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == want
+    empty = spark.createDataFrame([], SCHEMA)
+    assert simhash.similar(empty).collect() == [] and simhash.drop_near_duplicates(empty).columns == empty.columns
+    nulls = spark.createDataFrame([(1, None), (2, ""), (3, " \n")], "doc_id bigint, text string")
+    assert {tuple(r) for r in simhash.similar(nulls).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_stages_on_empty_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, empty, "")
+        assert out.columns == empty.columns and out.collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, "").collect() == []
