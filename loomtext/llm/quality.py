@@ -26,6 +26,7 @@ COMMON_WORDS = {
 #: Character classes in the order they are taken out of the text; what is left is the last class, "other".
 CLASSES = [("letter", r"\p{L}+"), ("space", SPACE), ("digit", r"\p{N}+"), ("stop", r"[.,;:!?'\"()-]+"), ("symbol", r"[#*$%&|<>]+")]
 
+#: Words of a window, a power of two.
 WINDOW = 8
 
 #: A text of any language without one common word is at about 0.33 from that language's words. The spread of clean
@@ -46,7 +47,13 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(places, start, step, lambda acc: acc["n"])
 
     def windows(hashed: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(hashed) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(hashed, i, WINDOW)))
+        """Hashes of 2, of 4, of 8 words from each place on, each from two of the ones before."""
+
+        def doubled(some: Column, reach: int) -> Column:
+            both = F.transform(some, lambda h, i: F.xxhash64(h, F.get(some, i + reach)))
+            return F.slice(both, F.lit(1), F.size(hashed) - (WINDOW - 1)) if 2 * reach == WINDOW else let(both, lambda x: doubled(x, 2 * reach))
+
+        return doubled(hashed, 1)
 
     hashed = F.transform(words, lambda w: F.xxhash64(w))
     found = let(let(hashed, windows), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(F.lit(0)))
