@@ -34,13 +34,17 @@ U64 = np.uint64
 
 COUNTS = np.array([1, *(c for c, _ in WIDTHS)])
 LIMITS = np.array([1 << b for _, b in WIDTHS], U64)
+#: Narrowest selector of each value below 2**16.
+NARROWEST = np.searchsorted(LIMITS, np.arange(1 << 16, dtype=U64), side="right").astype(np.uint8) + np.uint8(1)
 
 
 def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words that hold the values (any below 2**64), as many in each word as fit; the places of the words that are no
     raw values, and the place of the first value of each."""
-    values, n = values.astype(U64), len(values)
-    least = np.searchsorted(LIMITS, values, side="right").astype(np.uint8) + np.uint8(1)  # narrowest selector of each
+    n = len(values)
+    small = n > 0 and int(values.max()) < len(NARROWEST)
+    least = NARROWEST[values] if small else np.searchsorted(LIMITS, values.astype(U64), side="right").astype(np.uint8) + np.uint8(1)
+    values = values.astype(U64)
     choice = np.zeros(n, np.uint8)  # selector per start; wide ones first, so the last that fits packs most
     most = {1: least}  # greatest of so many values from each place on
     narrow = int(least.min()) if n else len(WIDTHS) + 1
@@ -60,10 +64,10 @@ def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     far = step
     for _ in range(4):
         far = far[far]
-    heads, jumps, i = [], far.tolist(), 0
+    heads, i = [], 0
     while i < n:
         heads.append(i)
-        i = jumps[i]
+        i = int(far[i])
     lanes = [np.array(heads, np.int64)]
     for _ in range(15):
         lanes.append(step[lanes[-1]])
