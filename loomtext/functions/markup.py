@@ -27,10 +27,16 @@ def without_tags(text: Column, keep_links: bool = False) -> Column:
 
 
 def without_elements(text: Column) -> Column:
-    """Discarded elements with their content, where they don't nest in their own kind."""
-    for tag in DISCARDED:
-        text = F.regexp_replace(text, rf"(?is)<\s*{tag}\b[^>/]*>.*?<\s*/\s*{tag}>", "")
-    return text
+    """Discarded elements with their content, in the listed order, where they don't nest in their own kind. Only the
+    kinds that the text names are looked for: one pass finds them."""
+
+    def one(whole: Column) -> Column:
+        names = F.transform(F.regexp_extract_all(whole, F.lit(r"<\s*/?\s*(\w+)"), F.lit(1)), F.lower)
+        present = F.array_intersect(F.array(*map(F.lit, DISCARDED)), names)
+        element = lambda tag: F.concat(F.lit(r"(?is)<\s*"), tag, F.lit(r"\b[^>/]*>.*?<\s*/\s*"), tag, F.lit(">"))
+        return F.aggregate(present, whole, lambda left, tag: F.regexp_replace(left, element(tag), F.lit("")))
+
+    return F.element_at(F.transform(F.array(text), one), 1)  # the text is worked out once
 
 
 def strip_tags(text: Column) -> Column:

@@ -155,3 +155,23 @@ def test_stream(spark, dump_file, tmp_path):
     query = extract_stream(spark, os.path.dirname(dump_file), str(tmp_path / "out"), str(tmp_path / "ckpt"))
     query.awaitTermination(120)
     assert {r["id"] for r in spark.read.json(str(tmp_path / "out")).collect()} == {"7", "9", "11"}
+
+
+def test_discarded_elements_go_in_order(spark):
+    """The native expression against one replacement after the other."""
+    import random
+    import re
+
+    from loomtext.functions import markup
+    from loomtext.wikitext.clean import DISCARDED
+
+    rng = random.Random(5)
+    parts = ["<table>", "</table>", "<TR x=y>", "</tr >", "< li >", "</li>", "<ref/>", "<div a/b>", "</ div>", "<div>", "text", "\n", "<p>", "</p>", "<small>", "</small>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(300)]
+    want = []
+    for t in texts:
+        for tag in DISCARDED:
+            t = re.sub(rf"(?is)<\s*{tag}\b[^>/]*>.*?<\s*/\s*{tag}>", "", t)
+        want.append(t)
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", markup.without_elements(markup.F.col("t")).alias("x"))
+    assert [r["x"] for r in df.orderBy("n").collect()] == want
