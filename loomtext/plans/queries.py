@@ -19,7 +19,7 @@ from ..wikitext import clean
 from ..wikitext.clean import DISCARDED, IGNORED, PROTOCOLS, SELF_CLOSING, SWITCHES
 from ..wikitext.spans import drop_nested
 from . import extract as extraction
-from .rendered import pages, pages_sql
+from .rendered import pages, pages_sql, parts
 
 OPTIONS = Options(as_of=datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc))
 BASE = "https://wiki.example/wiki"
@@ -170,7 +170,7 @@ def kernel(make) -> object:
     """A query of the text function over rendered wikitext."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey AS id", "p_name AS title", f"{make} AS text")
+        table = parts(spark, sf_dir).selectExpr("p_partkey AS id", "p_name AS title", f"{make} AS text")
         bodies = {"Template:Box": "[{{{1|none}}}/{{{size|{{{2|}}}}}}]", "Template:Twice": "{{Box|{{{1}}}}}{{box|size={{{1}}}}}", "Template:Convert": "{{#invoke:convert|convert}}"}
         site = extraction.Site(bodies, {"Template:Alias": "Template:Box"})
         done = table.select("id", extraction.text_function(site, OPTIONS)("title", "text").alias("r"))
