@@ -109,3 +109,14 @@ def expand(blob: bytes, *kinds: str) -> list[np.ndarray]:
         out.append(np.frombuffer(data, kind, n // np.dtype(kind).itemsize, at + 8))
         at += 8 + n
     return out
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of an Arrow column of strings and where each string starts (and the last one ends) in them; nulls
+    are empty. Strings with long offsets are taken, too."""
+    if column.null_count:
+        column = column.fill_null("")
+    long_ = pa.types.is_large_string(column.type)
+    _, places, data = column.buffers()
+    starts = np.frombuffer(places, np.int64 if long_ else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if places else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]] if data and len(column) else np.zeros(0, np.uint8), starts - starts[0]

@@ -51,5 +51,27 @@ SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_
   NOT base_failed AND coalesce(dc <= {max_class} OR word_chars < {min_chars}, true) AND coalesce(dw <= {max_word} OR n_words < {min_words}, true) AND (able OR n_words < {min_words}) AS kept FROM out"""
 
 
+#: op11: each window as a sorted list.
+ROLLING = """
+WITH c AS (SELECT click_id, min({'ts': ts, 'kind': kind, 'cents': CAST(floor(100 * value + 0.5) AS BIGINT)}) AS r FROM clicks WHERE ts IS NOT NULL GROUP BY click_id),
+s AS (SELECT click_id, r.ts AS ts, r.kind AS kind, r.cents AS cents FROM c),
+w AS (SELECT *, list_sort(list_filter(list(cents) OVER (PARTITION BY kind ORDER BY ts RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND CURRENT ROW), lambda x: x IS NOT NULL)) AS v FROM s),
+m AS (SELECT *, len(v) AS n, CASE WHEN len(v) > 1 THEN v[(len(v) + 1) // 2] + v[len(v) // 2 + 1] END AS median2 FROM w),
+d AS (SELECT *, CASE WHEN n > 1 THEN list_sort(list_transform(v, lambda x: abs(2 * x - median2))) END AS e FROM m),
+o AS (SELECT *, e[(n + 1) // 2] + e[n // 2 + 1] AS mad4 FROM d)
+SELECT click_id, kind, coalesce(n, 0) AS n, median2, mad4, 2 * abs(2 * cents - median2) > 3 * mad4 AS far FROM o"""
+
+#: op13: pieces by characters.
+INFILL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256(concat('1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS h FROM documents),
+g AS (SELECT *, CAST(concat('0x', h[1:8]) AS BIGINT) AS h1, CAST(concat('0x', h[9:16]) AS BIGINT) AS h2, CAST(concat('0x', h[17:24]) AS BIGINT) AS h3, CAST(concat('0x', h[25:32]) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', prefix, '<S>', suffix, '<M>', middle) ELSE concat('<S>', suffix, '<P>', prefix, '<M>', middle) END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p"""
+
+
 #: Repeated passages can be put in SQL, too, but windows of 100 bytes take it minutes: brute force checks them instead.
-ORACLES = {"op1_distribution_divergence": quality()}
+ORACLES = {"op1_distribution_divergence": quality(), "op11_rolling_medians": ROLLING, "op13_succinct_infill": INFILL}

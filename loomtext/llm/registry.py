@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bytebpe, langid, oracles, packing, pii, quality, sharding, simhash, suffixes, syncmers, tokenfile
+from . import boosting, bytebpe, infill, langid, oracles, packing, pii, quality, rolling, sharding, simhash, suffixes, syncmers, tokenfile
 
 QUERIES = {
     "op1_distribution_divergence": quality.op1_distribution_divergence,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_simple8b_files": tokenfile.op8_simple8b_files,
     "op9_simhash_anchors": simhash.op9_simhash_anchors,
     "op10_column_wise_suffixes": suffixes.op10_column_wise_suffixes,
+    "op11_rolling_medians": rolling.op11_rolling_medians,
+    "op12_boosted_quality": boosting.op12_boosted_quality,
+    "op13_succinct_infill": infill.op13_succinct_infill,
 }
 
 #: The others use hashes, vocabularies, draws or iteration that SQL doesn't have, or are too slow in it; the tests hold
