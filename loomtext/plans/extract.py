@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata
 from ..operators import pages as ops
+from ..operators.lattice import Lexicon
 from ..options import Options
 from ..sources import dump
-from ..tokenize import segment
+from ..tokenize import segment, sentences
 from ..wikitext.clean import plain_text
 from ..wikitext.templates import Expander, Site
 
@@ -111,9 +112,15 @@ def text_function(site: Site, options: Options):
     return F.pandas_udf(run, RESULT).asNondeterministic()  # else a filter on the result would run it twice
 
 
-def token_function(options: Options):
+def token_function(options: Options, lexicon: Lexicon | None = None):
+    """Tokens of all lines: by the lexicon, if there is one, a batch of texts at a time; else by the language's segmenter."""
+
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: segment(options.lang, t or "", options.sentence_seconds))
+        if lexicon is None:
+            return texts.map(lambda t: segment(options.lang, t or "", options.sentence_seconds))
+        lines = [sentences(options.lang, t or "") for t in texts]
+        words = iter(lexicon.words([x for some in lines for x in some]))
+        return pd.Series([[w for _ in some for w in next(words)] for some in lines], dtype=object)
 
     return F.pandas_udf(run, "array<string>")
 
@@ -153,7 +160,8 @@ def extract(pages: DataFrame, options: Options | None = None, site: dict | None
     site = site or {"urlbase": "", "namespaces": [], "template": "", "module": ""}
     tried = attempt(pages, template_site(pages.sparkSession, template_pages, site, options), options, site["urlbase"])
     good = tried.where(F.col("outcome.error").isNull()).withColumn("text", F.col("outcome.text"))
-    return good.withColumn("segment_text", token_function(options)("text")).select(*keep, *OUTPUT)
+    lexicon = Lexicon.read(pages.sparkSession.read.parquet(options.lexicon)) if options.lexicon else None
+    return good.withColumn("segment_text", token_function(options, lexicon)("text")).select(*keep, *OUTPUT)
 
 
 def errors(pages: DataFrame, options: Options | None = None, site: dict | None = None, template_pages: DataFrame | None = None) -> DataFrame:

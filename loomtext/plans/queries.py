@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import tokenize
 from ..functions import lines, markup, metadata
+from ..operators import lattice
 from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump, listing
@@ -214,6 +215,20 @@ def rule_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
 
 
+#: How the lexicon of lattice_words is learned.
+LATTICE = {"longest": 6, "least": 5, "most": 20_000, "rounds": 3}
+
+
+def lattice_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, found again after their spaces are gone: runs of letters, cut by a lexicon that is
+    learned from them. Iteration is not expressible in SQL."""
+    joined = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[ \t]+", "")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", joined.alias("text"))
+    lexicon = lattice.learn(docs, pattern=r"\p{L}+", **LATTICE)
+    done = docs.select("doc_id", lattice.segmented(lexicon, pattern=r"[^\W\d_]+").alias("w"))
+    return done.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
+
+
 def _extract_sql() -> str:
     """Records of the rendered pages, line by line in closed form."""
     under = lambda x: f"replace({x}, ' ', '_')"
@@ -378,6 +393,7 @@ QUERIES = {
     "html_lines": kernel_query("lists", lambda t: "\n".join(clean.compact(t, Options(html=True, sections=True)))),
     "modules_and_redirects": kernel(MODULES),
     "rule_tokens": rule_tokens,
+    "lattice_words": lattice_words,
     "external_links_kernel": kernel_query("text", lambda t: clean.external_links(t, OPTIONS)),
     "internal_links_kernel": kernel_query("text", lambda t: clean.internal_links(t, OPTIONS)),
     "bold_italic_kernel": kernel_query("text", lambda t: clean.quotes(t, False)),

@@ -1,4 +1,4 @@
-"""Segmenters by language. Rule tokenizers are built in; others are taken if their library is installed, or registered."""
+"""Segmenters by language. Rules and the lattice are built in; others are taken if their library is installed, or registered."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import time
 from collections.abc import Callable
 from functools import lru_cache
 
+from .operators.lattice import Lexicon
+
 GLUE = [re.compile(p) for p in (r"([A-Za-z][A-Za-z0-9.]?)[ 　]([A-Za-z0-9.])",) * 2 + (r"([A-Za-z][0-9.]+)[ 　]([A-Za-z0-9.])",)]
 SPACE = str.maketrans("", "", string.whitespace)
 WORD = re.compile(r"\.\.\.|--|n't\b|'(?:s|m|d|re|ve|ll)\b|\d+(?:[.,]\d+)*|\w+(?:[-'.]\w+)*(?:\.(?=\S))?|[^\w\s]", re.I)
@@ -32,23 +34,35 @@ def english() -> Callable[[str], list[str]]:
     return word_tokenize
 
 
-def korean() -> Callable[[str], list[str]]:
-    from konlpy.tag import Mecab
+def by_lattice() -> Callable[[str], list[str]]:
+    """Without a lexicon: runs of kana and of Hangul, single Han characters."""
+    lexicon = Lexicon()
+    return lambda s: lexicon.words([s])[0]
 
+
+def korean() -> Callable[[str], list[str]]:
+    try:
+        from konlpy.tag import Mecab
+    except ImportError:
+        return by_lattice()
     return Mecab().morphs
 
 
 def japanese() -> Callable[[str], list[str]]:
-    from pyknp import Juman
-
+    try:
+        from pyknp import Juman
+    except ImportError:
+        return by_lattice()
     juman = Juman()
     return lambda s: [m.midasi for m in juman.analysis(s)]
 
 
 def chinese() -> Callable[[str], list[str]]:
-    from stanford_segmenter import Segmenter
-    from zhconvert import conv2tw
-
+    try:
+        from stanford_segmenter import Segmenter
+        from zhconvert import conv2tw
+    except ImportError:
+        return by_lattice()
     segment = Segmenter().tw_segment
     return lambda s: segment(conv2tw(s))
 
@@ -63,14 +77,17 @@ def segmenter(lang: str) -> Callable[[str], list[str]]:
     return SEGMENTERS[lang]()
 
 
+def sentences(lang: str, text: str) -> list[str]:
+    """The lines of a text as they go to a segmenter, without empty ones."""
+    lines = text.strip().split("\n")
+    return [x for x in (map(glue, lines) if lang in ("ja", "zh") else lines) if x]
+
+
 def segment(lang: str, text: str, seconds: float = 60.0) -> list[str]:
     """Tokens of all lines. A line whose segmenter fails is skipped, and the segmenter built anew; so is a line that
     took longer than allowed (measured afterwards: no signal can interrupt a worker's thread safely)."""
     run, out = segmenter(lang), []
-    for line in text.strip().split("\n"):
-        sentence = glue(line) if lang in ("ja", "zh") else line
-        if not sentence:
-            continue
+    for sentence in sentences(lang, text):
         began = time.monotonic()
         try:
             tokens = run(sentence)
