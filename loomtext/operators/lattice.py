@@ -288,7 +288,9 @@ def learn(texts: DataFrame, text_col: str = "text", pattern: str = RUN, longest:
     texts have no runs; without any run the lexicon is empty. Costs are rounded to six places, so that the order of
     additions doesn't show."""
     found = F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({pattern})"), F.lit(1)))
-    runs = written(texts.select(found.alias("run")).where("run <> ''").groupBy("run").agg(F.count("*").alias("n")), "lattice-runs")
+    counted = texts.select(found.alias("run")).where("run <> ''").groupBy("run").agg(F.count("*").alias("n"))
+    # dealt anew, as each character is much work: adaptive execution would put small tables in one task
+    runs = written(counted.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run"), "lattice-runs")
     rows = candidates(runs, longest, least, most).collect()
     counts = {r[0]: float(r[1]) for r in rows}
     lexicon = _costs(counts)

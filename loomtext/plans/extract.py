@@ -5,113 +5,89 @@ function a page and the tokens another, and each is a column of its own for the
 
 from __future__ import annotations
 
-import os
-import sqlite3
-import tempfile
 import traceback
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import pandas as pd
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata
+from ..operators import dictionary
 from ..operators import pages as ops
 from ..operators.lattice import Lexicon
 from ..options import Options
 from ..sources import dump
+from ..sources.scratch import removed, written
 from ..tokenize import segment, sentences
 from ..wikitext.clean import plain_text
 from ..wikitext.templates import Expander, Site
 
-#: Template dictionaries up to this size travel in the task's closure; larger ones as a database file.
+#: Template dictionaries up to this size travel in the task's closure; larger ones are joined.
 BROADCAST_BYTES = 64 << 20
 RESULT = "text string, title_errors int, call_errors int, depth_errors int, parameter_errors int, error string"
 
 
-class Stored(Mapping):
-    """A table of a database file that Spark has sent to each executor; looked up one by one."""
+@dataclass(frozen=True)
+class Large:
+    """A dictionary that doesn't travel: its entries meet the pages by rounds of joins."""
 
-    def __init__(self, name: str, table: str, size: int) -> None:
-        self.name, self.table, self.size, self.db = name, table, size, None
+    site: Site
+    entries: DataFrame
 
-    def __reduce__(self):
-        return Stored, (self.name, self.table, self.size)
 
-    def __getitem__(self, title: str) -> str:
-        if self.db is None:
-            self.db = sqlite3.connect(f"file:{SparkFiles.get(self.name)}?mode=ro", uri=True)
-        row = self.db.execute(f"SELECT value FROM {self.table} WHERE title = ?", (title,)).fetchone()
-        if row is None:
-            raise KeyError(title)
-        return row[0]
-
-    def __contains__(self, title: object) -> bool:
-        try:
-            self[title]
-        except KeyError:
-            return False
-        return True
-
-    def __iter__(self) -> Iterator[str]:
-        raise TypeError("titles are looked up, not listed")
-
-    def __len__(self) -> int:
-        return self.size
-
-
-def stored(spark: SparkSession, tables: dict[str, DataFrame], mark: str) -> dict[str, Stored]:
-    """The (title, value) tables as one database file, made on the driver row by row and sent to the executors. Its
-    name holds a mark of its content, so that another dictionary of the session has another file."""
-    name = f"dictionary-{mark}.sqlite"
-    file = os.path.join(tempfile.mkdtemp(), name)
-    sizes = {}
-    with sqlite3.connect(file) as db:
-        for table, df in tables.items():
-            db.execute(f"CREATE TABLE {table} (title TEXT PRIMARY KEY, value TEXT)")
-            db.executemany(f"INSERT INTO {table} VALUES (?, ?)", (tuple(r) for r in df.toLocalIterator()))
-            sizes[table] = db.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
-    spark.sparkContext.addFile(file)
-    return {table: Stored(name, table, n) for table, n in sizes.items()}
-
-
-def template_site(spark: SparkSession, template_pages: DataFrame | None, site: dict, options: Options) -> Site:
-    """Definitions and redirects, ready to be sent to workers. Their size is measured first and decides how they travel."""
+def template_site(spark: SparkSession, template_pages: DataFrame | None, site: dict, options: Options) -> Site | Large:
+    """Definitions and redirects. Their size is measured first: small ones are sent to the workers, large ones stay tables."""
     names = frozenset(site["namespaces"]) | {site["template"] or "Template"}
+    own = Site(namespaces=names, template_namespace=site["template"] or "Template", compat=options.compat)
     if template_pages is None:
-        return Site(namespaces=names, template_namespace=site["template"] or "Template", compat=options.compat)
-    tables = {table: df.toDF("title", "value").persist() for table, df in zip(("templates", "redirects"), ops.define_templates(template_pages), strict=True)}
-    size, mark = 0, 0
-    for df in tables.values():
-        row = df.agg(F.sum(F.octet_length("title") + F.octet_length("value")).alias("size"), F.sum(F.xxhash64("title", "value").cast("decimal(30,0)")).alias("mark")).first()
-        size, mark = size + (row["size"] or 0), mark * 31 + int(row["mark"] or 0)
-    if size <= BROADCAST_BYTES:
-        held: dict[str, Mapping[str, str]] = {table: {r["title"]: r["value"] for r in df.toLocalIterator()} for table, df in tables.items()}
-    else:
-        held = stored(spark, tables, f"{mark % (1 << 64):016x}")
-    for df in tables.values():
-        df.unpersist()
-    return Site(held["templates"], held["redirects"], names, site["template"] or "Template", options.compat)
+        return own
+    tables = [df.toDF("title", "value") for df in ops.define_templates(template_pages)]
+    held = written(tables[0].withColumn("moved", F.lit(False)).unionByName(tables[1].withColumn("moved", F.lit(True))), "dictionary")
+    size = held.agg(F.sum(F.octet_length("title") + F.octet_length("value"))).first()[0] or 0
+    bodies, moved = held.where("NOT moved").select("title", "value"), held.where("moved").select("title", "value")
+    if size > BROADCAST_BYTES:
+        return Large(own, dictionary.entries(bodies, moved))
+    sent = [{r["title"]: r["value"] for r in df.toLocalIterator()} for df in (bodies, moved)]
+    removed(held)
+    return replace(own, templates=sent[0], redirects=sent[1])
+
+
+def outcome_of(site: Site, options: Options, title: str, text: str) -> dict:
+    """RESULT for one page. A page that fails gives its error and no text."""
+    expander = Expander(site, title or "", options.as_of)
+    try:
+        out, error = plain_text(text or "", options, expander if options.expand_templates else None), None
+    except Exception:
+        out, error = None, traceback.format_exc(limit=3)
+    return {
+        "text": out, "title_errors": expander.title_errors, "call_errors": expander.call_errors, "depth_errors": expander.depth_errors,
+        "parameter_errors": expander.parameter_errors, "error": error,
+    }
 
 
 def text_function(site: Site, options: Options):
-    """(title, text) to RESULT. A page that fails gives its error and no text."""
+    """(title, text) to RESULT."""
 
     def run(titles: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for title, text in zip(titles, texts, strict=True):
-            expander = Expander(site, title or "", options.as_of)
-            try:
-                out, error = plain_text(text or "", options, expander if options.expand_templates else None), None
-            except Exception:
-                out, error = None, traceback.format_exc(limit=3)
-            rows.append((out, expander.title_errors, expander.call_errors, expander.depth_errors, expander.parameter_errors, error))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
+        return pd.DataFrame([outcome_of(site, options, t, x) for t, x in zip(titles, texts, strict=True)], columns=[c.split()[0] for c in RESULT.split(", ")])
 
     return F.pandas_udf(run, RESULT).asNondeterministic()  # else a filter on the result would run it twice
 
 
+def by_rounds(pages: DataFrame, large: Large, options: Options) -> DataFrame:
+    """pages with the outcome of the text function, the dictionary joined."""
+    site = large.site
+
+    def expand(held: dictionary.Held):
+        own = replace(site, templates=held.view(0), redirects=held.view(1), parsed={})
+        return lambda title, text: outcome_of(own, options, title, text)
+
+    fields = ", ".join(f"{c.split()[0]}: {c.split()[1]}" for c in RESULT.split(", "))
+    return dictionary.by_rounds(pages, large.entries, site.template_namespace, expand, f"struct<{fields}>")
+
+
 def token_function(options: Options, lexicon: Lexicon | None = None):
     """Tokens of all lines: by the lexicon, if there is one, a batch of texts at a time; else by the language's segmenter."""
 
@@ -137,18 +113,20 @@ def converted(pages: DataFrame, options: Options) -> DataFrame:
     return pages.withColumn("title", both("title")).withColumn("text", both("text"))
 
 
-def attempt(pages: DataFrame, site: Site, options: Options, urlbase: str) -> DataFrame:
+def attempt(pages: DataFrame, site: Site | Large, options: Options, urlbase: str) -> DataFrame:
     """All pages with their metadata and the outcome of the text function."""
     title, text = F.col("title"), F.col("text")
     pages = converted(pages, options)
-    bare = metadata.bare_title(title)
-    return pages.select(
+    named = pages.select(
         *[c for c in ("path", "position", "ns") if c in pages.columns],
-        bare.alias("title"), "id", metadata.page_url(urlbase, F.col("id")).alias("url"), metadata.related(text).alias("related"),
+        metadata.bare_title(title).alias("title"), "id", metadata.page_url(urlbase, F.col("id")).alias("url"), metadata.related(text).alias("related"),
         metadata.is_category(title).alias("isCategory"), metadata.main_article(title, text).alias("mainArticle"),
-        (~metadata.is_category(title)).alias("isArticle"), metadata.categories(text).alias("categories"),
-        text_function(site, options)(bare, text).alias("outcome"),
+        (~metadata.is_category(title)).alias("isArticle"), metadata.categories(text).alias("categories"), "text",
     )
+    if isinstance(site, Large) and options.expand_templates:
+        return by_rounds(named, site, options).drop("text")
+    own = site.site if isinstance(site, Large) else site
+    return named.withColumn("outcome", text_function(own, options)("title", "text")).drop("text")
 
 
 OUTPUT = ["title", "id", "url", "text", "related", "isCategory", "mainArticle", "isArticle", "categories", "segment_text"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import tokenize
 from ..functions import lines, markup, metadata
-from ..operators import lattice
+from ..operators import dictionary, lattice
 from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump, listing
@@ -164,6 +164,43 @@ SELECT u.title, calls, d.title IS NOT NULL AS defined FROM u LEFT JOIN d USING (
 """
 
 
+#: Template pages that call others: half the number, the next one, themselves; every ninth redirects.
+CALLING = """case when p_partkey % 9 = 0 then concat('#REDIRECT [[Template:T', cast(p_partkey div 3 as string), ']]')
+  else concat('{{t', cast(p_partkey div 2 as string), '|a}} ', case when p_partkey % 5 = 0 then concat('{{ subst:T', cast(p_partkey + 1 as string), ' }}') else '' end,
+  case when p_partkey % 35 = 1 then concat('{{T', cast(p_partkey - 1 as string), '|{{#if:x|{{T', cast(p_partkey as string), '}}}}}}') else '{{{1|}}}' end) end"""
+
+
+def template_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each template reaches through others and through redirects, and whether that is itself."""
+    raw = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey AS position", "concat('Template:T', cast(p_partkey as string)) AS title", "'10' AS ns", f"{CALLING} AS text")
+    return dictionary.closure(dictionary.static_calls(dictionary.entries(*ops.define_templates(raw)), "Template"))
+
+
+CLOSURE_SQL = """WITH RECURSIVE part_ AS (SELECT p_partkey AS p FROM part),
+e(a, b) AS (SELECT p, p // 3 FROM part_ WHERE p % 9 = 0 UNION SELECT p, p // 2 FROM part_ WHERE p % 9 <> 0 UNION SELECT p, p + 1 FROM part_ WHERE p % 9 <> 0 AND p % 5 = 0
+  UNION SELECT p, p - d FROM part_, (VALUES (0), (1)) t(d) WHERE p % 9 <> 0 AND p % 35 = 1),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT concat('Template:T', CAST(a AS VARCHAR)) AS title, concat('Template:T', CAST(b AS VARCHAR)) AS callee, a IN (SELECT a FROM r WHERE a = b) AS cyclic FROM r"""
+
+#: One template for each brand, whose body calls a name that is made by expansion, one for each kind, and short names that redirect.
+BRAND_TEMPLATES = """SELECT DISTINCT 'Template:Brand ' || p_brand AS title, concat('[{{{1}}} of {{Kind {{lc:{{{2}}}}} }}', p_brand, ']') AS body, cast(NULL AS string) AS dst FROM part
+ UNION ALL SELECT DISTINCT 'Template:Kind ' || lower(p_type), concat(p_type, '{{{1|}}} '), NULL FROM part UNION ALL SELECT DISTINCT 'Template:' || p_brand, NULL, 'Template:Brand ' || p_brand FROM part"""
+
+
+def template_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expansion with a dictionary that is joined: by the calls that the texts show, then by those that expansion asks for."""
+    table = parts(spark, sf_dir)
+    table.createOrReplaceTempView("__parts")
+    held = spark.sql(BRAND_TEMPLATES.replace("FROM part", "FROM __parts"))
+    call = "concat('{{', case when p_size % 2 = 0 then 'Brand ' else '' end, p_brand, '|', p_name, '|', p_type, '}}{{Nothing ', p_brand, '}} end')"
+    rendered = table.selectExpr("p_partkey AS id", "p_name AS title", f"{call} AS text")
+    done = extraction.by_rounds(rendered, extraction.Large(extraction.Site(), held), OPTIONS)
+    return done.select("id", F.col("outcome.text").alias("out"))
+
+
+ROUNDS_SQL = "SELECT p_partkey AS id, concat('[', p_name, ' of ', p_type, ' ', p_brand, '] end', chr(10)) AS out FROM part"
+
+
 # --- the grammar that needs a stack ---
 
 
@@ -371,6 +408,8 @@ QUERIES = {
     "tokenize_words": documents_words,
     "template_define": template_define,
     "template_usage_join": template_usage,
+    "template_closure": template_closure,
+    "template_rounds": template_rounds,
     "internal_links_nested": kernel(NESTED_LINK),
     "template_expand": kernel(EXPAND),
     "parser_functions": kernel(FUNCTIONS),
@@ -455,6 +494,8 @@ ORACLES = {
     "tokenize_words": f"SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, '|')) AS tokens_md5 FROM (SELECT doc_id, regexp_extract_all(text, {lit(WORD_RE)}) AS w FROM documents) t",
     "template_define": _define_sql(),
     "template_usage_join": USAGE_SQL,
+    "template_closure": CLOSURE_SQL,
+    "template_rounds": ROUNDS_SQL,
     "internal_links_nested": NESTED_LINK_SQL,
     "template_expand": EXPAND_SQL,
     "parser_functions": FUNCTIONS_SQL,

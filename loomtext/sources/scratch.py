@@ -30,9 +30,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def union(parts: list[DataFrame]) -> DataFrame:
+    """All rows of written tables; removed() takes it, too."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if len(parts) > 1:
+        out.__dict__["parts"] = parts
+    return out
+
+
 def removed(*tables: DataFrame | None) -> None:
     """Remove what written() wrote for these tables; only for those that no result still reads."""
-    for df in tables:
-        if df is not None and (path := df.__dict__.get("written_to")):
+    for df in [x for t in tables if t is not None for x in t.__dict__.get("parts", [t])]:
+        if (path := df.__dict__.get("written_to")):
             at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
