@@ -1,15 +1,17 @@
 """Personal data: exact base patterns, and further identifiers by bootstrapped contextual extraction.
 
-Seeds are the base spans (e-mail, IP address, card, phone), the values of keys that name a secret (`token = "..."`) and
-strings that only a generator makes (16 characters or more of letters and digits that change places often). Around a
-mention stand its lexical patterns: its key (`password=`, `token =`), or else the two words left of it (^: none), the words left and
-right of it, and the two words right of it; a generated-looking value also has its shape: alphabet, length and first
-letters. Other identifier-like tokens, and numbers behind a key, are candidates, each with its patterns. Spark scores the
-bipartite graph of patterns and instances: a pattern's confidence is the sum of the scores of its instances over the
-number of all distinct tokens that stand in that context anywhere (and one pseudo-instance of score 0); a pattern is
-good if that sum reaches `support` and its confidence `threshold`; an instance's score is the best confidence of its
-good patterns. Scores start at the seeds and are passed along until they settle, so an instance found with one pattern
-supports others. Seeds that are no base span, and instances of good patterns, become spans of kind `id`.
+Seeds are the base spans (e-mail, IP address, card, phone) and strings that only a generator makes: 16 letters and digits or
+more that change places at 45 of 100 places or more. On request the values of keys that name a secret (`token = "..."`, a word
+list) are seeds, too; the query does without. Around a mention stand its lexical patterns: its key (`password=`, `token =`), or
+else the two words left of it (^: none), the words left and right of it, and the two words right of it; a long value also has its
+shape: alphabet, length and first letters. Other identifier-like tokens, and values behind a key, are candidates, each with its
+patterns. Spark scores the bipartite graph of patterns and instances: a pattern's mass is the sum of the scores of its
+instances, seeds at 1; against it stand the other distinct tokens in its context anywhere (and half a token), but for those that
+may well be generated (16 letters and digits that change places twice): these say nothing until they are found. Confidence is
+the mass's share of both. A pattern is good if its mass reaches `support` and its confidence `threshold`; an instance's score is the
+best confidence of its good patterns, where a seed doesn't speak for itself. Scores start at the seeds and are passed
+along until they settle, so an instance found with one pattern supports others. Seeds that are no base span, and
+instances of good patterns, become spans of kind `id`.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import let, materialize
 
 KINDS = ("email", "ip", "card", "phone", "id")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -43,7 +45,7 @@ CHANGE = re.compile(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")
 RUN = re.compile(r"[A-Za-z0-9]{16,}")
 #: What may follow a key: a quoted string, groups of digits and capitals, or a plain token; with a digit, if not quoted.
 KEYED = re.compile(r"""(?:=>|[=:])[\x20\t]{0,4}(?:(["'`])([^\s"'`]{6,})\1|["'`]?([A-Z0-9]{2,}(?:[\x20-](?=[A-Z]*[0-9])[A-Z0-9]+)+(?![A-Za-z0-9_])|[A-Za-z0-9][A-Za-z0-9_+/.-]*[A-Za-z0-9]))""")
-#: Keys that name a secret or a person's number.
+#: Keys that name a secret or a person's number (secret_keys). Looked for in the 48 characters before the sign.
 SECRET = re.compile(
     r"(?:^|[^a-z0-9])(?:token|password|passwd|pwd|passphrase|secret|(?:api|access|private|auth|secret)[\x20_-]?(?:key|token)|ssn|iban|(?:social[\x20_-]security|passport|account)(?:[\x20_-](?:number|no\.?))?)"
     r"[\"']?[\x20\t]{0,4}$"
@@ -115,9 +117,11 @@ def patterns_of(left: list[str], right: list[str]) -> list[str]:
     return out
 
 
-def generated(value: str) -> bool:
-    """Whether a value looks as if no one had written it: a run of 16 letters and digits that change places 4 times."""
-    return any(len(CHANGE.findall(m[0])) >= 4 for m in RUN.finditer(value))
+def looks(value: str) -> int:
+    """2: no one has written this: a run of 16 letters and digits or more that change places at 45 of 100 places or more. 1: it
+    may be so: they change places twice. 0: neither."""
+    runs = [(len(CHANGE.findall(m[0])), len(m[0]) - 1) for m in RUN.finditer(value)]
+    return 2 if any(100 * n >= 45 * places for n, places in runs) else int(any(n >= 2 for n, _ in runs))
 
 
 def shape_of(value: str) -> str:
@@ -183,7 +187,7 @@ def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
     for m in KEYED.finditer(text):
         a, z = m.span(2) if m[2] else m.span(3)
         secret = bool(SECRET.search(text[max(0, m.start() - 48) : m.start()].lower()))
-        if not (m[2] and secret) and (sum(map(str.isalnum, text[a:z])) < 6 or not DIGIT.search(text, a, z)):
+        if not m[2] and (sum(map(str.isalnum, text[a:z])) < 6 or not DIGIT.search(text, a, z)):
             continue
         while i < len(taken) and taken[i][1] <= a:
             i += 1
@@ -192,8 +196,8 @@ def keyed(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
     return out
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
-    """(start, end, whether it looks generated) of identifier-like values that no base span touches."""
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, how it looks) of identifier-like values that no base span touches."""
     taken = sorted((a, z) for _, a, z in spans)
     out, i = [], 0
     for token in TOKEN.finditer(text):
@@ -205,25 +209,26 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             while i < len(taken) and taken[i][1] <= m.start():
                 i += 1
             if not any(a < m.end() and z > m.start() for a, z in taken[i : i + 4]):
-                out.append((m.start(), m.end(), generated(m[0])))
+                out.append((m.start(), m.end(), looks(m[0])))
     return out
 
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
-MENTION = "array<struct<kind:int,start:int,end:int,seed:boolean,patterns:array<string>,instance:string>>"
+ADDED = "array<struct<kind:int,start:int,end:int,found:boolean>>"
+MENTION = "array<struct<kind:int,start:int,end:int,seed:boolean,open:boolean,patterns:array<string>,instance:string>>"
 
 
-def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+def mentions(docs: DataFrame, text_col: str, keep: list[str], secret_keys: bool) -> DataFrame:
     """The columns keep with __row (unique), __base (spans) and __seen (base spans and candidates, each with its
-    patterns, whether it is a seed, and the hash of its string); written."""
+    patterns, whether it is a seed or may be generated, and the hash of its string); written."""
     inputs = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def mention(text: str, places: Places, kind: int, a: int, z: int, seed: bool = True) -> dict:
+        def mention(text: str, places: Places, kind: int, a: int, z: int, look: int = 2) -> dict:
             patterns = patterns_of(*places.around(a, z))
             if kind == 4 and (shape := shape_of(text[a:z])):
                 patterns.append(shape)
-            return {"kind": kind, "start": a, "end": z, "seed": seed, "patterns": patterns, "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
+            return {"kind": kind, "start": a, "end": z, "seed": look == 2, "open": look == 1, "patterns": patterns, "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
 
         for b in batches:
             base, seen = [], []
@@ -231,14 +236,14 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 text = x.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": z} for k, a, z in spans])
-                own = [(a, z, x or generated(text[a:z])) for a, z, x in keyed(text, spans)] if "=" in text or ":" in text else []
+                own = [(a, z, 2 if secret_keys and x else looks(text[a:z])) for a, z, x in keyed(text, spans)] if "=" in text or ":" in text else []
                 rest = candidates(text, [*spans, *((4, a, z) for a, z, _ in own)]) if DIGIT.search(text) or CAPITALS.search(text) else []
                 more = sorted((4, *x) for x in (*own, *rest))
                 places = Places(text) if spans or more else None
                 seen.append([mention(text, places, *s) for s in [*spans, *more]])
             i32, text_type = pa.int32(), pa.string()
             spot = [("kind", i32), ("start", i32), ("end", i32)]
-            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
+            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("open", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *own], [*keep, "__base", "__seen"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in inputs.schema if f.name in keep)
@@ -247,9 +252,10 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
 
 def eligible(edges: DataFrame, support: float) -> DataFrame:
-    """pattern, n_edges and n_seeds of the patterns that have enough instances and could add one; written."""
-    counts = edges.where("pattern <> ''").groupBy("pattern").agg(F.count("*").alias("n_edges"), F.sum(F.col("seed").cast("long")).alias("n_seeds"))
-    return materialize(counts.where((F.col("n_edges") >= support) & (F.col("n_seeds") < F.col("n_edges"))), "pii-patterns")
+    """pattern, n_edges, n_seeds and n_open of the patterns that have enough instances; written."""
+    number = lambda c: F.sum(F.col(c).cast("long"))
+    counts = edges.where("pattern <> ''").groupBy("pattern").agg(F.count("*").alias("n_edges"), number("seed").alias("n_seeds"), number("open").alias("n_open"))
+    return materialize(counts.where(F.col("n_edges") >= support), "pii-patterns")
 
 
 def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float, most_sent: int = 100_000) -> DataFrame:
@@ -310,7 +316,7 @@ def totals(docs: DataFrame, text_col: str, patterns: DataFrame, threshold: float
     sums = each.agg(F.count("token").alias("n_tokens"), F.bool_or(F.col("token").isNull()).alias("out"))
     sized = lexical.join(sums, "pattern", "left").where(~F.coalesce("out", F.lit(False)))
     sized = sized.withColumn("total", F.greatest("n_edges", F.coalesce("n_tokens", F.lit(0)))).where(F.col("total") <= most)
-    return materialize(sized.select("pattern", "n_edges", "n_seeds", "total").unionByName(shapes), "pii-totals")
+    return materialize(sized.select("pattern", "n_edges", "n_seeds", "n_open", "total").unionByName(shapes), "pii-totals")
 
 
 def _neighbour(pattern: str) -> tuple[str, str]:
@@ -322,26 +328,34 @@ def _neighbour(pattern: str) -> tuple[str, str]:
 
 
 def score_graph(edges: DataFrame, sizes: DataFrame, support: float, threshold: float, settled: float = 1e-3, salts: int = 16) -> DataFrame:
-    """instance and score of the instances that are no seeds and that good patterns reach. edges: distinct pattern,
-    instance, seed; sizes: pattern, n_seeds, total. Seeds count by their number alone; only edges of other instances
-    take part in the rounds, which end when no score rises by more than `settled`. A pattern or an instance with very
-    many edges is dealt to `salts` tasks: the short side of each join is repeated so often."""
+    """instance, seed and score of the instances that good patterns reach; a seed's own vote doesn't count for its score.
+    edges: distinct pattern, instance, seed, open; sizes: pattern, n_seeds, n_open, total. Seeds count by their number alone;
+    only edges of other instances take part in the rounds, which end when no score rises by more than `settled`. A pattern
+    or an instance with very many edges is dealt to `salts` tasks: the short side of each join is repeated so often."""
     spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     salt = lambda of: F.pmod(F.xxhash64(of), F.lit(salts)).cast("int").alias("salt")
     useful = sizes.select("pattern", spread)
-    open_ = edges.where(~F.col("seed")).select("pattern", "instance", salt("instance")).join(useful, ["pattern", "salt"], "left_semi")
-    open_ = materialize(open_.select("pattern", "instance"), "pii-open")
+    met = edges.select("pattern", "instance", "seed", "open", salt("instance")).join(useful, ["pattern", "salt"], "left_semi")
+    met = materialize(met.select("pattern", "instance", "seed", "open"), "pii-edges-met")
+    open_ = met.where(~F.col("seed"))
+
+    def reached(some: DataFrame, now: DataFrame, own: int) -> DataFrame:
+        """Best confidence of the good patterns of each instance, `own` seeds taken out of each pattern."""
+        mass = F.col("mass") - own
+        confidence = mass / (mass + F.col("against") + 0.5)
+        good = now.select("pattern", mass.alias("mass"), confidence.alias("confidence")).where((F.col("mass") >= support) & (F.col("confidence") >= threshold))
+        pairs = some.withColumn("salt", salt("instance")).join(good.select("pattern", "confidence", spread), ["pattern", "salt"])
+        return pairs.groupBy("instance").agg(F.max("confidence").alias("score"))
+
     scores = None
     while True:
-        mass = F.col("n_seeds").cast("double")
-        now = sizes
+        now = sizes.select("pattern", F.col("n_seeds").cast("double").alias("mass"), (F.col("total") - F.col("n_seeds") - F.col("n_open")).cast("double").alias("against"))
         if scores is not None:
-            met = open_.withColumn("salt", salt("pattern")).join(scores.select("instance", "score", spread), ["instance", "salt"])
-            now = sizes.join(met.groupBy("pattern").agg(F.sum("score").alias("found")), "pattern", "left")
-            mass = mass + F.coalesce("found", F.lit(0.0))
-        good = now.select("pattern", mass.alias("mass"), (mass / (F.col("total") + 1)).alias("confidence")).where((F.col("mass") >= support) & (F.col("confidence") >= threshold))
-        reached = open_.withColumn("salt", salt("instance")).join(good.select("pattern", "confidence", spread), ["pattern", "salt"])
-        new = materialize(reached.groupBy("instance").agg(F.max("confidence").alias("score")), "pii-scores")
+            pairs = open_.withColumn("salt", salt("pattern")).join(scores.select("instance", "score", spread), ["instance", "salt"])
+            doubtful = F.when(~F.col("open"), F.col("score")).otherwise(0.0)
+            sums = pairs.groupBy("pattern").agg(F.sum("score").alias("found"), F.sum(doubtful).alias("freed"))
+            now = now.join(sums, "pattern", "left").select("pattern", (F.col("mass") + F.coalesce("found", F.lit(0.0))).alias("mass"), (F.col("against") - F.coalesce("freed", F.lit(0.0))).alias("against"))
+        new = materialize(reached(open_, now, 0), "pii-scores")
         if scores is None:
             risen = new.limit(1).count()
         else:
@@ -349,38 +363,42 @@ def score_graph(edges: DataFrame, sizes: DataFrame, support: float, threshold: f
             risen = new.join(before, "instance", "left").where(F.col("score") > F.coalesce("before", F.lit(0.0)) + settled).limit(1).count()
         scores = new
         if not risen:
-            return scores
+            seeds = reached(met.where("seed"), now, 1).select("instance", F.lit(True).alias("seed"), "score")
+            return scores.select("instance", F.lit(False).alias("seed"), "score").unionByName(seeds)
 
 
 def find_pii(
     docs: DataFrame, support: float = 3.0, threshold: float = 0.7, text_col: str = "text", carry: list[str] | None = None,
-    names: tuple[str, str] = ("base", "added"), most_sent: int = 100_000, salts: int = 16,
+    names: tuple[str, str] = ("base", "added"), most_sent: int = 100_000, salts: int = 16, secret_keys: bool = True,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default) with base and added (or other `names`): arrays of (kind, start,
-    end), kinds numbered as in KINDS, code points, end exclusive; base by kind and start, added by start.
+    end), kinds numbered as in KINDS, code points, end exclusive; base by kind and start, added by start, with `found`: whether a
+    pattern, not its own look, made it a span.
 
     support: a pattern must extract instances of at least this much score; threshold: least confidence of a pattern
-    that adds instances; most_sent and salts change where the work is done, not the result. Null and empty texts have no spans. Repeated rows get equal spans (their instances count
+    that adds instances; secret_keys: values of keys that name a secret are seeds; most_sent and salts change where the work is done, not the result. Null and empty texts have no spans. Repeated rows get equal spans (their instances count
     once). An empty table gives an empty result. Columns of docs that have these names are replaced.
     """
     keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
-    table = mentions(docs, text_col, keep)
-    seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed").fillna("", ["pattern"])
-    edges = materialize(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
+    table = mentions(docs, text_col, keep, secret_keys)
+    seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed", "m.open").fillna("", ["pattern"])
+    grades = [F.max("seed").alias("seed"), (F.max("open") & ~F.max("seed")).alias("open")]
+    edges = materialize(seen.groupBy("pattern", "instance").agg(*grades), "pii-edges")
     patterns = eligible(edges, support)
     unsure = F.filter("__seen", lambda m: m["kind"] == 4)
-    none = F.array().cast(SPAN)
-    sure = F.transform(F.filter("__seen", lambda m: (m["kind"] == 4) & m["seed"]), lambda m: F.struct(m["kind"], m["start"], m["end"]))
+    none = F.array().cast(ADDED)
+    sure = F.transform(F.filter("__seen", lambda m: (m["kind"] == 4) & m["seed"]), lambda m: F.struct(m["kind"], m["start"], m["end"], F.lit(False).alias("found")))
     both = lambda added: [F.col("__base").alias(names[0]), added.alias(names[1])]
     plain = table.where(F.size(unsure) == 0).select(*keep, *both(none))
     rest = table.where(F.size(unsure) > 0)
     # what is found in one place is known elsewhere, too: a seed's string, and an instance of a good pattern
-    found = score_graph(edges, totals(docs, text_col, patterns, threshold, most_sent), support, threshold, salts=salts).select("instance")
-    found = found.unionByName(edges.where("seed").select("instance").distinct())
+    found = score_graph(edges, totals(docs, text_col, patterns, threshold, most_sent), support, threshold, salts=salts).where(~F.col("seed")).select("instance")
+    found = found.select("instance", F.lit(True).alias("found")).unionByName(edges.where("seed").select("instance", F.lit(False).alias("found")).distinct())
+    found = found.groupBy("instance").agg(F.min("found").alias("found"))
     spots = rest.select("__row", F.explode(F.filter(unsure, lambda m: ~m["seed"])).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
     spots = spots.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
     found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spans = spots.join(found, ["instance", "__salt"], "left_semi").groupBy("__row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("__added"))
+    spans = spots.join(found, ["instance", "__salt"]).groupBy("__row").agg(F.collect_list(F.struct("kind", "start", "end", "found")).alias("__added"))
     rest = rest.join(spans, "__row", "left").select(*keep, *both(F.array_sort(F.concat(sure, F.coalesce("__added", none)))))
     return plain.unionByName(rest)
 
@@ -390,16 +408,29 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     first. Columns are those of docs; n_chars, if there, follows the text; a null text stays null."""
     found = find_pii(docs, text_col=text_col, names=("__found", "__more"), **options)
     spans = F.array_sort(F.concat(F.transform("__found", lambda s: F.struct(s["start"], s["end"], s["kind"])), F.transform("__more", lambda s: F.struct(s["start"], s["end"], s["kind"]))))
-    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    # overlapping spans as one: a span begins a new one if it starts where none before it reaches
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int,kind:int>>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        before = F.substring(F.col(text_col), acc["at"], s["start"] + 1 - acc["at"])
-        new = F.struct((s["end"] + 1).alias("at"), F.concat(acc["out"], before, F.get(names, s["kind"])).alias("out"))
-        joined = F.struct(F.greatest(acc["at"], s["end"] + 1).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] + 1 >= acc["at"], new).otherwise(joined)
-
-    cut = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["at"], F.lit(2**31 - 1))))
+        apart = F.struct(s["end"].alias("end"), F.array_append(acc["out"], F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("out"))
+        last = F.element_at(acc["out"], -1)
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
+        joined = F.struct(F.greatest(acc["end"], s["end"]).alias("end"), F.array_append(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), wider).alias("out"))
+        return F.when((s["start"] >= acc["end"]) | (F.size(acc["out"]) == 0), apart).otherwise(joined)
+
+    def merged(all_: Column) -> Column:
+        plain = F.transform(all_, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+        crossing = F.exists(F.transform(all_, lambda s, i: (i > 0) & (F.get(all_, i - 1)["end"] > s["start"])), lambda x: x)
+        return F.when(crossing, F.aggregate(all_, start, step, lambda acc: acc["out"])).otherwise(plain)
+
+    def parts(m: Column) -> Column:
+        text = F.col(text_col)
+        before = lambda x, i: F.when(i == 0, F.lit(0)).otherwise(F.get(m, i - 1)["end"])
+        pieces = F.transform(m, lambda x, i: F.concat(F.substring(text, before(x, i) + 1, x["start"] - before(x, i)), F.get(names, x["kind"])))
+        return F.concat(F.array_join(pieces, ""), F.substring(text, F.element_at(m, -1)["end"] + 1, F.lit(2**31 - 1)))
+
+    cut = let(let(spans, merged), parts)
     out = found.withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(F.col(text_col)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
@@ -407,13 +438,13 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
 
 def op6_bootstrapped_contexts(spark, sf_dir: str) -> DataFrame:
-    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"])
+    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"], secret_keys=False)
     kinds = F.array(*[F.lit(k) for k in KINDS])
     written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return found.select(
         "doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])],
         F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        written(F.concat("base", "added")).alias("spans"),
-        F.size("added").cast("long").alias("n_id"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
+        F.concat_ws(",", F.nullif(written(F.col("base")), F.lit("")), F.nullif(written(F.col("added")), F.lit(""))).alias("spans"),
+        F.size("added").cast("long").alias("n_id"), F.size(F.filter("added", lambda s: s["found"])).cast("long").alias("n_found"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"),
     )
