@@ -4,6 +4,8 @@ Neither the dictionary nor the titles that pages call pass through the driver. P
 templates that a block's pages reach are found by a fixpoint over the calls that can be read in the texts; their bodies meet
 the block's pages in one task, entries first, so the task holds one block's entries and one page at a time. Names that are
 only known when a call is expanded are asked for: pages that missed one go through another round with it, the others are done.
+
+All joins are merge joins: the size of a compressed file says little about what a broadcast of it would take.
 """
 
 from __future__ import annotations
@@ -50,9 +52,9 @@ def reachable(starts: DataFrame, calls: DataFrame, salts: int = 1) -> DataFrame:
     parts = [written(starts.select("key", "title").distinct(), "reached")]
     while True:
         salted = parts[-1].withColumn("__salt", salt)
-        edges = salted.select("title", "__salt").distinct().join(calls, "title")
-        step = salted.join(edges, ["title", "__salt"]).select("key", F.col("callee").alias("title")).distinct()
-        fresh = written(step.join(union(parts), ["key", "title"], "left_anti"), "reached")
+        edges = salted.select("title", "__salt").distinct().join(calls.hint("merge"), "title")
+        step = salted.join(edges.hint("merge"), ["title", "__salt"]).select("key", F.col("callee").alias("title")).distinct()
+        fresh = written(step.join(union(parts).hint("merge"), ["key", "title"], "left_anti"), "reached")
         if fresh.isEmpty():
             removed(fresh)
             return union(parts)
@@ -147,8 +149,8 @@ def by_rounds(pages: DataFrame, held: DataFrame, namespace: str, expand: Callabl
     while True:
         salt = F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")
         salted = needs.withColumn("__salt", salt)
-        bodies = salted.select("title", "__salt").distinct().join(held, "title", "left")
-        loaded = salted.join(bodies, ["title", "__salt"]).select(
+        bodies = salted.select("title", "__salt").distinct().join(held.hint("merge"), "title", "left")
+        loaded = salted.join(bodies.hint("merge"), ["title", "__salt"]).select(
             F.col("key").alias("__block"), F.lit(False).alias("__page"), "title", F.col("body").alias("text"), "dst", F.lit(None).cast(kind).alias("payload"),
         )
         rows = pending.select("__block", F.lit(True).alias("__page"), "title", "text", F.lit(None).cast("string").alias("dst"), F.struct(*others).alias("payload"))
