@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import tokenize
-from ..functions import lines, markup, metadata
+from ..functions import lines, markup, metadata, nesting
 from ..operators import dictionary, lattice
 from ..operators import pages as ops
 from ..options import Options
@@ -218,6 +218,14 @@ def kernel(make) -> object:
 
 
 NESTED_LINK = "concat('See [[File:', p_brand, '.png|thumb|a [[', p_type, '|', lower(p_type), ' one]] here]]; [[', p_name, ' (x)|the ', p_name, ']]s [[:w:', p_brand, ']].')"
+
+
+def internal_links_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links inside links, one to a line that ends, natively."""
+    rendered = parts(spark, sf_dir).selectExpr("p_partkey AS id", f"{NESTED_LINK} AS text")
+    return rendered.select("id", F.concat(nesting.internal_links(F.col("text")), F.lit("\n")).alias("out"))
+
+
 NESTED_LINK_SQL = "SELECT p_partkey AS id, concat('See ; the_', replace(p_name, ' ', '_'), 's :w:', p_brand, '.', chr(10)) AS out FROM part"
 EXPAND = "concat('A {{Twice|', p_name, '}} {{Box}} {{box|a|', p_type, '}} {{Unknown|{{Box}}}} {{PAGENAME}} {{CURRENTYEAR}}.')"
 EXPAND_SQL = "SELECT p_partkey AS id, concat('A [', p_name, '/][none/', p_name, '] [none/] [a/', p_type, '] ', p_name, ' 2024.', chr(10)) AS out FROM part"
@@ -410,7 +418,8 @@ QUERIES = {
     "template_usage_join": template_usage,
     "template_closure": template_closure,
     "template_rounds": template_rounds,
-    "internal_links_nested": kernel(NESTED_LINK),
+    "internal_links_nested": internal_links_nested,
+    "internal_links_nested_kernel": kernel(NESTED_LINK),
     "template_expand": kernel(EXPAND),
     "parser_functions": kernel(FUNCTIONS),
     "text_pipeline": kernel(SECTIONS),
@@ -427,7 +436,8 @@ QUERIES = {
     "unescape_kernel": kernel_query("entities", clean.unescape),
     "unescape_outside_highlight": kernel_query("wrapped", clean.unescape_outside_highlight),
     "clean_template": kernel_query("lefts", clean.left_templates),
-    "nested_regions": kernel_query("nested", lambda t: clean.clean(t, OPTIONS, None)),
+    "nested_regions": column_query("nested", lambda t: markup.punctuation(nesting.elements(markup.without_tags(nesting.tables(nesting.templates(t)))))),
+    "nested_regions_kernel": kernel_query("nested", lambda t: clean.clean(t, OPTIONS, None)),
     "list_lines": kernel_query("lists", lambda t: "\n".join(clean.compact(t, Options(lists=True, sections=True)))),
     "html_lines": kernel_query("lists", lambda t: "\n".join(clean.compact(t, Options(html=True, sections=True)))),
     "modules_and_redirects": kernel(MODULES),
