@@ -5,7 +5,7 @@ from __future__ import annotations
 from .quality import BARE_SHARE, CLASSES, COMMON_WORDS, WINDOW
 
 
-def quality(max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60, bare_share: float = BARE_SHARE) -> str:
+def quality(max_class: float = 0.30, min_chars: int = 200, min_words: int = 60, bare_share: float = BARE_SHARE) -> str:
     """op1: counts by unnesting, histograms and divergences as rows of (document, language, entry)."""
     vocabulary = list(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words))
     values = ", ".join(f"('{w}', {i})" for i, w in enumerate(vocabulary))
@@ -17,6 +17,7 @@ def quality(max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 20
     classes = [f"({a} - {b})" for a, b in zip(lefts, lefts[1:], strict=False)] + [lefts[-1]]
     entries = " UNION ALL ".join(f"SELECT doc_id, 'c' AS part, {i} AS e, {c} AS n FROM lefts" for i, c in enumerate(classes))
     langs = ", ".join(f"('{x}')" for x in COMMON_WORDS)
+    own = ", ".join(f"('{x}', {i}, {vocabulary.index(w)})" for i, (x, words) in enumerate(COMMON_WORDS.items()) for w in words)
     return f"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words FROM d),
@@ -32,11 +33,14 @@ base AS (SELECT doc_id, lang, len(words) AS n_words, list_sum(list_transform(wor
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base),
 v AS (SELECT * FROM (VALUES {values}) v(word, e)),
 cw AS (SELECT doc_id, 'w' AS part, e, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(words, lambda s: lower(s))) AS word FROM w) t JOIN v USING (word) GROUP BY doc_id, e),
+g AS (SELECT doc_id, lang AS guess, k FROM (SELECT doc_id, o.lang, o.place, sum(n) AS k FROM cw JOIN (VALUES {own}) o(lang, place, e) USING (e) GROUP BY ALL) t
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k DESC, place) = 1),
+of AS (SELECT f.doc_id, CASE WHEN f.lang IN (SELECT * FROM (VALUES {langs}) t(x)) THEN f.lang WHEN 10 * k >= n_words THEN guess END AS lang FROM f LEFT JOIN g USING (doc_id)),
 other AS (SELECT doc_id, 'w' AS part, {len(vocabulary)} AS e, n_words - coalesce((SELECT sum(n) FROM cw WHERE cw.doc_id = f.doc_id), 0) AS n FROM f),
 h AS ({entries} UNION ALL SELECT * FROM cw UNION ALL SELECT * FROM other),
 p AS (SELECT doc_id, part, e, n / nullif(sum(n) OVER (PARTITION BY doc_id, part), 0) AS p FROM h),
 ref AS (SELECT lang, part, e, s / sum(s) OVER (PARTITION BY lang, part) AS q FROM (
-  SELECT lang, part, e, sum(p) AS s FROM p JOIN f USING (doc_id) WHERE lang IN (SELECT * FROM (VALUES {langs}) t(x)) AND NOT base_failed AND n_words >= {min_words} GROUP BY lang, part, e) t),
+  SELECT of.lang, part, e, sum(p) AS s FROM p JOIN f USING (doc_id) JOIN of USING (doc_id) WHERE of.lang IS NOT NULL AND NOT base_failed AND n_words >= {min_words} GROUP BY of.lang, part, e) t),
 pairs AS (SELECT doc_id, lang, part, e, p, 0 AS q FROM p, (SELECT DISTINCT lang FROM ref) t WHERE p IS NOT NULL
   UNION ALL SELECT doc_id, ref.lang, ref.part, e, 0, q FROM ref, (SELECT DISTINCT doc_id, part FROM p WHERE p IS NOT NULL) t WHERE t.part = ref.part),
 pq AS (SELECT doc_id, lang, part, e, sum(p) AS p, sum(q) AS q FROM pairs GROUP BY doc_id, lang, part, e),
@@ -46,9 +50,9 @@ bare AS (SELECT lang, sqrt(greatest(0, (1 - r + log2(2 / (1 + r)) + CASE WHEN r
   FROM (SELECT lang, coalesce(max(q) FILTER (e = {len(vocabulary)}), 0) AS r FROM ref WHERE part = 'w' GROUP BY lang) t),
 able AS (SELECT doc_id, bool_or(j <= {bare_share} * b OR b = 0) AS able FROM js JOIN bare USING (lang) WHERE part = 'w' GROUP BY doc_id),
 near AS (SELECT doc_id, min(j) FILTER (part = 'c') AS c, min(j) FILTER (part = 'w') AS w FROM js GROUP BY doc_id),
-out AS (SELECT f.*, coalesce(c, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dc, coalesce(w, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dw, coalesce(able, NOT EXISTS (SELECT * FROM ref)) OR coalesce(f.lang NOT IN (SELECT lang FROM ref), false) AS able FROM f LEFT JOIN near USING (doc_id) LEFT JOIN able USING (doc_id))
+out AS (SELECT f.*, coalesce(c, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dc, coalesce(w, CASE WHEN EXISTS (SELECT * FROM ref) THEN 1 END) AS dw, coalesce(able, NOT EXISTS (SELECT * FROM ref)) OR coalesce(f.lang NOT IN (SELECT * FROM (VALUES {langs}) t(x)), false) AS able FROM f LEFT JOIN near USING (doc_id) LEFT JOIN able USING (doc_id))
 SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, round(dc, 6) AS class_distance, round(dw, 6) AS word_distance, base_failed,
-  NOT base_failed AND coalesce(dc <= {max_class} OR word_chars < {min_chars}, true) AND coalesce(dw <= {max_word} OR n_words < {min_words}, true) AND (able OR n_words < {min_words}) AS kept FROM out"""
+  NOT base_failed AND coalesce(dc <= {max_class} OR word_chars < {min_chars}, true) AND (able OR n_words < {min_words}) AS kept FROM out"""
 
 
 #: op11: each window as a sorted list.

@@ -1,9 +1,12 @@
 """Quality rules by distribution divergence (native).
 
 A document's histograms of character classes and of common words are compared, by Jensen-Shannon distance, with each
-language's own histograms, the means of those of all its documents (each counts alike, so a few long ones don't rule). A document is kept if it is near
-enough to some language in both; short documents, whose histograms say little, pass the comparison they are too
-short for. Everything is one projection of built-in functions and one small aggregate.
+language's own histograms, the means of those of all its documents (each counts alike, so a few long ones don't rule). A
+document's language is its label or, where that is none of the known ones, the language whose common words it has most of,
+if those are a tenth of its words; so references need no labels. A document is kept if it is near enough to some language
+in both: in character classes by a fixed limit, in words by a share of the distance at which a text without any common word
+stands from that language's own reference. Short documents, whose histograms say little, pass the comparison they are
+too short for. Everything is one projection of built-in functions and one small aggregate.
 """
 
 from __future__ import annotations
@@ -103,16 +106,29 @@ def _failed(q: Column) -> Column:
     return (q["n_words"] < 20) | (100 * q["n_repeat_words"] > 30 * q["n_words"])
 
 
+def language(q: Column, label: Column) -> Column:
+    """The label if it is a language of COMMON_WORDS, else the one whose common words are most of the text's (the first of
+    equal ones), null if they are fewer than a tenth of its words."""
+    vocabulary = _vocabulary()
+    counts = [(lang, sum((F.get(q["common"], F.lit(vocabulary.index(w))) for w in words), F.lit(0).cast("long"))) for lang, words in COMMON_WORDS.items()]
+
+    def guess(best: Column) -> Column:
+        first = F.coalesce(*[F.when(n == best, F.lit(lang)) for lang, n in counts])
+        return F.when(10 * best >= q["n_words"], first)
+
+    return F.when(label.isin(list(COMMON_WORDS)), label).otherwise(let(F.greatest(*[n for _, n in counts]), guess))
+
+
 def references(scored: DataFrame, lang_col: str, min_words: int) -> dict[str, tuple[list[float], list[float]]]:
     """Per language of COMMON_WORDS its two histograms as shares: at most one row a language reaches the driver."""
     q = F.col("__q")
     n_common = len(_vocabulary()) + 1
-    use = scored.where(F.col(lang_col).isin(list(COMMON_WORDS)) & ~_failed(q) & (q["n_words"] >= min_words))
+    use = scored.where(~_failed(q) & (q["n_words"] >= min_words)).withColumn("__lang", language(q, F.col(lang_col))).where("__lang IS NOT NULL")
     total = {"classes": F.aggregate(q["classes"], F.lit(0).cast("long"), lambda s, x: s + x), "common": q["n_words"]}
     use = use.withColumns({f"__{part}": n for part, n in total.items()})
     sums = [F.sum(F.get(q[part], F.lit(i)) / F.col(f"__{part}")).alias(f"{part}{i}") for part, n in (("classes", len(CLASSES) + 1), ("common", n_common)) for i in range(n)]
     share = lambda xs: [x / (sum(xs) or 1) for x in xs]
-    rows = [list(r) for r in use.groupBy(F.col(lang_col).alias("lang")).agg(*sums).orderBy("lang").collect()]
+    rows = [list(r) for r in use.groupBy(F.col("__lang").alias("lang")).agg(*sums).orderBy("lang").collect()]
     return {r[0]: (share(r[1 : len(CLASSES) + 2]), share(r[len(CLASSES) + 2 :])) for r in rows}
 
 
@@ -139,19 +155,17 @@ def bare_distance(common: list[float]) -> float:
 
 
 def judge(
-    docs: DataFrame, max_class: float = 0.30, max_word: float = 0.65, min_chars: int = 200, min_words: int = 60,
-    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None, any_case: bool = True, bare_share: float | None = BARE_SHARE,
+    docs: DataFrame, max_class: float = 0.30, min_chars: int = 200, min_words: int = 60,
+    lang_col: str = "lang", text_col: str = "text", carry: list[str] | None = None, any_case: bool = True, bare_share: float = BARE_SHARE,
 ) -> DataFrame:
     """The columns `carry` of docs (all by default) and the struct __q, now with class_distance, word_distance (to the
     nearest language; null without references), base_failed and kept.
 
-    kept: not base_failed, and class_distance <= max_class or fewer than min_chars characters, and word_distance <=
-    max_word or fewer than min_words words. A null text counts as empty and fails; a null or unknown language only
-    keeps a document out of the references. Rows are judged one by one, so repeated rows and ids get equal verdicts.
-    bare_share: if not None, some language's word distance must also be at most this share of what a text without common
-    words has to it; a document of a known language without references is left to max_word alone.
-    The references come from the documents that are labelled with a language of COMMON_WORDS: without any, only the
-    base rules decide. An empty table gives an empty result. Columns of docs that begin with two underscores are
+    kept: not base_failed, and class_distance <= max_class or fewer than min_chars characters, and word distance to some
+    language at most bare_share of what a text without common words has to it, or fewer than min_words words, or a label that is
+    no language of COMMON_WORDS (nothing is known of that language's words). A null text counts as empty and fails. Rows are
+    judged one by one, so repeated rows and ids get equal verdicts. Without any reference (no document of a known
+    language that is long enough), only the base rules decide. An empty table gives an empty result. Columns of docs that begin with two underscores are
     reserved.
     """
     keep = docs.columns if carry is None else carry
@@ -169,13 +183,12 @@ def judge(
     out = scored.withColumns({"__c": distances("classes", 0), "__w": distances("common", 1)})
     out = out.withColumn("__d", F.struct(F.array_min("__c").alias("c"), F.array_min("__w").alias("w")))
     close = F.coalesce((F.col("__d")["c"] <= max_class) | (q["word_chars"] < min_chars), F.lit(True))
-    close &= F.coalesce((F.col("__d")["w"] <= max_word) | (q["n_words"] < min_words), F.lit(True))
-    if bare_share is not None and known:
+    if known:
         able = F.lit(False)
         for i, r in enumerate(known.values()):
             bare = bare_distance(r[1])
             able |= (F.get("__w", F.lit(i)) <= bare_share * bare) if bare > 0 else F.lit(True)
-        other = F.coalesce(~F.col(lang_col).isin(list(known)), F.lit(False))
+        other = F.coalesce(~F.col(lang_col).isin(list(COMMON_WORDS)), F.lit(False))
         close &= able | (q["n_words"] < min_words) | other
     full = F.struct(
         *[q[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],

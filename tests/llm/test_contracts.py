@@ -74,6 +74,16 @@ def test_quality_divergence(spark):
     assert kept == set(range(40))
 
 
+def test_quality_needs_no_labels(spark):
+    """Without labels as many documents are rejected as with them, within a tenth, and nearly the same ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = lambda df: {r[0] for r in quality.keep_good(df).select("doc_id").collect()}
+    ids = {r[0] for r in docs.select("doc_id").collect()}
+    with_, without = ids - kept(docs), ids - kept(docs.withColumn("lang", quality.F.lit(None).cast("string")))
+    base = {r[0] for r in quality.judge(docs).where("__q.base_failed").select("doc_id").collect()}
+    assert len(with_ - base) > 10 and abs(len(without) - len(with_)) <= 0.1 * len(with_) and len(with_ ^ without) <= 0.1 * len(with_)
+
+
 def test_jensen_shannon(spark):
     p, q = np.array([3, 0, 5, 2]) / 10, np.array([0.25, 0.25, 0.4, 0.1])
     m = (p + q) / 2

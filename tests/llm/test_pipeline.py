@@ -44,8 +44,13 @@ def histograms(text):
 def kept_by_quality(rows):
     seen = {i: (*histograms(t or ""), base_of(t), lang) for i, t, lang in rows}
     references = defaultdict(list)
+    vocabulary = list(dict.fromkeys(w for ws in quality.COMMON_WORDS.values() for w in ws))
     for classes, common, base, lang in seen.values():
-        if lang in quality.COMMON_WORDS and not base[5] and base[0] >= 60:
+        if lang not in quality.COMMON_WORDS:
+            counts = {x: sum(common[vocabulary.index(w)] for w in ws) for x, ws in quality.COMMON_WORDS.items()}
+            lang = next(x for x, n in counts.items() if n == max(counts.values()))
+            lang = lang if 10 * counts[lang] >= base[0] else None
+        if lang and not base[5] and base[0] >= 60:
             references[lang].append((shares(classes), shares(common)))
     mean = {lang: [[sum(x) / len(found) for x in zip(*part, strict=True)] for part in zip(*found, strict=True)] for lang, found in references.items()}
     bare = {lang: distance([0.0] * (len(w) - 1) + [1.0], w) for lang, (_, w) in mean.items()}
@@ -55,8 +60,8 @@ def kept_by_quality(rows):
             continue
         near = min(distance(shares(classes), c) for c, _ in mean.values()) <= 0.30 or base[1] < 200
         words = {x: distance(shares(common), w) for x, (_, w) in mean.items()}
-        able = any(d <= 0.92 * bare[x] for x, d in words.items()) or (lang is not None and lang not in mean)
-        if near and (base[0] < 60 or (able and min(words.values()) <= 0.65)):
+        able = any(d <= 0.92 * bare[x] for x, d in words.items()) or (lang is not None and lang not in quality.COMMON_WORDS)
+        if near and (base[0] < 60 or able):
             out.add(i)
     return out
 
