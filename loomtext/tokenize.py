@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import multiprocessing
 import re
 import string
-import time
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -34,17 +34,21 @@ def english() -> Callable[[str], list[str]]:
     return word_tokenize
 
 
-def by_lattice() -> Callable[[str], list[str]]:
+def lattice_words(sentence: str) -> list[str]:
     """Without a lexicon: runs of kana and of Hangul, single Han characters."""
-    lexicon = Lexicon()
-    return lambda s: lexicon.words([s])[0]
+    return no_lexicon().words([sentence])[0]
+
+
+@lru_cache(maxsize=1)
+def no_lexicon() -> Lexicon:
+    return Lexicon()
 
 
 def korean() -> Callable[[str], list[str]]:
     try:
         from konlpy.tag import Mecab
     except ImportError:
-        return by_lattice()
+        return lattice_words
     return Mecab().morphs
 
 
@@ -52,7 +56,7 @@ def japanese() -> Callable[[str], list[str]]:
     try:
         from pyknp import Juman
     except ImportError:
-        return by_lattice()
+        return lattice_words
     juman = Juman()
     return lambda s: [m.midasi for m in juman.analysis(s)]
 
@@ -62,7 +66,7 @@ def chinese() -> Callable[[str], list[str]]:
         from stanford_segmenter import Segmenter
         from zhconvert import conv2tw
     except ImportError:
-        return by_lattice()
+        return lattice_words
     segment = Segmenter().tw_segment
     return lambda s: segment(conv2tw(s))
 
@@ -71,10 +75,67 @@ def chinese() -> Callable[[str], list[str]]:
 SEGMENTERS: dict[str, Callable[[], Callable[[str], list[str]]]] = {"en": english, "id": english, "ko": korean, "ja": japanese, "zh": chinese}
 
 
+#: Segmenters of linear work that stops by itself: they run in the worker.
+BUILT_IN = (rule_words, lattice_words)
+
+
+def _serve(requests, run: Callable[[str], list[str]]) -> None:
+    """Sentences of a pipe to (done, tokens or error), until the other end is closed."""
+    while True:
+        try:
+            sentence = requests.recv()
+        except EOFError:
+            return
+        try:
+            requests.send((True, list(run(sentence))))
+        except Exception as error:
+            requests.send((False, repr(error)))
+
+
+class Supervised:
+    """A segmenter in a process of its own, which is ended and begun anew when a sentence takes too long, fails or ends it."""
+
+    def __init__(self, make: Callable[[], Callable[[str], list[str]]], first: Callable[[str], list[str]]) -> None:
+        self.make, self.ready, self.child = make, first, None
+
+    def start(self) -> None:
+        run, self.ready = self.ready or self.make(), None
+        context = multiprocessing.get_context("fork")
+        self.requests, theirs = context.Pipe()
+        self.child = context.Process(target=_serve, args=(theirs, run), daemon=True)
+        self.child.start()
+        theirs.close()
+
+    def stop(self) -> None:
+        if self.child is not None:
+            self.child.kill()
+            self.child.join()
+            self.requests.close()
+            self.child = None
+
+    def __call__(self, sentence: str, seconds: float) -> list[str]:
+        if self.child is None:
+            self.start()
+        try:
+            self.requests.send(sentence)
+            if seconds <= 0 or not self.requests.poll(seconds):
+                raise TimeoutError(sentence[:80])
+            done, answer = self.requests.recv()
+        except BaseException:
+            self.stop()
+            raise
+        if not done:
+            self.stop()
+            raise RuntimeError(answer)
+        return answer
+
+
 @lru_cache(maxsize=16)
-def segmenter(lang: str) -> Callable[[str], list[str]]:
-    """One per worker and language. An unknown language is a KeyError, which fails the page."""
-    return SEGMENTERS[lang]()
+def segmenter(lang: str) -> Callable[[str, float], list[str]]:
+    """One per worker and language: (sentence, seconds) to tokens. An unknown language is a KeyError, which fails the page."""
+    make = SEGMENTERS[lang]
+    run = make()
+    return (lambda sentence, _: run(sentence)) if run in BUILT_IN else Supervised(make, run)
 
 
 def sentences(lang: str, text: str) -> list[str]:
@@ -84,17 +145,12 @@ def sentences(lang: str, text: str) -> list[str]:
 
 
 def segment(lang: str, text: str, seconds: float = 60.0) -> list[str]:
-    """Tokens of all lines. A line whose segmenter fails is skipped, and the segmenter built anew; so is a line that
-    took longer than allowed (measured afterwards: no signal can interrupt a worker's thread safely)."""
+    """Tokens of all lines. A line whose segmenter fails or takes longer than `seconds` is skipped; the segmenter of a library
+    is stopped then, and another one begun for the next line."""
     run, out = segmenter(lang), []
     for sentence in sentences(lang, text):
-        began = time.monotonic()
         try:
-            tokens = run(sentence)
-            if time.monotonic() - began > seconds:
-                raise TimeoutError(sentence[:80])
-            out += tokens
+            out += run(sentence, seconds)
         except Exception:
-            segmenter.cache_clear()
-            run = segmenter(lang)
+            continue
     return out

@@ -6,6 +6,7 @@ import io
 import json
 import os
 import sys
+import time
 import types
 from contextlib import redirect_stdout
 from datetime import datetime
@@ -189,6 +190,25 @@ def test_failing_lines_are_skipped(monkeypatch):
     assert tokenize.segment("tt", "a\nb", seconds=-1) == []
 
 
+def test_a_segmenter_that_never_returns_costs_one_line(monkeypatch):
+    def run(sentence):
+        while "forever" in sentence:
+            time.sleep(0.05)
+        if "crash" in sentence:
+            os._exit(3)
+        return sentence.split()
+
+    monkeypatch.setitem(tokenize.SEGMENTERS, "tt", lambda: run)
+    tokenize.segmenter.cache_clear()
+    began = time.monotonic()
+    try:
+        assert tokenize.segment("tt", "a b\nforever c\nd\ncrash\ne f\nforever", seconds=0.5) == ["a", "b", "d", "e", "f"]
+        assert time.monotonic() - began < 10
+        assert tokenize.segment("tt", "g\nh", seconds=0.5) == ["g", "h"]
+    finally:
+        tokenize.segmenter.cache_clear()
+
+
 def test_document_store(spark, tmp_path):
     """With a stand-in for the connector, which writes what it is given to a folder."""
     from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
