@@ -11,7 +11,8 @@ class Options:
     """lang: tokenizer and, for zh, script conversion. max_bytes: size of an output file, at least 200 KiB.
     link_prefixes: prefixes of internal links that are kept (others are removed). as_of: the time that time words
     give; one value for a run, so that a retried task gives what the first one gave. compat: keep the switch function's
-    habit of never returning an implicit default. lexicon: a table of pieces and costs by which zh, ja and ko are cut."""
+    habit of never returning an implicit default. lexicon: a table of pieces and costs by which zh, ja and ko are cut. abbreviations: a table of words
+    whose stop stays at them, for the rules of en and id."""
 
     lang: str = "en"
     max_bytes: int = 1 << 20
@@ -25,6 +26,7 @@ class Options:
     compat: bool = True
     sentence_seconds: float = 60.0
     lexicon: str = ""
+    abbreviations: str = ""
     as_of: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     @property

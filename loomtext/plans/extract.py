@@ -20,7 +20,7 @@ from ..operators.lattice import Lexicon
 from ..options import Options
 from ..sources import dump
 from ..sources.scratch import removed, written
-from ..tokenize import segment, sentences
+from ..tokenize import rule_words, segment, sentences
 from ..wikitext.clean import plain_text
 from ..wikitext.templates import Expander, Site
 
@@ -88,10 +88,13 @@ def by_rounds(pages: DataFrame, large: Large, options: Options) -> DataFrame:
     return dictionary.by_rounds(pages, large.entries, site.template_namespace, expand, f"struct<{fields}>")
 
 
-def token_function(options: Options, lexicon: Lexicon | None = None):
-    """Tokens of all lines: by the lexicon, if there is one, a batch of texts at a time; else by the language's segmenter."""
+def token_function(options: Options, lexicon: Lexicon | None = None, known: frozenset[str] = frozenset()):
+    """Tokens of all lines: by the lexicon, if there is one, a batch of texts at a time; by the rules, if there are known
+    abbreviations; else by the language's segmenter."""
 
     def run(texts: pd.Series) -> pd.Series:
+        if known and lexicon is None:
+            return texts.map(lambda t: [w for x in sentences(options.lang, t or "") for w in rule_words(x, known)])
         if lexicon is None:
             return texts.map(lambda t: segment(options.lang, t or "", options.sentence_seconds))
         lines = [sentences(options.lang, t or "") for t in texts]
@@ -139,7 +142,8 @@ def extract(pages: DataFrame, options: Options | None = None, site: dict | None
     tried = attempt(pages, template_site(pages.sparkSession, template_pages, site, options), options, site["urlbase"])
     good = tried.where(F.col("outcome.error").isNull()).withColumn("text", F.col("outcome.text"))
     lexicon = Lexicon.read(pages.sparkSession.read.parquet(options.lexicon)) if options.lexicon else None
-    return good.withColumn("segment_text", token_function(options, lexicon)("text")).select(*keep, *OUTPUT)
+    known = frozenset(r["word"] for r in pages.sparkSession.read.parquet(options.abbreviations).select("word").collect()) if options.abbreviations else frozenset()
+    return good.withColumn("segment_text", token_function(options, lexicon, known)("text")).select(*keep, *OUTPUT)
 
 
 def errors(pages: DataFrame, options: Options | None = None, site: dict | None = None, template_pages: DataFrame | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import tokenize
 from ..functions import lines, markup, metadata, nesting
-from ..operators import dictionary, lattice
+from ..operators import abbreviations, dictionary, lattice
 from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump, listing
@@ -260,6 +260,33 @@ def rule_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
 
 
+def abbreviation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihood ratios of all words of the documents that stand before a full stop."""
+    return abbreviations.scores(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumn("score", F.round("score", 6) + 0.0)
+
+
+def abbreviation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, stops apart but for the abbreviations that the documents themselves show."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = [r["word"] for r in abbreviations.abbreviations(docs, threshold=ABBREVIATION).collect()]
+    done = docs.select("doc_id", abbreviations.tokens(F.col("text"), known).alias("w"))
+    return done.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
+
+
+#: Least score of an abbreviation. The documents are invented words with few of them; this low, some stand out.
+ABBREVIATION = 0.05
+
+SCORES_SQL = r"""SELECT word, n, n_stop, round(2 * (n_stop * ln(0.99) + (n - n_stop) * ln(1 - 0.99) - n_stop * ln(s) - (n - n_stop) * ln(1 - s)) * exp(-l) * (length(word) - l + 1) * pow(l, n_stop - n), 6) + 0.0 AS score
+ FROM (SELECT *, sum(n_stop) OVER () / sum(n) OVER () AS s, length(replace(word, '.', '')) AS l FROM (
+  SELECT lower(regexp_replace(w, '\.$', '')) AS word, count(*) AS n, count(*) FILTER (ends_with(w, '.')) AS n_stop
+  FROM (SELECT unnest(regexp_extract_all(text, '\p{L}+(?:\.\p{L}+)*\.?')) AS w FROM documents) t GROUP BY 1) u) v WHERE n_stop > 0"""
+
+STOPS_SQL = f"""WITH a AS (SELECT list(word) AS known FROM (SELECT word FROM ({SCORES_SQL}) t WHERE score >= {ABBREVIATION}) t),
+w AS (SELECT doc_id, regexp_extract_all(text, '\\p{{L}}+(?:\\.\\p{{L}}+)*\\.?') AS w FROM documents),
+k AS (SELECT doc_id, flatten(list_transform(w, lambda x: CASE WHEN ends_with(x, '.') AND NOT coalesce(list_contains(known, lower(x[1:length(x) - 1])), false) THEN [x[1:length(x) - 1], '.'] ELSE [x] END)) AS w FROM w, a)
+SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, '|')) AS tokens_md5 FROM k"""
+
+
 #: How the lexicon of lattice_words is learned.
 LATTICE = {"longest": 6, "least": 5, "most": 20_000, "rounds": 3}
 
@@ -443,6 +470,8 @@ QUERIES = {
     "modules_and_redirects": kernel(MODULES),
     "rule_tokens": rule_tokens,
     "lattice_words": lattice_words,
+    "abbreviation_scores": abbreviation_scores,
+    "abbreviation_tokens": abbreviation_tokens,
     "external_links_kernel": kernel_query("text", lambda t: clean.external_links(t, OPTIONS)),
     "internal_links_kernel": kernel_query("text", lambda t: clean.internal_links(t, OPTIONS)),
     "bold_italic_kernel": kernel_query("text", lambda t: clean.quotes(t, False)),
@@ -505,6 +534,8 @@ ORACLES = {
     "template_define": _define_sql(),
     "template_usage_join": USAGE_SQL,
     "template_closure": CLOSURE_SQL,
+    "abbreviation_scores": SCORES_SQL,
+    "abbreviation_tokens": STOPS_SQL,
     "template_rounds": ROUNDS_SQL,
     "internal_links_nested": NESTED_LINK_SQL,
     "template_expand": EXPAND_SQL,

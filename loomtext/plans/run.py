@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import lattice
+from ..operators import abbreviations, lattice
 from ..operators import pages as ops
 from ..options import Options
 from ..sources import dump, sink
@@ -31,12 +31,14 @@ class Report:
 def extract_to(spark: SparkSession, path: str, out: str, options: Options | None = None, template_path: str | None = None, ordered: bool = False) -> Report:
     """A dump file, folder or glob to JSON lines in `out`: files of at most options.max_bytes, compressed if
     options.compress; "-" is standard output. template_path: read if it is there, else the dump's templates are written
-    to it first; so is options.lexicon, learned from the dump's texts."""
+    to it first; so are options.lexicon and options.abbreviations, learned from the dump's texts."""
     options, began = options or Options(), time.monotonic()
     if template_path and not exists(spark, template_path):
         dump.write_template_file(ops.template_pages(ops.without_redirects(dump.read_pages(spark, path))), template_path)
     if options.lexicon and not exists(spark, options.lexicon):
         lattice.learn(ops.articles(ops.without_redirects(dump.read_pages(spark, path)))).frame(spark).write.parquet(options.lexicon)
+    if options.abbreviations and not exists(spark, options.abbreviations):
+        abbreviations.abbreviations(ops.articles(ops.without_redirects(dump.read_pages(spark, path)))).write.parquet(options.abbreviations)
     records = extraction.extract_dump(spark, path, options, template_path, ordered)
     if out == "-":
         return Report(sink.print_json(records.drop("path", "position")), time.monotonic() - began)

@@ -21,9 +21,19 @@ def glue(sentence: str) -> str:
     return sentence.translate(SPACE)
 
 
-def rule_words(sentence: str) -> list[str]:
+def rule_words(sentence: str, known: frozenset[str] = frozenset()) -> list[str]:
+    """Words and marks. The stop right behind a known abbreviation (in lower case) stays at it."""
     spaced = re.sub(r"(?i)n't\b", " n't", re.sub(r"(?i)(?<=\w)('(?:s|m|d|re|ve|ll))\b", r" \1", sentence))
-    return WORD.findall(spaced)
+    if not known:
+        return WORD.findall(spaced)
+    out, end = [], -1
+    for m in WORD.finditer(spaced):
+        if m[0] == "." and m.start() == end and out[-1].lower() in known:
+            out[-1] += "."
+        else:
+            out.append(m[0])
+        end = m.end()
+    return out
 
 
 def english() -> Callable[[str], list[str]]:
