@@ -31,6 +31,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--templates", help="file of templates; written first if it isn't there")
     p.add_argument("--lexicon", default="", help="table of pieces and costs for zh, ja and ko; learned from the input first if it isn't there")
     p.add_argument("--abbreviations", default="", help="table of words whose stop stays at them, for en and id; learned from the input first if it isn't there")
+    p.add_argument("--script", default="", help="table of phrases (src, dst) that titles and texts are converted by")
     p.add_argument("--no-templates", dest="expand", action="store_false")
     p.add_argument("--ordered", action="store_true", help="records in the order of the dump")
     p.add_argument("-a", "--article", action="store_true", help="every page of the file to standard output, whatever its namespace")
@@ -44,7 +45,7 @@ def options_of(a: argparse.Namespace) -> Options:
     kept = {"link_prefixes": tuple(a.namespaces.split(","))} if a.namespaces else {}
     return Options(
         lang=a.lang, max_bytes=a.bytes if isinstance(a.bytes, int) else file_size(a.bytes), compress=a.compress, html=a.html, links=a.links, sections=a.sections, lists=a.lists,
-        expand_templates=a.expand, lexicon=a.lexicon, abbreviations=a.abbreviations, **kept,
+        expand_templates=a.expand, lexicon=a.lexicon, abbreviations=a.abbreviations, script=a.script, **kept,
     )
 
 

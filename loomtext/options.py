@@ -12,7 +12,8 @@ class Options:
     link_prefixes: prefixes of internal links that are kept (others are removed). as_of: the time that time words
     give; one value for a run, so that a retried task gives what the first one gave. compat: keep the switch function's
     habit of never returning an implicit default. lexicon: a table of pieces and costs by which zh, ja and ko are cut. abbreviations: a table of words
-    whose stop stays at them, for the rules of en and id."""
+    whose stop stays at them, for the rules of en and id. script: a table of phrases (src, dst) that titles and texts are
+    converted by."""
 
     lang: str = "en"
     max_bytes: int = 1 << 20
@@ -27,6 +28,7 @@ class Options:
     sentence_seconds: float = 60.0
     lexicon: str = ""
     abbreviations: str = ""
+    script: str = ""
     as_of: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
     @property

@@ -17,6 +17,7 @@ from ..functions import metadata
 from ..operators import dictionary
 from ..operators import pages as ops
 from ..operators.lattice import Lexicon
+from ..operators.script import Converter
 from ..options import Options
 from ..sources import dump
 from ..sources.scratch import removed, written
@@ -105,7 +106,11 @@ def token_function(options: Options, lexicon: Lexicon | None = None, known: froz
 
 
 def converted(pages: DataFrame, options: Options) -> DataFrame:
-    """zh: title and text to the traditional script, if the converter is installed."""
+    """Title and text in another script: by the table of options.script; for zh without one to the traditional script, if
+    the converter's library is installed."""
+    if options.script:
+        by = Converter.read(pages.sparkSession.read.parquet(options.script))
+        return pages.withColumns({c: by.column(c) for c in ("title", "text")})
     if options.lang != "zh":
         return pages
     try:

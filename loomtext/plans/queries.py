@@ -14,6 +14,7 @@ from .. import tokenize
 from ..functions import lines, markup, metadata, nesting
 from ..operators import abbreviations, dictionary, lattice
 from ..operators import pages as ops
+from ..operators.script import Converter
 from ..options import Options
 from ..sources import dump, listing
 from ..wikitext import clean
@@ -287,6 +288,23 @@ k AS (SELECT doc_id, flatten(list_transform(w, lambda x: CASE WHEN ends_with(x,
 SELECT doc_id, len(w) AS n_tokens, md5(array_to_string(w, '|')) AS tokens_md5 FROM k"""
 
 
+#: Phrases to convert, one inside another, made of the brands and kinds of the parts.
+PHRASES = """SELECT DISTINCT p_brand AS src, concat('<', p_brand, '>') AS dst FROM part UNION SELECT DISTINCT p_type, lower(p_type) FROM part
+ UNION SELECT DISTINCT concat(p_brand, ' ', p_type), concat(p_type, ' of ', p_brand) FROM part"""
+
+
+def script_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and texts converted by a table of phrases, the longest one first."""
+    table = parts(spark, sf_dir)
+    table.createOrReplaceTempView("__parts")
+    by = Converter.read(spark.sql(PHRASES.replace("FROM part", "FROM __parts")))
+    rendered = table.selectExpr("p_partkey AS id", "concat(p_brand, ' ', p_type, ' or ', p_type, ' ', p_brand, p_type, p_name) AS text")
+    return rendered.select("id", by.column("text").alias("out"))
+
+
+SCRIPT_SQL = "SELECT p_partkey AS id, concat(p_type, ' of ', p_brand, ' or ', lower(p_type), ' <', p_brand, '>', lower(p_type), p_name) AS out FROM part"
+
+
 #: How the lexicon of lattice_words is learned.
 LATTICE = {"longest": 6, "least": 5, "most": 20_000, "rounds": 3}
 
@@ -470,6 +488,7 @@ QUERIES = {
     "modules_and_redirects": kernel(MODULES),
     "rule_tokens": rule_tokens,
     "lattice_words": lattice_words,
+    "script_phrases": script_phrases,
     "abbreviation_scores": abbreviation_scores,
     "abbreviation_tokens": abbreviation_tokens,
     "external_links_kernel": kernel_query("text", lambda t: clean.external_links(t, OPTIONS)),
@@ -534,6 +553,7 @@ ORACLES = {
     "template_define": _define_sql(),
     "template_usage_join": USAGE_SQL,
     "template_closure": CLOSURE_SQL,
+    "script_phrases": SCRIPT_SQL,
     "abbreviation_scores": SCORES_SQL,
     "abbreviation_tokens": STOPS_SQL,
     "template_rounds": ROUNDS_SQL,
