@@ -28,6 +28,7 @@ SWITCHES = (
 ).split()
 LATE_SWITCHES = [s for s in SWITCHES if s != "__END__"] + ["__NOEDITSECTION__"]
 
+# What the markup's grammar takes for labels, external links, images, trails and highlighted source.
 SWITCH = re.compile("|".join(SWITCHES))
 LATE_SWITCH = re.compile("|".join(LATE_SWITCHES))
 LABEL = r"[^\]\[\x00-\x08\x0a-\x1f]"
