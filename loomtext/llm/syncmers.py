@@ -97,9 +97,17 @@ def chained(a: Column, b: Column) -> Column:
         return let(starts, lambda st: F.transform(st, lambda j, g: run(st, j, g)))
 
     def chain(r: Column) -> Column:
+        # of the chains so far only those stay that no other beats, one that ends no later and is no lighter
         def add(done: Column, x: Column) -> Column:
             best = F.array_max(F.transform(F.filter(done, lambda d: d["last"] < x["first"]), lambda d: d["n"]))
-            return F.concat(done, F.array(F.struct(x["last"].alias("last"), (x["n"] + F.coalesce(best, F.lit(0))).alias("n"))))
+            new = F.struct(x["last"].alias("last"), (x["n"] + F.coalesce(best, F.lit(0))).alias("n"))
+
+            def put(e: Column) -> Column:
+                beaten = F.exists(done, lambda d: (d["last"] <= e["last"]) & (d["n"] >= e["n"]))
+                rest = F.filter(done, lambda d: (d["last"] < e["last"]) | (d["n"] > e["n"]))
+                return F.when(beaten, done).otherwise(F.concat(rest, F.array(e)))
+
+            return let(new, put)
 
         none = F.array().cast("array<struct<last:int,n:int>>")
         whole = F.aggregate(r, none, add, lambda done: F.array_max(F.transform(done, lambda d: d["n"])))
