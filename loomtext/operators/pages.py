@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from ..sources.dump import TEMPLATE_NAMESPACES
+from ..sources.scratch import removed, written
 
 
 def without_redirects(pages: DataFrame) -> DataFrame:
@@ -17,15 +18,18 @@ def without_repeats(pages: DataFrame, most_sent: int = 100_000) -> DataFrame:
     """Pages whose id is that of the page before in the same file go. Redirects are expected to be gone.
 
     Only ids and places are brought in order, never texts: within a scan partition (the upper bits of position, as
-    monotonically_increasing_id() gives it), and across partitions by the last id of the one before. The places of
-    repeats, a few, are then taken out of the pages where they are scanned; more than most_sent meet them in a join."""
-    slim = pages.select("path", "position", "id", F.shiftright(F.col("position").cast("long"), 33).alias("__part"))
+    monotonically_increasing_id() gives it), and across partitions by the last id of the one before. They are read once and
+    written; the places of repeats, a few, are then taken out of the pages where they are scanned; more than most_sent meet
+    them in a join."""
+    slim = written(pages.select("path", "position", "id", F.shiftright(F.col("position").cast("long"), 33).alias("__part")), "places")
     inside = Window.partitionBy("path", "__part").orderBy("position")
     ends = slim.groupBy("path", "__part").agg(F.max_by("id", "position").alias("__end"))
     ends = ends.select("path", "__part", F.lag("__end").over(Window.partitionBy("path").orderBy("__part")).alias("__end"))
     placed = slim.withColumns({"__n": F.row_number().over(inside), "__before": F.lag("id").over(inside)}).join(ends, ["path", "__part"])
     repeats = placed.where(F.col("id").eqNullSafe(F.when(F.col("__n") == 1, F.col("__end")).otherwise(F.col("__before")))).select("path", "position")
     few = repeats.limit(most_sent + 1).collect()
+    if len(few) <= most_sent:
+        removed(slim)
     if not few:
         return pages
     if len(few) <= most_sent:
