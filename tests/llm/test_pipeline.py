@@ -116,6 +116,10 @@ def test_near_duplicate_groups_are_whole(spark, name):
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_registered(spark, name):
     df = registry.QUERIES[name](spark, SF)
+    if name.startswith("op11_"):
+        clicks = spark.read.parquet(f"{SF}/clicks.parquet").where("ts IS NOT NULL")
+        assert df.count() == df.select("click_id").distinct().count() == clicks.select("click_id").distinct().count()
+        return
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     assert df.select("doc_id").distinct().count() == documents.count()
 
