@@ -1,8 +1,7 @@
 """Personal data: exact base patterns, and further identifiers by bootstrapped contextual extraction.
 
 Seeds are the base spans (e-mail, IP address, card, phone) and strings that only a generator makes: 16 letters and digits or
-more that change places at 45 of 100 places or more. On request the values of keys that name a secret (`token = "..."`, a word
-list) are seeds, too; the query does without. Around a mention stand its lexical patterns: its key (`password=`, `token =`), or
+more that change places at 45 of 100 places or more. Around a mention stand its lexical patterns: its key (`password=`, `token =`), or
 else the two words left of it (^: none), the words left and right of it, and the two words right of it; a long value also has its
 shape: alphabet, length and first letters. Other identifier-like tokens, and values behind a key, are candidates, each with its
 patterns. Spark scores the bipartite graph of patterns and instances: a pattern's mass is the sum of the scores of its
@@ -11,7 +10,8 @@ may well be generated (16 letters and digits that change places twice): these sa
 the mass's share of both. A pattern is good if its mass reaches `support` and its confidence `threshold`; an instance's score is the
 best confidence of its good patterns, where a seed doesn't speak for itself. Scores start at the seeds and are passed
 along until they settle, so an instance found with one pattern supports others. Seeds that are no base span, and
-instances of good patterns, become spans of kind `id`.
+instances of good patterns, become spans of kind `id`; last, so do values of keys that a list names as secret (`ssn: ...`), which
+take no part in the graph, for secrets that stand alone in a corpus.
 """
 
 from __future__ import annotations
@@ -215,7 +215,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 
 SPAN = "array<struct<kind:int,start:int,end:int>>"
 ADDED = "array<struct<kind:int,start:int,end:int,found:boolean>>"
-MENTION = "array<struct<kind:int,start:int,end:int,seed:boolean,open:boolean,patterns:array<string>,instance:string>>"
+MENTION = "array<struct<kind:int,start:int,end:int,seed:boolean,open:boolean,listed:boolean,patterns:array<string>,instance:string>>"
 
 
 def mentions(docs: DataFrame, text_col: str, keep: list[str], secret_keys: bool) -> DataFrame:
@@ -224,11 +224,11 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str], secret_keys: bool)
     inputs = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def mention(text: str, places: Places, kind: int, a: int, z: int, look: int = 2) -> dict:
+        def mention(text: str, places: Places, kind: int, a: int, z: int, look: int = 2, listed: bool = False) -> dict:
             patterns = patterns_of(*places.around(a, z))
             if kind == 4 and (shape := shape_of(text[a:z])):
                 patterns.append(shape)
-            return {"kind": kind, "start": a, "end": z, "seed": look == 2, "open": look == 1, "patterns": patterns, "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
+            return {"kind": kind, "start": a, "end": z, "seed": look == 2, "open": look == 1, "listed": listed, "patterns": patterns, "instance": hashlib.sha256(text[a:z].encode()).hexdigest()[:24]}
 
         for b in batches:
             base, seen = [], []
@@ -236,14 +236,14 @@ def mentions(docs: DataFrame, text_col: str, keep: list[str], secret_keys: bool)
                 text = x.as_py() or ""
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": a, "end": z} for k, a, z in spans])
-                own = [(a, z, 2 if secret_keys and x else looks(text[a:z])) for a, z, x in keyed(text, spans)] if "=" in text or ":" in text else []
-                rest = candidates(text, [*spans, *((4, a, z) for a, z, _ in own)]) if DIGIT.search(text) or CAPITALS.search(text) else []
+                own = [(a, z, looks(text[a:z]), secret_keys and x) for a, z, x in keyed(text, spans)] if "=" in text or ":" in text else []
+                rest = candidates(text, [*spans, *((4, a, z) for a, z, *_ in own)]) if DIGIT.search(text) or CAPITALS.search(text) else []
                 more = sorted((4, *x) for x in (*own, *rest))
                 places = Places(text) if spans or more else None
                 seen.append([mention(text, places, *s) for s in [*spans, *more]])
             i32, text_type = pa.int32(), pa.string()
             spot = [("kind", i32), ("start", i32), ("end", i32)]
-            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("open", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
+            own = [pa.array(base, pa.list_(pa.struct(spot))), pa.array(seen, pa.list_(pa.struct([*spot, ("seed", pa.bool_()), ("open", pa.bool_()), ("listed", pa.bool_()), ("patterns", pa.list_(text_type)), ("instance", text_type)])))]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], *own], [*keep, "__base", "__seen"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in inputs.schema if f.name in keep)
@@ -376,13 +376,13 @@ def find_pii(
     pattern, not its own look, made it a span.
 
     support: a pattern must extract instances of at least this much score; threshold: least confidence of a pattern
-    that adds instances; secret_keys: values of keys that name a secret are seeds; most_sent and salts change where the work is done, not the result. Null and empty texts have no spans. Repeated rows get equal spans (their instances count
+    that adds instances; secret_keys: values of keys that name a secret are spans, too; most_sent and salts change where the work is done, not the result. Null and empty texts have no spans. Repeated rows get equal spans (their instances count
     once). An empty table gives an empty result. Columns of docs that have these names are replaced.
     """
     keep = [c for c in (docs.columns if carry is None else carry) if c not in names]
     table = mentions(docs, text_col, keep, secret_keys)
-    seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed", "m.open").fillna("", ["pattern"])
-    grades = [F.max("seed").alias("seed"), (F.max("open") & ~F.max("seed")).alias("open")]
+    seen = table.select(F.explode("__seen").alias("m")).select(F.explode_outer("m.patterns").alias("pattern"), "m.instance", "m.seed", "m.open", "m.listed").fillna("", ["pattern"])
+    grades = [F.max("seed").alias("seed"), (F.max("open") & ~F.max("seed")).alias("open"), F.max("listed").alias("listed")]
     edges = materialize(seen.groupBy("pattern", "instance").agg(*grades), "pii-edges")
     patterns = eligible(edges, support)
     unsure = F.filter("__seen", lambda m: m["kind"] == 4)
@@ -393,8 +393,8 @@ def find_pii(
     rest = table.where(F.size(unsure) > 0)
     # what is found in one place is known elsewhere, too: a seed's string, and an instance of a good pattern
     found = score_graph(edges, totals(docs, text_col, patterns, threshold, most_sent), support, threshold, salts=salts).where(~F.col("seed")).select("instance")
-    found = found.select("instance", F.lit(True).alias("found")).unionByName(edges.where("seed").select("instance", F.lit(False).alias("found")).distinct())
-    found = found.groupBy("instance").agg(F.min("found").alias("found"))
+    found = found.select("instance", F.lit(True).alias("found")).unionByName(edges.where("seed OR listed").select("instance", F.lit(False).alias("found")).distinct())
+    found = found.groupBy("instance").agg(F.max("found").alias("found"))
     spots = rest.select("__row", F.explode(F.filter(unsure, lambda m: ~m["seed"])).alias("m")).select("__row", "m.kind", "m.start", "m.end", "m.instance")
     spots = spots.withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
     found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -438,7 +438,7 @@ def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
 
 def op6_bootstrapped_contexts(spark, sf_dir: str) -> DataFrame:
-    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"], secret_keys=False)
+    found = find_pii(spark.read.parquet(f"{sf_dir}/documents.parquet"), carry=["doc_id"])
     kinds = F.array(*[F.lit(k) for k in KINDS])
     written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
