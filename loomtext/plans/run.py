@@ -39,7 +39,7 @@ def extract_to(spark: SparkSession, path: str, out: str, options: Options | None
         lattice.learn(ops.articles(ops.without_redirects(dump.read_pages(spark, path)))).frame(spark).write.parquet(options.lexicon)
     if options.abbreviations and not exists(spark, options.abbreviations):
         abbreviations.abbreviations(ops.articles(ops.without_redirects(dump.read_pages(spark, path)))).write.parquet(options.abbreviations)
-    records = extraction.extract_dump(spark, path, options, template_path, ordered)
+    records = extraction.extract_dump(spark, path, options, template_path, ordered and out == "-")
     if out == "-":
         return Report(sink.print_json(records.drop("path", "position")), time.monotonic() - began)
     observation = Observation()
