@@ -27,7 +27,7 @@ from ..wikitext.templates import Expander, Site
 
 #: Template dictionaries up to this size travel in the task's closure; larger ones are joined.
 BROADCAST_BYTES = 64 << 20
-RESULT = "text string, title_errors int, call_errors int, depth_errors int, parameter_errors int, error string"
+RESULT = "text string, title_errors int, call_errors int, depth_errors int, parameter_errors int, error string, asked array<string>"
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ def outcome_of(site: Site, options: Options, title: str, text: str) -> dict:
         out, error = None, traceback.format_exc(limit=3)
     return {
         "text": out, "title_errors": expander.title_errors, "call_errors": expander.call_errors, "depth_errors": expander.depth_errors,
-        "parameter_errors": expander.parameter_errors, "error": error,
+        "parameter_errors": expander.parameter_errors, "error": error, "asked": sorted(expander.asked),
     }
 
 
@@ -126,7 +126,7 @@ def attempt(pages: DataFrame, site: Site | Large, options: Options, urlbase: str
     title, text = F.col("title"), F.col("text")
     pages = converted(pages, options)
     named = pages.select(
-        *[c for c in ("path", "position", "ns") if c in pages.columns],
+        *[c for c in ("path", "position", "ns", "page") if c in pages.columns],
         metadata.bare_title(title).alias("title"), "id", metadata.page_url(urlbase, F.col("id")).alias("url"), metadata.related(text).alias("related"),
         metadata.is_category(title).alias("isCategory"), metadata.main_article(title, text).alias("mainArticle"),
         (~metadata.is_category(title)).alias("isArticle"), metadata.categories(text).alias("categories"), "text",
@@ -145,10 +145,15 @@ def extract(pages: DataFrame, options: Options | None = None, site: dict | None
     options = options or Options()
     site = site or {"urlbase": "", "namespaces": [], "template": "", "module": ""}
     tried = attempt(pages, template_site(pages.sparkSession, template_pages, site, options), options, site["urlbase"])
-    good = tried.where(F.col("outcome.error").isNull()).withColumn("text", F.col("outcome.text"))
-    lexicon = Lexicon.read(pages.sparkSession.read.parquet(options.lexicon)) if options.lexicon else None
-    known = frozenset(r["word"] for r in pages.sparkSession.read.parquet(options.abbreviations).select("word").collect()) if options.abbreviations else frozenset()
-    return good.withColumn("segment_text", token_function(options, lexicon, known)("text")).select(*keep, *OUTPUT)
+    return tokenised(tried.where(F.col("outcome.error").isNull()), options).select(*keep, *OUTPUT)
+
+
+def tokenised(tried: DataFrame, options: Options) -> DataFrame:
+    """attempt() with the outcome's text and its tokens."""
+    spark = tried.sparkSession
+    lexicon = Lexicon.read(spark.read.parquet(options.lexicon)) if options.lexicon else None
+    known = frozenset(r["word"] for r in spark.read.parquet(options.abbreviations).select("word").collect()) if options.abbreviations else frozenset()
+    return tried.withColumn("text", F.col("outcome.text")).withColumn("segment_text", token_function(options, lexicon, known)("text"))
 
 
 def errors(pages: DataFrame, options: Options | None = None, site: dict | None = None, template_pages: DataFrame | None = None) -> DataFrame:
@@ -157,7 +162,7 @@ def errors(pages: DataFrame, options: Options | None = None, site: dict | None =
     site = site or {"urlbase": "", "namespaces": [], "template": "", "module": ""}
     tried = attempt(pages, template_site(pages.sparkSession, template_pages, site, options), options, site["urlbase"])
     counts = ["title_errors", "call_errors", "depth_errors", "parameter_errors"]
-    return tried.select("id", "title", "outcome.*").where(" OR ".join(["error IS NOT NULL", *[f"{c} > 0" for c in counts]])).drop("text")
+    return tried.select("id", "title", "outcome.*").where(" OR ".join(["error IS NOT NULL", *[f"{c} > 0" for c in counts]])).drop("text", "asked")
 
 
 def extract_dump(spark: SparkSession, path: str, options: Options | None = None, template_path: str | None = None, ordered: bool = False) -> DataFrame:

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from .. import tokenize
 from ..functions import lines, markup, metadata, nesting
-from ..operators import abbreviations, dictionary, lattice
+from ..operators import abbreviations, dictionary, lattice, splitting
 from ..operators import pages as ops
 from ..operators.script import Converter
 from ..options import Options
 from ..sources import dump, listing
+from ..sources.scratch import written
 from ..wikitext import clean
 from ..wikitext.clean import DISCARDED, IGNORED, PROTOCOLS, SELF_CLOSING, SWITCHES
 from ..wikitext.spans import drop_nested
 from . import extract as extraction
+from . import snapshots
 from .rendered import pages, pages_sql, parts
 
 OPTIONS = Options(as_of=datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc))
@@ -202,6 +204,50 @@ def template_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROUNDS_SQL = "SELECT p_partkey AS id, concat('[', p_name, ' of ', p_type, ' ', p_brand, '] end', chr(10)) AS out FROM part"
 
 
+#: The same templates later: every kind whose name has an even number of letters has another body.
+LATER_TEMPLATES = BRAND_TEMPLATES.replace("concat(p_type, '{{{1|}}} ')", "concat(p_type, case when length(p_type) % 2 = 0 then '! ' else '{{{1|}}} ' end)")
+
+
+def changed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of pages whose templates' names are made by expansion: in the second every tenth page and some
+    templates are others, and only the pages that these concern run."""
+    table = parts(spark, sf_dir)
+    table.createOrReplaceTempView("__parts")
+
+    def snapshot(text: str, templates: str, before=None):
+        defined = spark.sql(templates.replace("FROM part", "FROM __parts")).selectExpr("0 AS position", "title", "'10' AS ns", "coalesce(body, concat('#REDIRECT [[', dst, ']]')) AS text")
+        called = table.selectExpr("cast(p_partkey as string) AS id", "p_name AS title", "'0' AS ns", f"concat('{{{{', p_brand, '|', {text}, '|', p_type, '}}}} end') AS text")
+        return snapshots.take(called, OPTIONS, None, defined, before)
+
+    rows, entries = snapshot("p_name", BRAND_TEMPLATES)
+    out, _ = snapshot("case when p_partkey % 10 = 0 then concat('new ', p_name) else p_name end", LATER_TEMPLATES, (written(rows, "rows"), entries))
+    return out.select("id", "text", "fresh")
+
+
+CHANGED_SQL = """SELECT CAST(p_partkey AS VARCHAR) AS id, concat('[', CASE WHEN p_partkey % 10 = 0 THEN 'new ' ELSE '' END, p_name, ' of ', p_type, CASE WHEN length(p_type) % 2 = 0 THEN '!' ELSE '' END, ' ', p_brand, '] end', chr(10)) AS text,
+ p_partkey % 10 = 0 OR length(p_type) % 2 = 0 AS fresh FROM part"""
+
+#: Bytes of a file, and of a block of offsets, of the query below.
+SPLIT_MOST, SPLIT_BLOCK = 64 << 10, 1 << 20
+
+
+def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file, of at most 64 KiB, in which one writer of all texts in the order of their ids would put each as a line."""
+    lines = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("key"), F.monotonically_increasing_id().alias("n"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"))
+    held = written(lines, "lines")
+    numbers = splitting.file_numbers(held, SPLIT_MOST, SPLIT_BLOCK)
+    return numbers.join(held, "n").select(F.col("key").alias("doc_id"), "file", F.concat_ws("/", splitting.folder_name("file"), splitting.base_name("file")).alias("name"))
+
+
+SPLIT_SQL = f"""WITH RECURSIVE s AS (SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size FROM documents),
+p AS (SELECT doc_id, CAST(sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS e, size FROM s),
+o AS (SELECT doc_id, e - size AS g, max(e) OVER (ORDER BY e RANGE BETWEEN CURRENT ROW AND greatest({SPLIT_MOST} - size, 0) FOLLOWING) AS nxt FROM p),
+t AS MATERIALIZED (SELECT g, nxt FROM o),
+f(g, n) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION ALL SELECT t.nxt, n + 1 FROM f JOIN t ON f.g = t.g)
+SELECT doc_id, n AS file, concat(chr(CAST(65 + n // 2600 % 26 AS INTEGER)), chr(CAST(65 + n // 100 % 26 AS INTEGER)), '/wiki_', lpad(CAST(n % 100 AS VARCHAR), 2, '0')) AS name
+FROM o ASOF JOIN f ON o.g >= f.g"""
+
+
 # --- the grammar that needs a stack ---
 
 
@@ -463,6 +509,8 @@ QUERIES = {
     "template_usage_join": template_usage,
     "template_closure": template_closure,
     "template_rounds": template_rounds,
+    "changed_pages": changed_pages,
+    "split_files": split_files,
     "internal_links_nested": internal_links_nested,
     "internal_links_nested_kernel": kernel(NESTED_LINK),
     "template_expand": kernel(EXPAND),
@@ -557,6 +605,8 @@ ORACLES = {
     "abbreviation_scores": SCORES_SQL,
     "abbreviation_tokens": STOPS_SQL,
     "template_rounds": ROUNDS_SQL,
+    "changed_pages": CHANGED_SQL,
+    "split_files": SPLIT_SQL,
     "internal_links_nested": NESTED_LINK_SQL,
     "template_expand": EXPAND_SQL,
     "parser_functions": FUNCTIONS_SQL,

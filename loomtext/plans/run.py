@@ -73,12 +73,13 @@ def extract_languages(spark: SparkSession, dumps: dict[str, str], root: str, dat
 
 
 def swap_pointer(spark: SparkSession, path: str, value: str) -> None:
-    """The one-line file at path gets a new value: written beside it, then renamed."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
+    """The one-line file at path gets a new value: written beside it, then renamed over it in one step."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
     at, new = hadoop.Path(path), hadoop.Path(f"{path}.new")
-    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system = at.getFileSystem(conf)
     stream = system.create(new, True)
     stream.write(bytearray(value.encode()))
     stream.close()
-    system.delete(at, False)
-    system.rename(new, at)
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(system.getUri(), conf).rename(system.makeQualified(new), system.makeQualified(at), how)
