@@ -62,11 +62,30 @@ def reachable(starts: DataFrame, calls: DataFrame, salts: int = 1) -> DataFrame:
 
 
 def closure(calls: DataFrame) -> DataFrame:
-    """title, callee and whether the title calls itself, at once or through others (`cyclic`): all that each title reaches."""
-    starts = calls.select(F.col("title").alias("key"), F.col("callee").alias("title"))
-    reached = reachable(starts, calls)
-    cyclic = reached.where("key = title").select("key", F.lit(True).alias("cyclic"))
-    return reached.join(cyclic, "key", "left").select(F.col("key").alias("title"), F.col("title").alias("callee"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
+    """title, callee and whether the title calls itself, at once or through others (`cyclic`): all that each title reaches.
+
+    Titles are numbered once. A pair keeps its least number of calls. From all pairs up to k, those of exactly k go on with all
+    pairs up to k, which gives the pairs up to 2k: rounds grow with the logarithm of the longest way, and the pairs that
+    a round makes are nearly those that are new."""
+    direct = written(calls.select("title", "callee").distinct(), "calls")
+    names = written(direct.select("title").union(direct.select("callee")).distinct().withColumn("n", F.monotonically_increasing_id()), "names")
+    numbered = direct.join(names.toDF("title", "a").hint("merge"), "title").join(names.toDF("callee", "b").hint("merge"), "callee")
+    parts, far = [written(numbered.select("a", "b", F.lit(1).alias("far")), "reached")], 1
+    removed(direct)
+    while True:
+        known = union(parts)
+        onward = known.toDF("b", "c", "more").hint("merge")
+        step = known.where(F.col("far") == far).join(onward, "b").groupBy("a", F.col("c").alias("b")).agg((F.min("more") + far).alias("far"))
+        fresh = written(step.join(known.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "reached")
+        if fresh.isEmpty():
+            removed(fresh)
+            break
+        parts.append(fresh)
+        far *= 2
+    cyclic = known.where("a = b").select("a", F.lit(True).alias("cyclic"))
+    callers = names.toDF("title", "a").join(cyclic.hint("merge"), "a", "left").withColumn("cyclic", F.coalesce("cyclic", F.lit(False)))
+    both = known.select("a", "b").join(callers.hint("merge"), "a").join(names.toDF("callee", "b").hint("merge"), "b")
+    return both.select("title", "callee", "cyclic")
 
 
 class Held:

@@ -41,6 +41,19 @@ def test_closure_and_cycles(spark):
     assert dictionary.closure(spark.createDataFrame([], "title string, callee string")).collect() == []
 
 
+def test_closure_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain of 40 into a ring of 7, beside calls at random; tables are written for doublings, not for each call."""
+    rng, names = random.Random(3), []
+    edges = {(i, i + 1) for i in range(46)} | {(46, 40)} | {(rng.randrange(50, 80), rng.randrange(50, 80)) for _ in range(45)}
+    keep = dictionary.written
+    monkeypatch.setattr(dictionary, "written", lambda df, name: names.append(name) or keep(df, name))
+    got = {tuple(r) for r in dictionary.closure(spark.createDataFrame([(f"t{a}", f"t{b}") for a, b in edges] * 2, "title string, callee string")).collect()}
+    calls = {a: [y for x, y in edges if x == a] for a, _ in edges}
+    pairs = plain_reach(calls, edges)
+    assert got == {(f"t{a}", f"t{b}", (a, a) in pairs) for a, b in pairs}
+    assert names.count("reached") <= 8
+
+
 def test_literal_calls(spark):
     text = "{{a b|x}} {{ Safesubst: c }}{{{1|{{d}}}}} {{lc:X}} {{#if:x|{{e\n|y}}}} {{:F}} {{ {{g}} }} {{a b}} {{{h}}} {{"
     got = spark.range(1).select(dictionary.literal_calls(extraction.F.lit(text), "Template").alias("c")).first()["c"]
