@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import tokenize
 from ..functions import lines, markup, metadata, nesting
+from ..functions.batches import by_slices
 from ..operators import abbreviations, dictionary, lattice, splitting
 from ..operators import pages as ops
 from ..operators.script import Converter
@@ -302,7 +303,7 @@ def words_sql(text: str) -> str:
 
 def rule_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens that an extraction gives for English and Indonesian, by the rules that are built in."""
-    found = F.pandas_udf(lambda texts: texts.map(lambda t: [w for line in (t or "").strip().split("\n") for w in tokenize.rule_words(line)]), "array<string>")
+    found = by_slices(lambda texts: texts.map(lambda t: [w for line in (t or "").strip().split("\n") for w in tokenize.rule_words(line)]), "array<string>")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", found("text").alias("w"))
     return docs.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
 
