@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata
+from ..functions.batches import by_slices, slices
 from ..operators import dictionary
 from ..operators import pages as ops
 from ..operators.lattice import Lexicon
@@ -71,8 +72,13 @@ def outcome_of(site: Site, options: Options, title: str, text: str) -> dict:
 def text_function(site: Site, options: Options):
     """(title, text) to RESULT."""
 
-    def run(titles: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([outcome_of(site, options, t, x) for t, x in zip(titles, texts, strict=True)], columns=[c.split()[0] for c in RESULT.split(", ")])
+    columns = [c.split()[0] for c in RESULT.split(", ")]
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for titles, texts in batches:
+            for a, b in slices([len(x or "") for x in texts]):
+                some = zip(titles.iloc[a:b], texts.iloc[a:b], strict=True)
+                yield pd.DataFrame([outcome_of(site, options, t, x) for t, x in some], columns=columns)
 
     return F.pandas_udf(run, RESULT).asNondeterministic()  # else a filter on the result would run it twice
 
@@ -102,7 +108,7 @@ def token_function(options: Options, lexicon: Lexicon | None = None, known: froz
         words = iter(lexicon.words([x for some in lines for x in some]))
         return pd.Series([[w for _ in some for w in next(words)] for some in lines], dtype=object)
 
-    return F.pandas_udf(run, "array<string>")
+    return by_slices(run, "array<string>")
 
 
 def converted(pages: DataFrame, options: Options) -> DataFrame:
