@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 LEAST_SIZE = 100_000
 
 
@@ -31,14 +33,32 @@ def worth_fetching(listing: DataFrame) -> DataFrame:
 def part_numbers(listing: DataFrame) -> DataFrame:
     """number: the part in the file's name; if any file of a language lacks one, 0, 1, .. by falling size. The second
     file with a number gets -1, the third -2."""
-    by_lang, by_size = Window.partitionBy("lang"), Window.partitionBy("lang").orderBy(F.desc("size"), "filename")
-    found = F.regexp_extract("filename", r"articles(\d+).xml", 1)
-    numbered = listing.withColumn("__n", found).withColumn("__all", F.min(F.col("__n") != "").over(by_lang))
-    number = F.when(F.col("__all"), F.col("__n")).otherwise((F.row_number().over(by_size) - 1).cast("string"))
-    numbered = numbered.withColumn("number", number)
-    earlier = F.row_number().over(Window.partitionBy("lang", "number").orderBy(F.desc("size"), "filename")) - 1
+    by_size = [F.desc("size"), F.asc("filename")]
+    held = written(listing.withColumn("number", F.regexp_extract("filename", r"articles(\d+).xml", 1)), "listing")
+    some = held.groupBy("lang").agg(F.min(F.col("number") != "").alias("__all")).where("NOT coalesce(__all, false)").select(F.col("lang").alias("__lang"))
+    numbered = held
+    if not some.isEmpty():
+        lacking = lambda how: held.join(F.broadcast(some), F.col("lang").eqNullSafe(F.col("__lang")), how)
+        counted = placed(lacking("left_semi"), ["lang"], by_size, "__place").withColumn("number", F.col("__place").cast("string"))
+        numbered = lacking("left_anti").unionByName(counted.drop("__place"))
+    earlier = F.col("__place")
     suffix = F.when(earlier > 0, F.concat(F.lit("-"), earlier.cast("string"))).otherwise(F.lit(""))
-    return numbered.withColumn("__suffix", suffix).withColumn("number", F.concat("number", "__suffix")).drop("__n", "__all", "__suffix")
+    return placed(numbered, ["lang", "number"], by_size, "__place").withColumn("number", F.concat("number", suffix)).drop("__place")
+
+
+def placed(rows: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """rows with the place, from 0, of each in its group. Groups may be of any size: rows are dealt by ranges of group and
+    order, and a row's place is that among its range's rows of the group after those of the ranges before."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(rows.repartitionByRange(tasks, *by, *order).withColumn("__task", F.spark_partition_id()), "dealt")
+    counts = dealt.groupBy(*by, "__task").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*by).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(by)], F.col("__task").alias("__t"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    same = F.col("__task") == F.col("__t")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__{i}"))
+    inside = F.row_number().over(Window.partitionBy(*by, "__task").orderBy(*order)) - 1
+    return dealt.withColumn(name, inside).join(before.hint("merge"), same).withColumn(name, F.col(name) + F.col("__before")).select(*rows.columns, name)
 
 
 def local_files(spark, path: str) -> DataFrame:
