@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 #: A word, with stops between its letters, and the stop behind it.
 WORD = r"\p{L}+(?:\.\p{L}+)*\.?"
 ALWAYS = 0.99
@@ -22,7 +24,9 @@ def scores(texts: DataFrame, text_col: str = "text", least: int = 1) -> DataFram
     """word (lower case), n, n_stop (occurrences, those before a stop) and score of the words that stand before a stop at all
     and occur `least` times at least. Null texts have no words; without any word there are no rows."""
     found = texts.select(F.explode(words(F.col(text_col))).alias("w"))
-    counts = found.groupBy(F.lower(F.regexp_replace("w", r"\.$", "")).alias("word")).agg(F.count("*").alias("n"), F.count_if(F.col("w").endswith(".")).alias("n_stop"))
+    each = found.groupBy("w").agg(F.count("*").alias("n"))  # forms are taken apart once each
+    stops = F.when(F.col("w").endswith("."), F.col("n")).otherwise(F.lit(0))
+    counts = written(each.groupBy(F.lower(F.regexp_replace("w", r"\.$", "")).alias("word")).agg(F.sum("n").alias("n"), F.sum(stops).alias("n_stop")), "words")
     total = counts.agg(F.sum("n").alias("n"), F.sum("n_stop").alias("n_stop")).first()
     n, k = F.col("n"), F.col("n_stop")
     share = min(max((total["n_stop"] or 0) / (total["n"] or 1), 1e-9), 1 - 1e-9)
@@ -42,7 +46,7 @@ def tokens(text: Column, known: list[str]) -> Column:
     """Words of a text, the stop behind a word apart but for known abbreviations."""
 
     def one(w: Column) -> Column:
-        bare = F.regexp_replace(w, r"\.$", "")
-        return F.when(w.endswith(".") & ~F.array_contains(F.lit(known).cast("array<string>"), F.lower(bare)), F.array(bare, F.lit("."))).otherwise(F.array(w))
+        bare = F.substring(w, F.lit(1), F.length(w) - 1)
+        return F.when(w.endswith(".") & ~F.lower(bare).isin(known), F.array(bare, F.lit("."))).otherwise(F.array(w))  # a set of literals, looked up
 
     return F.flatten(F.transform(words(text), one))
