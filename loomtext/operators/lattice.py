@@ -30,6 +30,8 @@ WHOLE = ((0x3041, 0x309F), (0x30A1, 0x30FF), (0xAC00, 0xD7A3))
 OTHER = re.compile(rf"([{SCRIPTS}]+)|[^\W{SCRIPTS}]+(?:[.'-][^\W{SCRIPTS}]+)*|[^\w\s]")
 #: Characters of a batch that are worked on at once.
 AT_ONCE = 400_000
+#: Characters whose substrings are counted at once.
+COUNTED = 2_000_000
 
 
 class DoubleArray:
@@ -130,9 +132,76 @@ class Lattice:
         return total, last
 
 
+@dataclass
+class Grid:
+    """A lattice without runs of one script, laid out by place and run, so that a step is a few products of whole rows."""
+
+    weight: np.ndarray  # [length - 1, place, run]
+    piece: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, x: Lattice) -> Grid:
+        places = np.arange(int(x.sizes.max(initial=0)))[:, None]
+        inside = places < x.sizes
+        at = np.where(inside, x.starts + places, 0)
+        return cls(np.where(inside, x.weight[:, at], -np.inf), np.where(inside, x.piece[:, at], -1), x.sizes)
+
+    def best(self) -> np.ndarray:
+        """[place, run]: with which length the best path to each place ends."""
+        longest, most, n = self.weight.shape
+        total, last = np.full((most + 1, n), -np.inf), np.zeros((most + 1, n), np.int32)
+        total[0] = 0.0
+        for t in range(1, most + 1):
+            way = np.stack([total[t - k] + self.weight[k - 1, t - k] for k in range(1, min(longest, t) + 1)])
+            last[t] = way.argmax(axis=0) + 1
+            total[t] = way.max(axis=0)
+        return last
+
+    def marginals(self, weights: np.ndarray, n_pieces: int) -> tuple[np.ndarray, float]:
+        """As marginals(), by products; rows are scaled before they run out of a double's range."""
+        longest, most, n = self.weight.shape
+        share, run = np.exp(self.weight), np.arange(n)
+        ahead, behind = np.zeros((most + 1, n)), np.zeros((most + 1, n))
+        ahead_log, behind_log = np.zeros((most + 1, n)), np.zeros((most + 1, n))
+        ahead[0], behind[self.sizes, run] = 1.0, 1.0
+
+        def scale(rows: slice, table: np.ndarray, logs: np.ndarray, now: np.ndarray) -> np.ndarray:
+            top = table[rows].max(axis=0)
+            top[top == 0] = 1.0
+            table[rows] /= top
+            now = now + np.log(top)
+            logs[rows] = now
+            return now
+
+        now = np.zeros(n)
+        for t in range(1, most + 1):
+            for k in range(1, min(longest, t) + 1):
+                ahead[t] += ahead[t - k] * share[k - 1, t - k]
+            ahead_log[t] = now
+            if t % 8 == 0:
+                now = scale(slice(max(0, t - longest + 1), t + 1), ahead, ahead_log, now)
+        now = np.zeros(n)
+        for t in range(most - 1, -1, -1):
+            for k in range(1, min(longest, most - t) + 1):
+                behind[t] += share[k - 1, t] * behind[t + k]
+            behind_log[t] = now
+            if t % 8 == 0:
+                now = scale(slice(t, t + longest), behind, behind_log, now)
+        whole = np.log(ahead[self.sizes, run]) + ahead_log[self.sizes, run]
+        counts = np.zeros(n_pieces)
+        for k in range(1, min(longest, most) + 1):
+            at, of = np.nonzero(self.piece[k - 1] >= 0)
+            p = ahead[at, of] * share[k - 1, at, of] * behind[at + k, of] * np.exp(ahead_log[at, of] + behind_log[at + k, of] - whole[of])
+            counts += np.bincount(self.piece[k - 1, at, of], p * weights[of], n_pieces)
+        return counts, float((whole * weights).sum())
+
+
 def marginals(lattice: Lattice, weights: np.ndarray, n_pieces: int) -> tuple[np.ndarray, float]:
     """In how many segmentations, each counted by its probability and its run's weight, each piece stands; and the
     sum of the runs' log likelihoods."""
+    if not lattice.onward.any():
+        return Grid.of(lattice).marginals(weights, n_pieces)
     total, _ = lattice.forward(best=False)
     longest, (n_nodes, n) = len(lattice.weight), (len(total), lattice.weight.shape[1])
     rest = np.full(n_nodes + longest + 1, -np.inf)
@@ -210,9 +279,23 @@ class Lexicon:
 
     def cut(self, runs: list[str]) -> list[list[str]]:
         """The cheapest pieces of each run."""
+        known = dict.fromkeys(runs)  # equal runs once, those of like length together
+        for some in batches_of(sorted(known, key=len, reverse=True)):
+            known.update(zip(some, self._cut(some), strict=True))
+        return [known[r] for r in runs]
+
+    def _cut(self, some: list[str]) -> list[list[str]]:
         out: list[list[str]] = []
-        for some in batches_of(runs):
-            x = self.lattice(some)
+        x = self.lattice(some)
+        if not x.onward.any():
+            last = Grid.of(x).best()
+            for i, run in enumerate(some):
+                at, found, ends = len(run), [], last[: len(run) + 1, i].tolist()
+                while at:
+                    found.append(run[at - ends[at] : at])
+                    at -= ends[at]
+                out.append(found[::-1])
+        else:
             _, last = x.forward(best=True)
             for run, first in zip(some, x.first.tolist(), strict=True):
                 at, found = len(run), []
@@ -253,28 +336,58 @@ class Lexicon:
 
 
 def batches_of(runs: list[str]) -> Iterator[list[str]]:
-    some, size = [], 0
+    """Consecutive runs; of a batch none is twice as long as the others but for short ones, as its grid has their longest size."""
+    some, size, low, high = [], 0, 0, 0
     for r in runs:
-        if some and size + len(r) > AT_ONCE:
+        low, high = (min(low, len(r)), max(high, len(r))) if some else (len(r), len(r))
+        if some and (size + len(r) > AT_ONCE or (high > 64 and high > 2 * low)):
             yield some
-            some, size = [], 0
+            some, size, low, high = [], 0, len(r), len(r)
         some.append(r)
         size += len(r)
     if some:
         yield some
 
 
+def substrings(runs: list[str], weights: list[int], longest: int) -> Iterator[pa.RecordBatch]:
+    """piece and n of the substrings of each length of some runs: those of a length are numbered, and these numbers and the next
+    characters are the substrings of the next length."""
+    joined = "".join(runs)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(r) for r in runs], np.int64)
+    ends, times = np.repeat(np.cumsum(sizes), sizes), np.repeat(np.array(weights, np.float64), sizes)
+    char, alphabet = pd.factorize(codes)
+    at, number = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    for k in range(1, longest + 1):
+        fits = at + k <= ends[at]
+        at = at[fits]
+        if not len(at):
+            return
+        number, distinct = pd.factorize(number[fits] * len(alphabet) + char[at + k - 1])
+        first = np.zeros(len(distinct), np.int64)
+        first[number[::-1]] = at[::-1]
+        n = np.bincount(number, times[at], len(distinct)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([joined[i : i + k] for i in first.tolist()], pa.string()), pa.array(n)], ["piece", "n"])
+
+
 def candidates(runs: DataFrame, longest: int, least: int, most: int) -> DataFrame:
     """piece and n (occurrences) of the `most` substrings of up to `longest` characters that cover most, all those that
     occur `least` times at least, single characters first. runs: run and n."""
 
-    def pieces(chars: Column) -> Column:
-        at = F.sequence(F.lit(1), F.size(chars))
-        each = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(chars) - i + 1)), lambda k: F.array_join(F.slice(chars, i, k), ""))
-        return F.flatten(F.transform(at, each))
-
-    held = runs.where("run <> ''").select(F.split("run", "").alias("chars"), "n")
-    counts = held.select(F.explode(pieces(F.col("chars"))).alias("piece"), "n").groupBy("piece").agg(F.sum("n").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, weights, size = [], [], 0
+        for b in batches:
+            for run, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                some.append(run)
+                weights.append(n)
+                size += len(run)
+                if size > COUNTED:
+                    yield from substrings(some, weights, longest)
+                    some, weights, size = [], [], 0
+        if some:
+            yield from substrings(some, weights, longest)
+
+    counts = runs.where("run <> ''").select("run", "n").mapInArrow(count, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     single = F.length("piece") == 1
     return counts.where(single | (F.col("n") >= least)).orderBy(F.desc(single), F.desc(F.col("n") * F.length("piece")), "piece").limit(most)
 
@@ -290,7 +403,7 @@ def learn(texts: DataFrame, text_col: str = "text", pattern: str = RUN, longest:
     found = F.explode(F.regexp_extract_all(F.col(text_col), F.lit(f"({pattern})"), F.lit(1)))
     counted = texts.select(found.alias("run")).where("run <> ''").groupBy("run").agg(F.count("*").alias("n"))
     # dealt anew, as each character is much work: adaptive execution would put small tables in one task
-    runs = written(counted.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run"), "lattice-runs")
+    runs = written(counted.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "run").sortWithinPartitions(F.length("run")), "lattice-runs")
     rows = candidates(runs, longest, least, most).collect()
     counts = {r[0]: float(r[1]) for r in rows}
     lexicon = _costs(counts)
