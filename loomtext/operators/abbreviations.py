@@ -2,7 +2,7 @@
 
 For each word, Dunning's likelihood ratio weighs that it nearly always has a stop (99 of 100) against that it has one as
 often as any word. Long words, and occurrences without a stop, speak against an abbreviation; stops inside speak for one.
-Counts are one aggregation; nothing but two totals goes through the driver."""
+Counts are one aggregation; nothing but two totals, and known words while they are few, goes through the driver."""
 
 from __future__ import annotations
 
@@ -14,6 +14,10 @@ from ..sources.scratch import written
 #: A word, with stops between its letters, and the stop behind it.
 WORD = r"\p{L}+(?:\.\p{L}+)*\.?"
 ALWAYS = 0.99
+#: So many known abbreviations go with each task; more of them meet the words of the texts in a join.
+TRAVEL = 10_000
+#: Parts of the texts in that join.
+PARTS = 32
 
 
 def words(text: Column) -> Column:
@@ -37,16 +41,43 @@ def scores(texts: DataFrame, text_col: str = "text", least: int = 1) -> DataFram
     return counts.where((k > 0) & (n >= least)).select("word", "n", "n_stop", score.alias("score"))
 
 
-def abbreviations(texts: DataFrame, text_col: str = "text", threshold: float = 0.3, most: int = 10_000) -> DataFrame:
-    """word and score of the abbreviations, the `most` best ones (a list that goes with each task)."""
-    return scores(texts, text_col).where(F.col("score") >= threshold).orderBy(F.desc("score"), "word").limit(most).select("word", "score")
+def abbreviations(texts: DataFrame, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """word and score of all abbreviations, however many there are."""
+    return scores(texts, text_col).where(F.col("score") >= threshold).select("word", "score")
 
 
-def tokens(text: Column, known: list[str]) -> Column:
-    """Words of a text, the stop behind a word apart but for known abbreviations."""
+def few(known: DataFrame) -> list[str] | None:
+    """All known words if they are few enough to go with each task, else nothing."""
+    return [r["word"] for r in known.select("word").collect()] if known.count() <= TRAVEL else None
+
+
+def with_known(texts: DataFrame, known: DataFrame, asked: Column, key: str) -> DataFrame:
+    """texts and `known`: those of the words asked for (an array of each row) that are known, by a join. Rows of like key
+    share what they know, which changes nothing, as a word is known everywhere or nowhere. Texts are dealt to parts, so that a
+    word which all of them have is not met by one task."""
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    each = texts.select(F.col(key).alias("__key"), part.alias("part"), F.explode(F.array_distinct(asked)).alias("word"))
+    dealt = known.select("word").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    held = each.join(dealt, ["word", "part"]).groupBy("__key").agg(F.collect_set("word").alias("known"))
+    return texts.join(held, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+
+
+def tokenised(texts: DataFrame, known: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """texts and their tokens, `w`. known: a table with any number of words; key: a column that tells most rows apart."""
+    text, some = F.col(text_col), few(known)
+    if some is not None:
+        return texts.withColumn("w", tokens(text, some))
+    stopped = F.transform(F.filter(words(text), lambda w: w.endswith(".")), lambda w: F.lower(F.substring(w, F.lit(1), F.length(w) - 1)))
+    return with_known(texts, known, stopped, key).withColumn("w", tokens(text, F.col("known"))).drop("known")
+
+
+def tokens(text: Column, known: list[str] | Column) -> Column:
+    """Words of a text, the stop behind a word apart but for known abbreviations: a list, or a row's own array or null."""
 
     def one(w: Column) -> Column:
         bare = F.substring(w, F.lit(1), F.length(w) - 1)
-        return F.when(w.endswith(".") & ~F.lower(bare).isin(known), F.array(bare, F.lit("."))).otherwise(F.array(w))  # a set of literals, looked up
+        low = F.lower(bare)
+        there = low.isin(known) if isinstance(known, list) else F.coalesce(F.array_contains(known, low), F.lit(False))  # a list is a set of literals, looked up
+        return F.when(w.endswith(".") & ~there, F.array(bare, F.lit("."))).otherwise(F.array(w))
 
     return F.flatten(F.transform(words(text), one))

@@ -8,6 +8,7 @@ from __future__ import annotations
 import traceback
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata
 from ..functions.batches import by_slices, slices
-from ..operators import dictionary
+from ..operators import abbreviations, dictionary
 from ..operators import pages as ops
 from ..operators.lattice import Lexicon
 from ..operators.script import Converter
@@ -158,8 +159,32 @@ def tokenised(tried: DataFrame, options: Options) -> DataFrame:
     """attempt() with the outcome's text and its tokens."""
     spark = tried.sparkSession
     lexicon = Lexicon.read(spark.read.parquet(options.lexicon)) if options.lexicon else None
-    known = frozenset(r["word"] for r in spark.read.parquet(options.abbreviations).select("word").collect()) if options.abbreviations else frozenset()
-    return tried.withColumn("text", F.col("outcome.text")).withColumn("segment_text", token_function(options, lexicon, known)("text"))
+    texts = tried.withColumn("text", F.col("outcome.text"))
+    table = spark.read.parquet(options.abbreviations) if options.abbreviations and lexicon is None else None
+    known = abbreviations.few(table) if table is not None else []
+    if known is None:
+        held = written(texts, "texts")  # a text is made once, though it is read twice
+        return abbreviations.with_known(held, table, by_slices(lambda t: t.map(lambda x: stopped(options, x)), "array<string>")("text"), "id").withColumn("segment_text", known_tokens(options)("text", "known")).drop("known")
+    return texts.withColumn("segment_text", token_function(options, lexicon, frozenset(known))("text"))
+
+
+def stopped(options: Options, text: str | None) -> list[str]:
+    """Words of a text, in lower case, that have a stop behind them."""
+    found = [rule_words(x) for x in sentences(options.lang, text or "")]
+    return list({a.lower() for some in found for a, b in pairwise(some) if b == "."})
+
+
+def known_tokens(options: Options):
+    """token_function() for known abbreviations that each row brings along."""
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, known in batches:
+            for a, b in slices([len(x or "") for x in texts]):
+                some = zip(texts.iloc[a:b], known.iloc[a:b], strict=True)
+                sets = ((t, frozenset(() if k is None else k)) for t, k in some)
+                yield pd.Series([[w for x in sentences(options.lang, t or "") for w in (rule_words(x, k) if k else rule_words(x))] for t, k in sets], dtype=object)
+
+    return F.pandas_udf(run, "array<string>")
 
 
 def errors(pages: DataFrame, options: Options | None = None, site: dict | None = None, template_pages: DataFrame | None = None) -> DataFrame:

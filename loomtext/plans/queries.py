@@ -316,8 +316,8 @@ def abbreviation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def abbreviation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents, stops apart but for the abbreviations that the documents themselves show."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    known = [r["word"] for r in abbreviations.abbreviations(docs, threshold=ABBREVIATION).collect()]
-    done = docs.select("doc_id", abbreviations.tokens(F.col("text"), known).alias("w"))
+    known = abbreviation_scores(spark, sf_dir).where(F.col("score") >= ABBREVIATION)
+    done = abbreviations.tokenised(docs.select("doc_id", "text"), known, "doc_id")
     return done.select("doc_id", F.size("w").cast("long").alias("n_tokens"), F.md5(F.array_join("w", "|").cast("binary")).alias("tokens_md5"))
 
 
