@@ -359,7 +359,9 @@ LATTICE = {"longest": 6, "least": 5, "most": 20_000, "rounds": 3}
 def lattice_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents, found again after their spaces are gone: runs of letters, cut by a lexicon that is
     learned from them. Iteration is not expressible in SQL."""
-    joined = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[ \t]+", "")
+    joined = F.lower(F.coalesce("text", F.lit("")))
+    for blank in " \t":
+        joined = F.replace(joined, F.lit(blank), F.lit(""))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", joined.alias("text"))
     lexicon = lattice.learn(docs, pattern=r"\p{L}+", **LATTICE)
     done = docs.select("doc_id", lattice.segmented(lexicon, pattern=r"[^\W\d_]+").alias("w"))
